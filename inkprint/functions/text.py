@@ -30,7 +30,7 @@ def word_length(m) -> Column:
     """Mean length of the words between white space, to two places; 0 without words."""
     letters = F.length(F.regexp_replace(col(m), f"[{SPACE_CLASS}]+", ""))
     words = F.regexp_count(col(m), F.lit(f"[^{SPACE_CLASS}]+"))
-    return F.when(words == 0, F.lit(0.0)).otherwise(round_binary(letters / words))
+    return F.coalesce(round_binary(letters / F.nullif(words, F.lit(0))), F.lit(0.0))
 
 
 def emoji_list(m) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from inkprint.constants import ATTACHED_MARKER, EDITED_MARKERS, INFO_AUTHOR, NOTICE_PATTERNS, PLACEHOLDER, SEED
 from inkprint.functions.text import col
 from inkprint.operators.joins import lookup
-from inkprint.operators.order import blocked_lag, dense_index, sorted_lag
+from inkprint.operators.order import blocked_lag, dense_index, dimension_index, dimension_lag
 from inkprint.operators.sampling import undersample
 from inkprint.session import materialize
 
@@ -29,8 +29,8 @@ def responsiveness(df: DataFrame, scope: str = "chat", chat: str = "chat_id", po
     prior = blocked_lag(timed, [chat], pos, "_sec", "_before")
     if scope == "corpus":
         ends = timed.groupBy(chat).agg(F.max_by("_sec", pos).alias("_end"))
-        links = sorted_lag(ends, [chat], "_end", "_link").select(chat, "_link")
-        prior = lookup(prior, links, chat).withColumn("_before", F.coalesce("_before", "_link")).drop("_link")
+        links, size = dimension_lag(ends, chat, "_end", "_link")
+        prior = lookup(prior, links.select(chat, "_link"), chat, known_bytes=size).withColumn("_before", F.coalesce("_before", "_link")).drop("_link")
     gap = F.coalesce(F.greatest(F.col("_sec") - F.col("_before"), F.lit(0)), F.lit(0)).cast("long")
     return prior.withColumn("responsiveness", gap).drop("_sec", "_before")
 
@@ -39,15 +39,27 @@ def drop_info(df: DataFrame) -> DataFrame:
     return df.filter(F.col("author") != INFO_AUTHOR)
 
 
+class Users(NamedTuple):
+    """Dimension of the authors (author, user) and its stored size."""
+
+    table: DataFrame
+    size: int
+
+
+def user_dimension(df: DataFrame, author: str = "author") -> Users:
+    names, size = dimension_index(df.select(F.col(author).alias("author")).distinct(), "author", "user")
+    return Users(names.select("author", F.col("user").cast("int").alias("user")), size)
+
+
 def index_users(df: DataFrame, author: str = "author") -> DataFrame:
-    """Dimension of the distinct authors with their rank: author, user."""
-    return dense_index(df.select(F.col(author).alias("author")).distinct(), ["author"], "user").select(
-        "author", F.col("user").cast("int").alias("user"))
+    """The distinct authors with their rank: author, user."""
+    return user_dimension(df, author).table
 
 
-def attach_users(df: DataFrame, users: DataFrame) -> DataFrame:
+def attach_users(df: DataFrame, users: DataFrame | Users) -> DataFrame:
     """Author to class index; every author is in the dimension."""
-    return lookup(df, users.select("author", "user"), "author", "inner")
+    table, size = users if isinstance(users, Users) else (users.select("author", "user"), None)
+    return lookup(df, table, "author", "inner", known_bytes=size)
 
 
 def strip_edited(body: str | Column) -> Column:
@@ -91,9 +103,9 @@ def with_message_id(df: DataFrame, chat: str = "chat_id", pos: str = "pos", dens
     if dict(df.dtypes)[chat] in ("bigint", "int", "smallint", "tinyint"):
         number = F.col(chat).cast("long")
         return df.withColumn("message_id", F.shiftleft(number, 32) + F.col(pos))
-    chats = dense_index(df.select(chat).distinct(), [chat], "_chat_no")
+    chats, size = dimension_index(df.select(chat).distinct(), chat, "_chat_no")
     return (
-        lookup(df, chats, chat)
+        lookup(df, chats, chat, known_bytes=size)
         .withColumn("message_id", F.shiftleft(F.col("_chat_no"), 32) + F.col(pos)).drop("_chat_no")
     )
 
@@ -108,7 +120,7 @@ def class_counts(df: DataFrame, users: DataFrame | None = None, user: str = "use
 
 def class_names(df: DataFrame, user: str = "user") -> DataFrame:
     """Distinct classes in order, with their number from 0 and how many there are."""
-    names = dense_index(df.select(F.col(user).alias("class_name")).distinct(), ["class_name"], "class_index")
+    names, _ = dimension_index(df.select(F.col(user).alias("class_name")).distinct(), "class_name", "class_index")
     return names.withColumn("n_classes", names.agg(F.count("*")).scalar())
 
 
@@ -136,9 +148,10 @@ def clean_messages(msgs: DataFrame, patterns: Iterable[str] | None = None, place
     balancing then reads its narrow key columns twice and its rows once.
     """
     check_messages(msgs)
+    dimension = user_dimension(drop_info(msgs))
+    users = dimension.table
     timed = drop_info(responsiveness(msgs, scope))
-    users = index_users(timed)
-    rows = with_message_id(attach_users(timed, users))
+    rows = with_message_id(attach_users(timed, dimension))
     rows = drop_attached(drop_notices(rows.withColumn("body", strip_edited("body")), patterns))
     rows = materialize(rows.select("message_id", "responsiveness", "user", F.col("body").alias("message")), "clean")
     if balance:

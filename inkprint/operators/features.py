@@ -128,6 +128,7 @@ def build_features(df: DataFrame, config: FeatureConfig | None = None,
     columns: list[str] = []
     shares: list[tuple] = []
     plain: dict[str, Column] = {}
+    compose = False
     for name in config.enabled():
         if name == "bag_of_words":
             continue
@@ -136,7 +137,7 @@ def build_features(df: DataFrame, config: FeatureConfig | None = None,
                 columns.append(name)
             continue
         if name == "message_composition":
-            plain.update(tk.pos_shares("tokens"))
+            compose = True
             columns.extend(POS_TAGS)
             continue
         if name in ("englishness", "italianness"):
@@ -169,6 +170,7 @@ def build_features(df: DataFrame, config: FeatureConfig | None = None,
     for words, name, inline, joined in shares:
         out = _add_share(out, words, name, inline, joined)
     out = out.withColumns(plain) if plain else out
+    out = tk.add_pos_shares(out) if compose else out
     out = out.select(*keys, *columns)
     if use_bag:
         bag = bag_of_words(rows, bag_width, hasher)

@@ -5,30 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkprint.session import materialize
+from inkprint.session import BROADCAST_BYTES, store
 
-BROADCAST_ROWS = 200_000
-BROADCAST_BYTES = 32 << 20
 SALTS = 32
 
 
-def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Whether ``df`` has at most ``rows`` rows and ``size`` bytes; reads no more than that many rows."""
-    width = F.length(F.to_json(F.struct(*df.columns)))
-    n, total = df.limit(rows + 1).agg(F.count("*"), F.sum(width)).first()
-    return n <= rows and (total or 0) <= size
-
-
-def lookup(big: DataFrame, small: DataFrame, key: str, how: str = "left",
-           rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES, salts: int = SALTS) -> DataFrame:
+def lookup(big: DataFrame, small: DataFrame, key: str, how: str = "left", size: int = BROADCAST_BYTES,
+           salts: int = SALTS, known_bytes: int | None = None) -> DataFrame:
     """Join a table whose keys may be skewed to a dimension with unique keys.
 
-    The dimension is written once and its size checked there. Within the bounds it is
+    The dimension is written once and its stored size checked. Within the bound it is
     broadcast; a larger one is copied ``salts`` times, so that a hot key of ``big`` is
-    spread over that many tasks.
+    spread over that many tasks. ``known_bytes`` is the size of a table ``small`` was just
+    derived from row by row, and spares the writing.
     """
-    small = materialize(small, "dim")
-    if fits_broadcast(small, rows, size):
+    if known_bytes is None:
+        small, known_bytes = store(small, "dim")
+    if known_bytes <= size:
         return big.join(F.broadcast(small), key, how)
     # the salt is a function of the row, so a task that is run again deals its rows the same way
     spread = F.xxhash64(*[F.col(c) for c in big.columns])

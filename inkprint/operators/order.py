@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkprint.session import materialize
+from inkprint.session import BROADCAST_BYTES, materialize, store
 
 BLOCK = 1 << 16
 _PART_BITS = 33  # monotonically_increasing_id keeps the partition number above these bits
@@ -50,6 +50,26 @@ def dense_index(df: DataFrame, order: Sequence[str | Column], out: str) -> DataF
     )
 
 
+def dimension_index(df: DataFrame, order: str, out: str) -> tuple[DataFrame, int]:
+    """``dense_index`` of a dimension, and its size in bytes.
+
+    The dimension is written first. If it is small enough to be broadcast, one window over
+    it is as bounded as that; otherwise it is sorted in parts.
+    """
+    table, size = store(df, "dimension")
+    if size > BROADCAST_BYTES:
+        return dense_index(table, [order], out), size
+    return table.withColumn(out, (F.row_number().over(Window.orderBy(order)) - 1).cast("long")), size
+
+
+def dimension_lag(df: DataFrame, order: str, value: str, out: str) -> tuple[DataFrame, int]:
+    """``sorted_lag`` of a dimension, and its size in bytes; one window where it is small."""
+    table, size = store(df, "dimension")
+    if size > BROADCAST_BYTES:
+        return sorted_lag(table, [order], value, out), size
+    return table.withColumn(out, F.lag(value).over(Window.orderBy(order))), size
+
+
 def sorted_lag(df: DataFrame, order: Sequence[str], value: str, out: str) -> DataFrame:
     """Add ``out`` = ``value`` of the previous row of the whole table, null for the first."""
     parts = sorted_parts(df, order, "lag")

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkprint.constants import SEED
+from inkprint.operators.joins import lookup
+from inkprint.operators.order import dimension_index
 from inkprint.session import materialize
 
 PREFIX = 4  # hex digits: 65,536 histogram cells per class
@@ -36,20 +38,28 @@ def _small(df: DataFrame) -> DataFrame:
     return materialize(df, "classes")
 
 
-def rank_cuts(df: DataFrame, by: str, key: str, ranks: DataFrame, seed: int = SEED) -> DataFrame:
+def histogram(df: DataFrame, by: str, key: str, seed: int = SEED) -> DataFrame:
+    """(by, cell, n): how many rows of each class have a key in each cell; written once."""
+    keyed = df.select(by, F.substring(hash_key(key, seed), 1, PREFIX).alias("_cell"))
+    return materialize(keyed.groupBy(by, "_cell").agg(F.count("*").alias("_n")), "cells")
+
+
+def _sizes(cells: DataFrame, by: str) -> DataFrame:
+    return cells.groupBy(by).agg(F.sum("_n").alias("n"))
+
+
+def rank_cuts(df: DataFrame, cells: DataFrame, by: str, key: str, ranks: DataFrame, seed: int = SEED) -> DataFrame:
     """(by, label, cut): the hashed key at each wanted rank of its class.
 
     ``ranks`` holds (by, label, rank), ranks counting from 1. Ranks below 1 give no cut.
     """
-    keyed = df.select(by, hash_key(key, seed).alias("_key")).withColumn("_cell", F.substring("_key", 1, PREFIX))
-    cells = keyed.groupBy(by, "_cell").agg(F.count("*").alias("_n"))
     upto = Window.partitionBy(by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
-    cells = cells.withColumn("_upto", F.sum("_n").over(upto))
     hit = (
-        cells.join(ranks, by)
+        cells.withColumn("_upto", F.sum("_n").over(upto)).join(ranks, by)
         .filter((F.col("rank") <= F.col("_upto")) & (F.col("rank") > F.col("_upto") - F.col("_n")))
         .select(by, "label", "_cell", (F.col("rank") - F.col("_upto") + F.col("_n")).alias("_need"))
     )
+    keyed = df.select(by, hash_key(key, seed).alias("_key")).withColumn("_cell", F.substring("_key", 1, PREFIX))
     in_cell = Window.partitionBy(by, "label", "_cell").orderBy("_key")
     return (
         keyed.join(_small(hit), [by, "_cell"])
@@ -72,13 +82,14 @@ def undersample(df: DataFrame, by: str = "user", key: str = "message_id", seed:
 
     With ``classes`` given, a class that has no row at all is an error.
     """
-    counts = df.groupBy(by).agg(F.count("*").alias("_n"))
+    cells = histogram(df, by, key, seed)
+    counts = _sizes(cells, by)
     if classes is not None and not classes.select(by).distinct().join(counts, by, "left_anti").isEmpty():
         raise ValueError("a class has no rows to balance")
-    ranks = counts.select(by, F.lit("keep").alias("label"), counts.agg(F.min("_n")).scalar().alias("rank"))
+    ranks = counts.select(by, F.lit("keep").alias("label"), counts.agg(F.min("n")).scalar().alias("rank"))
     order = df.columns
     return (
-        _with_cuts(df, by, rank_cuts(df, by, key, ranks, seed), ["keep"])
+        _with_cuts(df, by, rank_cuts(df, cells, by, key, ranks, seed), ["keep"])
         .filter(hash_key(key, seed) <= F.col("_cut_keep")).select(*order)
     )
 
@@ -87,20 +98,26 @@ def _whole(df: DataFrame, column: str = "_all") -> DataFrame:
     return df.withColumn(column, F.lit(0))
 
 
-def _driver_cuts(df: DataFrame, key: str, ranks: Sequence[int], seed: int) -> list[str | None]:
-    """Cuts of the undivided table, one per wanted rank (their number is fixed by the caller)."""
-    spark = df.sparkSession
-    wanted = [(0, str(i), int(r)) for i, r in enumerate(ranks) if r > 0]
-    if not wanted:
-        return [None] * len(ranks)
-    table = spark.createDataFrame(wanted, "_all int, label string, rank long")
-    found = {r["label"]: r["cut"] for r in rank_cuts(_whole(df), "_all", key, table, seed).collect()}
-    return [found.get(str(i)) for i in range(len(ranks))]
+def _driver_cuts(df: DataFrame, key: str, wanted, seed: int) -> tuple[int, list[str | None]]:
+    """Row count of the undivided table and its cuts at the ranks ``wanted(count)``.
+
+    The number of ranks is fixed by the caller (parts or folds), never by the data.
+    """
+    whole = _whole(df)
+    cells = histogram(whole, "_all", key, seed)
+    n = cells.agg(F.sum("_n")).first()[0] or 0
+    ranks = list(wanted(n))
+    rows = [(0, str(i), int(r)) for i, r in enumerate(ranks) if r > 0]
+    if not rows:
+        return n, [None] * len(ranks)
+    table = df.sparkSession.createDataFrame(rows, "_all int, label string, rank long")
+    found = {r["label"]: r["cut"] for r in rank_cuts(whole, cells, "_all", key, table, seed).collect()}
+    return n, [found.get(str(i)) for i in range(len(ranks))]
 
 
 def split(df: DataFrame, test_size: float = 0.2, key: str = "message_id", seed: int = SEED) -> DataFrame:
     """Add ``split`` = train/test, unstratified; the test part has ceil(n * test_size) rows."""
-    cut = _driver_cuts(df, key, [math.ceil(df.count() * test_size)], seed)[0]
+    cut = _driver_cuts(df, key, lambda n: [math.ceil(n * test_size - 1e-9)], seed)[1][0]
     if cut is None:
         return df.withColumn("split", F.lit("train"))
     return df.withColumn("split", F.when(hash_key(key, seed) <= F.lit(cut), "test").otherwise("train"))
@@ -144,10 +161,10 @@ def stratified_split(df: DataFrame, by: str = "user", sizes: Sequence[tuple[str,
     sizes = [(label, fraction) for label, fraction in sizes if fraction > 0]
     if not sizes:
         return df.withColumn("split", F.lit(rest))
-    counts = df.groupBy(by).agg(F.count("*").alias("n"))
-    ranks = stratified_sizes(counts, by, sizes)
+    cells = histogram(df, by, key, seed)
+    ranks = stratified_sizes(_sizes(cells, by), by, sizes)
     labels = [label for label, _ in sizes]
-    cut = _with_cuts(df, by, rank_cuts(df, by, key, ranks, seed), labels)
+    cut = _with_cuts(df, by, rank_cuts(df, cells, by, key, ranks, seed), labels)
     name = None
     for label in labels:
         here = hash_key(key, seed) <= F.col(f"_cut_{label}")
@@ -165,13 +182,15 @@ def assign_folds(df: DataFrame, k: int = 5, key: str = "message_id", seed: int =
     """Add ``fold`` 0..k-1; the first n mod k folds have one row more."""
     if k < 2:
         raise ValueError("at least two folds are needed")
-    n = df.count()
-    if n < k:
-        raise ValueError(f"{n} rows cannot make {k} folds")
-    sizes = [n // k + (1 if i < n % k else 0) for i in range(k)]
-    ends = [sum(sizes[:i + 1]) for i in range(k - 1)]
+
+    def ends(n: int) -> list[int]:
+        if n < k:
+            raise ValueError(f"{n} rows cannot make {k} folds")
+        sizes = [n // k + (1 if i < n % k else 0) for i in range(k)]
+        return [sum(sizes[:i + 1]) for i in range(k - 1)]
+
     fold = F.lit(0)
-    for cut in _driver_cuts(df, key, ends, seed):
+    for cut in _driver_cuts(df, key, ends, seed)[1]:
         fold = fold + (hash_key(key, seed) > F.lit(cut)).cast("int")
     return df.withColumn("fold", fold)
 
@@ -229,7 +248,6 @@ def balanced_resample(df: DataFrame, by: str = "user", key: str = "message_id",
 
 def encode_labels(df: DataFrame, label: str, out: str = "user") -> DataFrame:
     """Class number by alphabetical order of the label."""
-    from inkprint.operators.order import dense_index
-    names = dense_index(df.select(F.col(label)).distinct(), [label], "_number")
+    names, size = dimension_index(df.select(label).distinct(), label, "_number")
     dim = names.select(label, F.col("_number").cast("int").alias(out))
-    return df.join(_small(dim), label)
+    return lookup(df, dim, label, "inner", known_bytes=size)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+BROADCAST_BYTES = 16 << 20  # of a table as stored, compressed
+
 
 def build_session(app: str = "inkprint", master: str | None = None, shuffle_partitions: int | None = None,
                   **conf: str) -> SparkSession:
@@ -20,6 +21,7 @@ def build_session(app: str = "inkprint", master: str | None = None, shuffle_part
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
     }
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -52,29 +54,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/inkprint-{name}-{uuid.uuid4().hex}"
 
 
+def store(df: DataFrame, name: str = "stage") -> tuple[DataFrame, int]:
+    """Write ``df`` as a table in the shared folder; returns the table and its size in bytes."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(jvm_path).getLength()
+    return spark.read.schema(df.schema).parquet(path), int(size)
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     Cuts the lineage so that a lost executor never makes an ordering or a sampled
     partitioning be computed a second time, with a second outcome.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return store(df, name)[0]
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists, on whichever file system it names."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
-
-
-def rename_path(spark: SparkSession, source: str, target: str) -> bool:
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path
-    system = fs_path(source).getFileSystem(spark._jsc.hadoopConfiguration())
-    return system.rename(fs_path(source), fs_path(target))
-
-
-def base_name(path: str) -> str:
-    return os.path.basename(path.rstrip("/"))
