@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from inkprint.session import spread
+
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
@@ -33,8 +35,9 @@ def r6(c, places: int = 6):
 
 # documents as messages: key doc_id, author source
 def docs(spark, d: str) -> DataFrame:
-    return table(spark, d, "documents").select(
-        F.col("doc_id").alias("message_id"), F.col("source").alias("author"), "lang", F.col("text").alias("message"))
+    return spread(table(spark, d, "documents").select(
+        F.col("doc_id").alias("message_id"), F.col("source").alias("author"), "lang", F.col("text").alias("message")),
+        "message_id")
 
 
 DOCS = "SELECT doc_id AS message_id, source AS author, lang, text AS message FROM documents"

@@ -1 +1,208 @@
-"""To come."""
+"""Training and prediction."""
+
+from __future__ import annotations
+
+from functools import lru_cache
+
+from pyspark.sql import functions as F
+
+from inkprint.catalog.base import docs, label_rows, query, r6, vectors
+from inkprint.catalog.joining import KNN, knn_table
+from inkprint.config import FeatureConfig
+from inkprint.constants import SEARCH_SPACE
+from inkprint.functions import probs as pr
+from inkprint.operators import evaluate as ev
+from inkprint.operators import models as md
+from inkprint.operators.embed import embed_hashed, vector_to_columns
+from inkprint.operators.features import build_features
+from inkprint.operators.neighbors import knn_predict, knn_votes
+from inkprint.operators.sampling import split
+from inkprint.operators.search import search
+from inkprint.operators.stack import meta_inputs, stack_oof
+from inkprint.plans.training import train, train_meta
+from inkprint.session import materialize
+
+STYLE = FeatureConfig.only(
+    "uppercase_count", "char_count", "word_length", "message_composition", "englishness", "type_token_ratio",
+    "simpsons_index", "readability", "functional_words", "common_words")
+FOREST = {"numTrees": 20, "maxDepth": 10}
+# a narrow space for the boosted trees, so that the search fits many candidates in little time
+SPACE = {**SEARCH_SPACE, "n_estimators": (4, 10), "max_depth": (2, 4)}
+SEARCH = {"space": SPACE, "population": 3, "generations": 2, "folds": 2}
+
+
+def wide_vectors(spark, d):
+    return vector_to_columns(vectors(spark, d), 64, "mean")
+
+
+def labelled(spark, d):
+    """Every document that carries a quality label."""
+    return docs(spark, d).select("message_id", "message").join(label_rows(spark, d), "message_id")
+
+
+@lru_cache(maxsize=4)
+def quality_tables(spark, d):
+    """Feature and embedding table of the labelled documents, written once per session."""
+    rows = materialize(labelled(spark, d), "labelled")
+    return (materialize(build_features(rows, STYLE), "style"),
+            materialize(embed_hashed(rows, "mean"), "vectors"))
+
+
+@lru_cache(maxsize=4)
+def trained_run(spark, d):
+    features, embeddings = quality_tables(spark, d)
+    return train(features, embeddings, folds=3, epochs=4, feature_args=FOREST, meta_args=SEARCH)
+
+
+def _held_out(spark, d, name: str, **params):
+    rows = materialize(split(wide_vectors(spark, d)), "split")
+    model = md.fit_classifier(rows.filter("split = 'train'").drop("split"), name, n_classes=10, **params)
+    return model.predict(rows.filter("split = 'test'").drop("split")).select("message_id", "user", "prediction")
+
+
+@query("m2_random_forest")
+def m2(spark, d):
+    return _held_out(spark, d, "random_forest")
+
+
+_GAUSS = """
+WITH p AS (SELECT label, i, avg(v) AS mu, var_pop(v) AS var, count(*) AS n FROM (
+        SELECT label, i, embedding[i + 1]::DOUBLE AS v FROM embeddings, range(64) r(i)) GROUP BY label, i),
+s AS (SELECT vec_id, p.label, ln(any_value(n) / (SELECT count(*) FROM embeddings)::DOUBLE)
+             + sum(-0.5 * (ln((var + 1e-9) * 6.283185307179586) + (embedding[i + 1]::DOUBLE - mu) ** 2 / (var + 1e-9))) AS score
+      FROM embeddings, p GROUP BY vec_id, p.label)"""
+
+
+@query("m3_gaussian_scores", _GAUSS + "SELECT vec_id AS message_id, label AS class, round(score, 4) AS score FROM s")
+def m3_scores(spark, d):
+    rows = vectors(spark, d)
+    scores = md.gaussian_scores(rows, md.gaussian_parameters(rows, 64), rows.count())
+    return scores.select("message_id", "class", r6("score", 4).alias("score"))
+
+
+@query("m3_naive_bayes", _GAUSS + "SELECT vec_id AS message_id, arg_max(label, score) AS prediction FROM s GROUP BY vec_id")
+def m3(spark, d):
+    rows = wide_vectors(spark, d)
+    model = md.fit_classifier(rows, "naive_bayes", scale=False, n_classes=10)
+    return model.predict(rows).select("message_id", "prediction")
+
+
+@query("m4_svc")
+def m4(spark, d):
+    return _held_out(spark, d, "svc")
+
+
+@query("m5_neural_network")
+def m5(spark, d):
+    return _held_out(spark, d, "neural_network")
+
+
+@query("m6_gradient_boosting")
+def m6(spark, d):
+    return _held_out(spark, d, "gradient_boosting", maxIter=5)
+
+
+@query("m7_extra_trees")
+def m7(spark, d):
+    return _held_out(spark, d, "extra_trees")
+
+
+@query("m8_kneighbors", f"""
+SELECT query_id, arg_max(label, votes * 1000 - label) AS prediction FROM (
+    SELECT query_id, label, count(*) AS votes FROM ({KNN}) JOIN embeddings ON neighbor_id = vec_id
+    GROUP BY query_id, label) GROUP BY query_id""")
+def m8(spark, d):
+    neighbors, rows = knn_table(spark, d)
+    return knn_predict(knn_votes(neighbors, rows))
+
+
+@query("m8_kneighbors_model")
+def m8_model(spark, d):
+    return _held_out(spark, d, "kneighbors")
+
+
+@query("m10_train_feature_model")
+def m10(spark, d):
+    run = md.train_feature_model(quality_tables(spark, d)[0], config=STYLE)
+    return run.report().select("label", r6("precision").alias("precision"), r6("recall").alias("recall"),
+                               r6("f1").alias("f1"), "support")
+
+
+@query("m11_cross_validate")
+def m11(spark, d):
+    scores = md.cross_validate(quality_tables(spark, d)[0], "naive_bayes", 5)
+    return ev.score_summary(scores)
+
+
+@query("m12_train_embedding_model")
+def m12(spark, d):
+    return md.train_embedding_model(vectors(spark, d)).scored.select("message_id", "user", "prediction")
+
+
+@query("a11_training_history")
+def a11(spark, d):
+    return md.train_embedding_model(vectors(spark, d), epochs=5).history
+
+
+@query("v7_training_history")
+def v7(spark, d):
+    return md.train_embedding_model(quality_tables(spark, d)[1], epochs=5, gamma=None).history
+
+
+@query("o1_feature_importance")
+def o1(spark, d):
+    run = md.train_feature_model(quality_tables(spark, d)[0], config=STYLE)
+    return run.importance(20)
+
+
+@query("m15_predict")
+def m15(spark, d):
+    rows = wide_vectors(spark, d)
+    return md.fit_classifier(rows, "naive_bayes", n_classes=10).predict(rows).select(
+        "message_id", "prediction", F.posexplode("probability").alias("user", "p"))
+
+
+@query("m16_stack_oof")
+def m16(spark, d):
+    features, embeddings = quality_tables(spark, d)
+    oof = stack_oof(features, embeddings, 3, epochs=4, **FOREST)
+    return oof.select("message_id", "user", "fold", F.get("probs_feature", F.lit(1)).alias("probs_feature1"),
+                      F.get("probs_embed", F.lit(1)).alias("probs_cnn1"))
+
+
+def _meta_table(spark, d):
+    """Meta table of the labelled documents, from one fit of each base model."""
+    features, embeddings = quality_tables(spark, d)
+    first = md.fit_classifier(features, "naive_bayes").predict(features)
+    second = md.fit_classifier(vector_to_columns(embeddings, 32, "mean"), "naive_bayes").predict(
+        vector_to_columns(embeddings, 32, "mean"))
+    both = first.select("message_id", "user", F.col("probability").alias("probs_feature")).join(
+        second.select("message_id", F.col("probability").alias("probs_embed")), "message_id")
+    return materialize(meta_inputs(both.withColumns(pr.meta_columns()), 2), "meta")
+
+
+@query("m18_meta_learner")
+def m18(spark, d):
+    table = _meta_table(spark, d)
+    return md.fit_classifier(table, "gradient_boosting", maxIter=10).predict(table).select(
+        "message_id", "user", "prediction")
+
+
+@query("m19_search")
+def m19(spark, d):
+    return search(_meta_table(spark, d), **SEARCH)[1].select("generation", "candidate", "score")
+
+
+@query("m20_train_meta")
+def m20(spark, d):
+    return train_meta(_meta_table(spark, d), 2, test_size=0.2, **SEARCH)[1].confusion
+
+
+@query("m21_train")
+def m21(spark, d):
+    return trained_run(spark, d).holdout.scored.select("message_id", "user", "prediction")
+
+
+@query("v8_evaluate_stack")
+def v8(spark, d):
+    return trained_run(spark, d).holdout.report

@@ -74,36 +74,29 @@ def annotate(df: DataFrame, text: str = "message", lemma_table: DataFrame | None
     """Add the token array.
 
     ``lemma_table(text, lemma)`` and ``pos_table(text, pos)`` (lower-case text, unique) may
-    be of any size: they are joined to the distinct tokens of each message, and one map per
-    message brings the result back, which is no larger than the message itself.
+    be of any size. Messages are partitioned by key before their tokens are spread out, so
+    that with a lexicon of checked size the tokens are looked up and put together again
+    where they are.
     """
-    base = df.withColumn(out, token_structs(text, lexicon))
     if lemma_table is None and pos_table is None:
-        return base
-    words = base.select(key, F.explode(F.array_distinct(F.transform(out, lambda t: F.lower(t["text"])))).alias("text"))
-    if lemma_table is not None:
-        words = lookup(words, lemma_table.select("text", "lemma"), "text")
-    else:
-        words = words.withColumn("lemma", F.lit(None).cast("string"))
-    if pos_table is not None:
-        words = lookup(words, pos_table.select("text", "pos"), "text")
-    else:
-        words = words.withColumn("pos", F.lit(None).cast("string"))
-    found = words.filter("lemma IS NOT NULL OR pos IS NOT NULL")
-    maps = found.groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct("text", F.struct("lemma", "pos")))).alias("_map"))
-    hit = lambda t: F.try_element_at("_map", F.lower(t["text"]))
-    return (
-        base.join(maps, key, "left")
-        .withColumn(out, F.transform(out, lambda t: F.struct(
-            t["text"].alias("text"),
-            F.coalesce(hit(t)["lemma"], t["lemma"]).alias("lemma"),
-            F.coalesce(hit(t)["pos"], t["pos"]).alias("pos"),
-            t["is_alpha"].alias("is_alpha"),
-            t["is_punct"].alias("is_punct"),
-        )))
-        .drop("_map")
-    )
+        return df.withColumn(out, token_structs(text, lexicon))
+    rows = df.repartition(F.col(key))
+    words = rows.select(key, F.posexplode(token_structs(text, lexicon)).alias("_i", "_t")).select(
+        key, "_i", "_t", F.lower("_t.text").alias("text"))
+    for table, name in ((lemma_table, "lemma"), (pos_table, "pos")):
+        if table is None:
+            words = words.withColumn(f"_{name}", F.lit(None).cast("string"))
+        else:
+            words = lookup(words, table.select("text", F.col(name).alias(f"_{name}")), "text")
+    token = F.struct("_i", F.col("_t.text").alias("text"), F.coalesce("_lemma", "_t.lemma").alias("lemma"),
+                     F.coalesce("_pos", "_t.pos").alias("pos"), F.col("_t.is_alpha").alias("is_alpha"),
+                     F.col("_t.is_punct").alias("is_punct"))
+    whole = words.groupBy(key).agg(F.sort_array(F.collect_list(token)).alias("_tokens"))
+    plain = F.transform("_tokens", lambda t: F.struct(
+        t["text"].alias("text"), t["lemma"].alias("lemma"), t["pos"].alias("pos"),
+        t["is_alpha"].alias("is_alpha"), t["is_punct"].alias("is_punct")))
+    empty = F.array().cast("array<struct<text:string,lemma:string,pos:string,is_alpha:boolean,is_punct:boolean>>")
+    return rows.join(whole, key, "left").withColumn(out, F.coalesce(plain, empty)).drop("_tokens")
 
 
 def annotate_with(df: DataFrame, tagger, text: str = "message", out: str = "tokens") -> DataFrame:

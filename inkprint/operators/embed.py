@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from inkprint.constants import EMBED_BATCH, EMBEDDING_STRATEGIES
+from inkprint.constants import EMBED_BATCH, EMBEDDING_STRATEGIES, TOKEN_PATTERN
 from inkprint.functions.tokens import token_texts
 
 DIMS = 32
@@ -50,11 +50,14 @@ def mean_vectors(df: DataFrame, text: str = "message", key: str = "message_id",
     return sums.select(key, F.when(F.col("_n") > 0, values).otherwise(zeros).alias("mean"))
 
 
-def first_vector(text: str = "message", dims: int = DIMS) -> Column:
-    """Vector of the first token, zeros without one."""
-    first = F.get(token_texts(text), F.lit(0))
-    values = F.array(*[_unit(b.cast("double")) for b in _token_bytes(first, dims)])
-    return F.when(first.isNull(), F.array(*[F.lit(0.0)] * dims)).otherwise(values)
+def first_vectors(df: DataFrame, text: str = "message", dims: int = DIMS, out: str = "first") -> DataFrame:
+    """Add the vector of the first token, zeros without one."""
+    marked = df.withColumn("_token", F.regexp_extract(text, f"({TOKEN_PATTERN})", 1))
+    names = [f"_b{i}" for i in range(dims)]
+    wide = marked.select("*", *[b.alias(n) for b, n in zip(_token_bytes(F.col("_token"), dims), names)])
+    values = F.array(*[_unit(F.col(n).cast("double")) for n in names])
+    zeros = F.array(*[F.lit(0.0)] * dims)
+    return wide.select(*df.columns, F.when(F.col("_token") == "", zeros).otherwise(values).alias(out))
 
 
 def embed_hashed(df: DataFrame, strategy: str = "mixed", text: str = "message", key: str = "message_id",
@@ -63,11 +66,11 @@ def embed_hashed(df: DataFrame, strategy: str = "mixed", text: str = "message",
     check_strategy(strategy)
     kept = [c for c in df.columns if c not in (text, "responsiveness")]
     if strategy == "cls":
-        return df.withColumn("embedding", first_vector(text, dims)).select(*kept, "embedding")
+        return first_vectors(df, text, dims, "embedding").select(*kept, "embedding")
     means = mean_vectors(df, text, key, dims)
     if strategy == "mean":
         return df.select(*kept).join(means.withColumnRenamed("mean", "embedding"), key)
-    firsts = df.withColumn("_first", first_vector(text, dims)).select(*kept, "_first")
+    firsts = first_vectors(df, text, dims, "_first").select(*kept, "_first")
     return firsts.join(means, key).withColumn("embedding", F.concat("_first", "mean")).select(*kept, "embedding")
 
 

@@ -9,7 +9,7 @@ from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
-    GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes, OneVsRest,
+    GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import MaxAbsScaler, MinMaxScaler, VectorAssembler
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from inkprint.config import FeatureConfig
 from inkprint.constants import SEED
 from inkprint.functions import probs as pr
+from inkprint.functions.rounding import let
 from inkprint.operators import evaluate as ev
 from inkprint.operators.features import input_columns, select_features
 from inkprint.operators.neighbors import knn_join, knn_votes
@@ -29,12 +30,43 @@ from inkprint.session import materialize, path_exists
 _ASSEMBLED = "features"
 
 
+class EachClass:
+    """One binary fit per class, all over the same rows.
+
+    The fitted models are plain transformers with columns of their own, so prediction is a
+    chain inside the JVM and the whole is saved like any pipeline.
+    """
+
+    def __init__(self, make: Callable, classes: Iterable[int], label: str, output: str, threads: int = 4):
+        self.make, self.classes, self.label = make, list(classes), label
+        self.output, self.threads = output, threads
+
+    def names(self) -> list[str]:
+        return [f"{self.output}_{c}" for c in self.classes]
+
+    def fit(self, df: DataFrame) -> list:
+        rows = df.select(_ASSEMBLED, self.label).persist()
+
+        def one(c: int):
+            binary = rows.withColumn("_is", (F.col(self.label) == c).cast("double"))
+            learner = self.make(c)
+            return learner.setLabelCol("_is").fit(binary)
+
+        try:
+            with ThreadPoolExecutor(self.threads) as pool:
+                return list(pool.map(one, self.classes))
+        finally:
+            rows.unpersist()
+
+
 def _boosted(n_classes: int, label: str, **params):
     params = {"maxIter": 100, "maxDepth": 3, "stepSize": 0.1, "seed": SEED, **params}
-    tree = GBTClassifier(featuresCol=_ASSEMBLED, labelCol=label, **params)
     if n_classes == 2:
-        return [tree]
-    return [OneVsRest(classifier=tree, featuresCol=_ASSEMBLED, labelCol=label, parallelism=4)]
+        return [GBTClassifier(featuresCol=_ASSEMBLED, labelCol=label, **params)]
+    make = lambda c: GBTClassifier(
+        featuresCol=_ASSEMBLED, predictionCol=f"_side_{c}", rawPredictionCol=f"_raw_{c}",
+        probabilityCol=f"class_{c}", **params)
+    return [EachClass(make, range(n_classes), label, "class")]
 
 
 def _forest(label: str, **params):
@@ -44,14 +76,11 @@ def _forest(label: str, **params):
 
 def _svc(n_classes: int, label: str, **params):
     """Linear margins, one class against the rest, then a logistic fit of the margins."""
-    svm = LinearSVC(featuresCol=_ASSEMBLED, labelCol=label, **params)
-    if n_classes == 2:
-        svm = svm.setRawPredictionCol("margins").setPredictionCol("_side")
-        rank = svm
-    else:
-        rank = OneVsRest(classifier=svm, featuresCol=_ASSEMBLED, labelCol=label, rawPredictionCol="margins",
-                         predictionCol="_side", parallelism=4)
-    return [rank, LogisticRegression(featuresCol="margins", labelCol=label)]
+    make = lambda c: LinearSVC(
+        featuresCol=_ASSEMBLED, predictionCol=f"_side_{c}", rawPredictionCol=f"margin_{c}", **params)
+    margins = EachClass(make, range(n_classes) if n_classes > 2 else [1], label, "margin")
+    return [margins, VectorAssembler(inputCols=margins.names(), outputCol="margins"),
+            LogisticRegression(featuresCol="margins", labelCol=label)]
 
 
 def _network(n_features: int, n_classes: int, label: str, **params):
@@ -91,12 +120,12 @@ class Fitted:
         out = self.model.transform(df)
         if "probability" in out.columns:
             probability = vector_to_array("probability")
-        else:  # one-vs-rest boosting scores: the boosted margin is half a log-odds
-            odds = F.transform(vector_to_array("rawPrediction"), lambda x: 1 / (1 + F.exp(-2 * x)))
-            whole = F.aggregate(odds, F.lit(1e-300), lambda acc, x: acc + x)
-            probability = F.transform(odds, lambda x: x / whole)
-        return out.select(*df.columns, probability.alias("probability"),
-                          F.col("prediction").cast("int").alias("prediction"))
+        else:  # one score per class, scaled to sum to one
+            scores = F.array(*[F.get(vector_to_array(f"class_{c}"), F.lit(1)) for c in range(self.n_classes)])
+            probability = let(scores, lambda v: F.transform(
+                v, lambda x: x / F.aggregate(v, F.lit(1e-300), lambda acc, y: acc + y)))
+        scored = out.select(*df.columns, probability.alias("probability"))
+        return scored.withColumn("prediction", pr.argmax("probability").cast("int"))
 
     def save(self, path: str, overwrite: bool = False) -> None:
         spark = SparkSession.getActiveSession()
@@ -172,8 +201,14 @@ def fit_classifier(df: DataFrame, name: str = "random_forest", label: str = "use
     width = _width(prepare, df) if name == "neural_network" else 0
     stages = CLASSIFIERS[name](width, n_classes, label, **params)
     ready = prepare.transform(df.withColumn(label, F.col(label).cast("double")))
-    fitted = Pipeline(stages=stages).fit(ready)
-    return Fitted(PipelineModel([*prepare.stages, *fitted.stages]), n_classes, inputs)
+    fitted = list(prepare.stages)
+    for i, stage in enumerate(stages):
+        models = stage.fit(ready) if isinstance(stage, EachClass) else \
+            [stage.fit(ready) if hasattr(stage, "fit") else stage]
+        fitted += models
+        if i + 1 < len(stages):
+            ready = PipelineModel(models).transform(ready)
+    return Fitted(PipelineModel(fitted), n_classes, inputs)
 
 
 def cross_validate(df: DataFrame, name: str = "random_forest", k: int = 5, label: str = "user",

@@ -107,7 +107,8 @@ def resolve_aliases(msgs: DataFrame, aliases: DataFrame | None, placeholder: str
     )
 
 
-def _messages(records: DataFrame, strict: bool, compat: bool) -> DataFrame:
+def messages_of(records: DataFrame, strict: bool = True, compat: bool = False) -> DataFrame:
+    """chat_id, pos, stamp, record to chat_id, pos, ts, author, body."""
     author, body = split_author("record", compat)
     return records.select("chat_id", "pos", parse_stamp("stamp", strict).alias("ts"),
                           author.alias("author"), body.alias("body"))
@@ -122,7 +123,7 @@ def extract_messages(chats: DataFrame, aliases: DataFrame | None = None, placeho
     """
     found = detect_dialect(chats.select("chat_id", "value"), strict=strict).filter("dialect IS NOT NULL")
     records = split_records(found, line_start=line_start)
-    return resolve_aliases(_messages(records, strict, compat), aliases, placeholder, compat)
+    return resolve_aliases(messages_of(records, strict, compat), aliases, placeholder, compat)
 
 
 def split_lines(lines: DataFrame, strict: bool = True, line_start: bool = False) -> DataFrame:
@@ -175,7 +176,7 @@ def extract_folder(spark: SparkSession, path: str, aliases: DataFrame | None = N
     """All exports of a folder to chat_id, pos, ts, author, body, reading lines."""
     from inkprint.sources.chats import read_chat_lines
     records = split_lines(read_chat_lines(spark, path), strict, line_start)
-    return resolve_aliases(_messages(records, strict, compat), aliases, placeholder, compat)
+    return resolve_aliases(messages_of(records, strict, compat), aliases, placeholder, compat)
 
 
 def render_export(ts: str | Column, author: str | Column, body: str | Column, dialect: str | Column) -> Column:

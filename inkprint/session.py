@@ -77,3 +77,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists, on whichever file system it names."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+
+
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Deal a scan of fewer partitions than cores over all of them; a wide scan stays as it is.
+
+    For plain scans: a small table in one row group would keep one core busy with all the
+    text work, while a large one already has a partition per input split.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)

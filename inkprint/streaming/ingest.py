@@ -7,25 +7,29 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from inkprint.constants import PLACEHOLDER
-from inkprint.operators.parse import extract_messages
+from inkprint.operators.parse import messages_of, resolve_aliases, split_lines
 
 
 def ingest_stream(spark: SparkSession, folder: str, out: str, checkpoint: str, aliases: DataFrame | None = None,
                   placeholder: str = PLACEHOLDER, files_per_batch: int | None = None) -> StreamingQuery:
     """Parse every new file of ``folder`` and append its messages to the table at ``out``.
 
-    Files that are no export are left out rather than stopping the stream.
+    Files are read by lines, so one of any size is split over tasks; a file always falls
+    into one micro-batch. Files that are no export are left out rather than stopping the
+    stream.
     """
     reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    chats = reader.text(folder, wholetext=True).select(
-        F.col("_metadata.file_path").alias("chat_id"), F.regexp_replace("value", "\r\n?", "\n").alias("value"))
+    lines = reader.text(folder, lineSep="\n").select(
+        F.col("_metadata.file_path").alias("chat_id"), F.col("_metadata.file_block_start").alias("block"),
+        F.regexp_replace(F.regexp_replace("value", r"\r\z", ""), "\r", "\n").alias("value"))
 
     def run(batch: DataFrame, epoch: int) -> None:
-        msgs = extract_messages(batch, aliases, placeholder, strict=False)
+        placed = batch.withColumn("slot", F.monotonically_increasing_id())
+        msgs = messages_of(split_lines(placed, strict=False), strict=False)
         # a batch that is run again replaces its own folder
-        msgs.write.mode("overwrite").parquet(f"{out}/batch={epoch}")
+        resolve_aliases(msgs, aliases, placeholder).write.mode("overwrite").parquet(f"{out}/batch={epoch}")
 
-    return chats.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint) \
+    return lines.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint) \
         .trigger(availableNow=True).start()
