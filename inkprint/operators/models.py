@@ -63,9 +63,8 @@ def _boosted(n_classes: int, label: str, **params):
     params = {"maxIter": 100, "maxDepth": 3, "stepSize": 0.1, "seed": SEED, **params}
     if n_classes == 2:
         return [GBTClassifier(featuresCol=_ASSEMBLED, labelCol=label, **params)]
-    make = lambda c: GBTClassifier(
-        featuresCol=_ASSEMBLED, predictionCol=f"_side_{c}", rawPredictionCol=f"_raw_{c}",
-        probabilityCol=f"class_{c}", **params)
+    make = lambda c: GBTClassifier(featuresCol=_ASSEMBLED, predictionCol=f"_side_{c}", **params) \
+        .setRawPredictionCol(f"_raw_{c}").setProbabilityCol(f"class_{c}")
     return [EachClass(make, range(n_classes), label, "class")]
 
 
@@ -76,6 +75,7 @@ def _forest(label: str, **params):
 
 def _svc(n_classes: int, label: str, **params):
     """Linear margins, one class against the rest, then a logistic fit of the margins."""
+    params = {"tol": 1e-3, **params}
     make = lambda c: LinearSVC(
         featuresCol=_ASSEMBLED, predictionCol=f"_side_{c}", rawPredictionCol=f"margin_{c}", **params)
     margins = EachClass(make, range(n_classes) if n_classes > 2 else [1], label, "margin")
@@ -84,7 +84,7 @@ def _svc(n_classes: int, label: str, **params):
 
 
 def _network(n_features: int, n_classes: int, label: str, **params):
-    params = {"maxIter": 200, "seed": SEED, "layers": [n_features, 100, n_classes], **params}
+    params = {"maxIter": 200, "tol": 1e-4, "seed": SEED, "layers": [n_features, 100, n_classes], **params}
     return [MultilayerPerceptronClassifier(featuresCol=_ASSEMBLED, labelCol=label, **params)]
 
 
