@@ -39,17 +39,17 @@ def e1(spark, d):
 
 @query("e2_mean_vectors", _MEAN)
 def e2(spark, d):
-    return _long(em.embed_hashed(_rows(spark, d), "mean"))
+    return _long(em.embed_hashed(_rows(spark, d), "mean", hasher="md5"))
 
 
 @query("e3_first_vector", _FIRST)
 def e3(spark, d):
-    return _long(em.embed_hashed(_rows(spark, d), "cls"))
+    return _long(em.embed_hashed(_rows(spark, d), "cls", hasher="md5"))
 
 
 @query("e4_mixed_vectors", f"SELECT * FROM ({_FIRST}) UNION ALL SELECT message_id, i + {DIMS}, value FROM ({_MEAN})")
 def e4(spark, d):
-    return _long(em.embed_hashed(_rows(spark, d), "mixed"))
+    return _long(em.embed_hashed(_rows(spark, d), "mixed", hasher="md5"))
 
 
 @query("e5_vector_columns", "SELECT vec_id AS message_id, label AS \"user\", "

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from inkprint.constants import BANDS, EMBEDDING_ACCURACY, FEATURE_ACCURACY, TOP_BAND
-from inkprint.functions.rounding import round_binary
+from inkprint.functions.rounding import let, round_binary
 from inkprint.functions.text import col, log_odds
 
 
@@ -20,9 +20,8 @@ def mean(p) -> Column:
 
 def variance(p) -> Column:
     """Population variance."""
-    mu = mean(p)
-    return F.aggregate(F.transform(col(p), lambda x: (x - mu) * (x - mu)), F.lit(0.0),
-                       lambda acc, x: acc + x) / F.size(col(p))
+    return let(mean(p), lambda mu: F.aggregate(
+        col(p), F.lit(0.0), lambda acc, x: acc + (x - mu) * (x - mu))) / F.size(col(p))
 
 
 def std(p) -> Column:
@@ -52,10 +51,9 @@ def top2(p) -> Column:
 
 def entropy(p, eps: float = 1e-10) -> Column:
     """Natural-log entropy of the vector after adding ``eps`` and renormalising."""
-    padded = F.transform(col(p), lambda x: x + F.lit(eps))
-    whole = F.aggregate(padded, F.lit(0.0), lambda acc, x: acc + x)
-    return -F.aggregate(F.transform(padded, lambda x: (x / whole) * F.ln(x / whole)), F.lit(0.0),
-                        lambda acc, x: acc + x)
+    whole = F.aggregate(col(p), F.lit(0.0), lambda acc, x: acc + x + F.lit(eps))
+    return -let(whole, lambda w: F.aggregate(
+        F.transform(col(p), lambda x: (x + F.lit(eps)) / w), F.lit(0.0), lambda acc, q: acc + q * F.ln(q)))
 
 
 def logit_max(p) -> Column:
@@ -70,11 +68,15 @@ def certainty(p) -> Column:
     return F.array_max(col(p)) / total(p)
 
 
+def scaled(v) -> Column:
+    """The vector divided by its sum."""
+    return let(col(v), lambda x: let(F.aggregate(x, F.lit(0.0), lambda acc, y: acc + y),
+                                     lambda whole: F.transform(x, lambda y: y / whole)))
+
+
 def softmax(z) -> Column:
-    high = F.array_max(col(z))
-    powers = F.transform(col(z), lambda x: F.exp(x - high))
-    whole = F.aggregate(powers, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(powers, lambda x: x / whole)
+    powers = let(F.array_max(col(z)), lambda high: F.transform(col(z), lambda x: F.exp(x - high)))
+    return scaled(powers)
 
 
 def blend(f, e, weight_f: float = FEATURE_ACCURACY, weight_e: float = EMBEDDING_ACCURACY) -> Column:
@@ -105,19 +107,24 @@ def meta_columns(f="probs_feature", e="probs_embed") -> dict[str, Column]:
 
 def mean_gap(p) -> Column:
     """Mean distance of the entries below the maximum; null where all are equal."""
-    high = F.array_max(col(p))
-    gaps = F.transform(F.filter(col(p), lambda x: x != high), lambda x: high - x)
-    whole = F.aggregate(gaps, F.lit(0.0), lambda acc, x: acc + x)
-    return F.when(F.size(gaps) > 0, whole / F.size(gaps))
+    def below(high):
+        return F.transform(F.filter(col(p), lambda x: x != high), lambda x: high - x)
+
+    def average(gaps):
+        return F.aggregate(gaps, F.lit(0.0), lambda acc, x: acc + x) / F.nullif(F.size(gaps), F.lit(0))
+
+    return let(let(F.array_max(col(p)), below), average)
 
 
 def band(p) -> Column:
     """Certainty band of a verdict; all entries equal falls through to the top band."""
-    gap = mean_gap(p)
-    out = None
-    for limit, name in BANDS:
-        out = F.when(gap < limit, name) if out is None else out.when(gap < limit, name)
-    return out.otherwise(TOP_BAND)
+    def name_of(gap):
+        out = None
+        for limit, name in BANDS:
+            out = F.when(gap < limit, name) if out is None else out.when(gap < limit, name)
+        return out.otherwise(TOP_BAND)
+
+    return let(mean_gap(p), name_of)
 
 
 def percent(x) -> Column:

@@ -181,21 +181,24 @@ def vocabulary_share_inline(tokens, words: Sequence[str]) -> Column:
     return round_binary(_share(known, alpha))
 
 
-def vocabulary_share(df: DataFrame, vocabulary: DataFrame, out: str, tokens: str = "tokens",
-                     key: str = "message_id") -> DataFrame:
-    """Share of alphabetic tokens whose lower-case text is in ``vocabulary(word)``, of any size.
+def _known_share(words: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """(key, _share): share of the words (key, _words array) that are known.
 
-    Each message contributes its distinct words with their counts, so the join carries
-    at most one row per message and word.
+    The arrays are partitioned by message before they are spread out, so counting the
+    distinct words of a message and adding up their hits need no exchange of their own.
     """
-    words = df.select(key, F.explode(F.transform(
-        F.filter(tokens, lambda t: t["is_alpha"]), lambda t: F.lower(t["text"]))).alias("word"))
-    counts = words.groupBy(key, "word").agg(F.count("*").alias("_n"))
-    known = vocabulary.select("word").distinct().withColumn("_known", F.lit(1))
-    shares = (
-        lookup(counts, known, "word").groupBy(key)
-        .agg((F.sum(F.when(F.col("_known") == 1, F.col("_n")).otherwise(0)) / F.sum("_n")).alias("_share"))
-    )
+    each = words.repartition(F.col(key)).select(key, F.explode("_words").alias("word"))
+    counts = each.groupBy(key, "word").agg(F.count("*").alias("_n"))
+    flagged = lookup(counts, known.select("word").distinct().withColumn("_known", F.lit(1)), "word")
+    hits = F.sum(F.when(F.col("_known") == 1, F.col("_n")).otherwise(0))
+    return flagged.groupBy(key).agg((hits / F.sum("_n")).alias("_share"))
+
+
+def vocabulary_share(df: DataFrame, vocabulary: DataFrame, out: str, tokens: str = "tokens",
+                     key: str = "message_id") -> DataFrame:
+    """Share of alphabetic tokens whose lower-case text is in ``vocabulary(word)``, of any size."""
+    lower = F.transform(F.filter(tokens, lambda t: t["is_alpha"]), lambda t: F.lower(t["text"]))
+    shares = _known_share(df.select(key, lower.alias("_words")), vocabulary, key)
     return df.join(shares, key, "left").withColumn(
         out, F.coalesce(round_binary(F.col("_share")), F.lit(0.0))).drop("_share")
 
@@ -209,13 +212,8 @@ def common_share_inline(tokens, words: Sequence[str]) -> Column:
 def common_share(df: DataFrame, words: DataFrame, out: str = "common_words", tokens: str = "tokens",
                  key: str = "message_id") -> DataFrame:
     """Same for a word list of any size."""
-    lemmas = df.select(key, F.explode(F.transform(tokens, lambda t: t["lemma"])).alias("word"))
-    counts = lemmas.groupBy(key, "word").agg(F.count("*").alias("_n"))
-    known = words.select("word").distinct().withColumn("_known", F.lit(1))
-    shares = (
-        lookup(counts, known, "word").groupBy(key)
-        .agg((F.sum(F.when(F.col("_known") == 1, F.col("_n")).otherwise(0)) / F.sum("_n")).alias("_share"))
-    )
+    lemmas = F.transform(tokens, lambda t: t["lemma"])
+    shares = _known_share(df.select(key, lemmas.alias("_words")), words, key)
     return df.join(shares, key, "left").withColumn(out, F.coalesce("_share", F.lit(0.0))).drop("_share")
 
 

@@ -20,14 +20,22 @@ def check_strategy(strategy: str) -> None:
         raise ValueError(f"embedding strategy must be one of {EMBEDDING_STRATEGIES}, got {strategy!r}")
 
 
-def _token_bytes(token: Column, dims: int) -> list[Column]:
-    """``dims`` numbers 0..255 from the MD5 digests of the token."""
+def _token_bytes(token: Column, dims: int, hasher: str = "xxhash64") -> list[Column]:
+    """``dims`` numbers 0..255 from salted hashes of the token (``md5`` can be repeated in SQL)."""
+    lower = F.lower(token)
     out: list[Column] = []
-    for part in range(-(-dims // 16)):
-        digest = F.md5(F.concat(F.lower(token), F.lit(f":{part}")))
-        for word in range(4):
-            bits = F.conv(F.substring(digest, 8 * word + 1, 8), 16, 10).cast("long")
-            out.extend(F.shiftright(bits, shift).bitwiseAND(F.lit(255)) for shift in (24, 16, 8, 0))
+    if hasher == "xxhash64":
+        for part in range(-(-dims // 8)):
+            code = F.xxhash64(lower, F.lit(part))
+            out.extend(F.shiftright(code, shift).bitwiseAND(F.lit(255)) for shift in range(56, -1, -8))
+    elif hasher == "md5":
+        for part in range(-(-dims // 16)):
+            digest = F.md5(F.concat(lower, F.lit(f":{part}")))
+            for word in range(4):
+                bits = F.conv(F.substring(digest, 8 * word + 1, 8), 16, 10).cast("long")
+                out.extend(F.shiftright(bits, shift).bitwiseAND(F.lit(255)) for shift in (24, 16, 8, 0))
+    else:
+        raise ValueError(f"unknown hasher: {hasher}")
     return out[:dims]
 
 
@@ -35,7 +43,8 @@ def _unit(total: Column) -> Column:
     return total / 127.5 - 1.0
 
 
-def mean_vectors(df: DataFrame, text: str = "message", key: str = "message_id", dims: int = DIMS) -> DataFrame:
+def mean_vectors(df: DataFrame, text: str = "message", key: str = "message_id", dims: int = DIMS,
+                 hasher: str = "xxhash64") -> DataFrame:
     """key, mean: mean of the token vectors, zeros for a text without tokens.
 
     Tokens are summed as whole numbers where they are read, so a message crosses the
@@ -43,34 +52,35 @@ def mean_vectors(df: DataFrame, text: str = "message", key: str = "message_id",
     """
     tokens = df.select(key, F.explode_outer(token_texts(text)).alias("_token"))
     parts = tokens.select(key, F.col("_token").isNotNull().cast("long").alias("_one"),
-                          *[b.alias(f"_b{i}") for i, b in enumerate(_token_bytes(F.col("_token"), dims))])
+                          *[b.alias(f"_b{i}") for i, b in enumerate(_token_bytes(F.col("_token"), dims, hasher))])
     sums = parts.groupBy(key).agg(F.sum("_one").alias("_n"), *[F.sum(f"_b{i}").alias(f"_b{i}") for i in range(dims)])
     values = F.array(*[_unit(F.col(f"_b{i}") / F.col("_n")) for i in range(dims)])
     zeros = F.array(*[F.lit(0.0)] * dims)
     return sums.select(key, F.when(F.col("_n") > 0, values).otherwise(zeros).alias("mean"))
 
 
-def first_vectors(df: DataFrame, text: str = "message", dims: int = DIMS, out: str = "first") -> DataFrame:
+def first_vectors(df: DataFrame, text: str = "message", dims: int = DIMS, out: str = "first",
+                  hasher: str = "xxhash64") -> DataFrame:
     """Add the vector of the first token, zeros without one."""
     marked = df.withColumn("_token", F.regexp_extract(text, f"({TOKEN_PATTERN})", 1))
     names = [f"_b{i}" for i in range(dims)]
-    wide = marked.select("*", *[b.alias(n) for b, n in zip(_token_bytes(F.col("_token"), dims), names)])
+    wide = marked.select("*", *[b.alias(n) for b, n in zip(_token_bytes(F.col("_token"), dims, hasher), names)])
     values = F.array(*[_unit(F.col(n).cast("double")) for n in names])
     zeros = F.array(*[F.lit(0.0)] * dims)
     return wide.select(*df.columns, F.when(F.col("_token") == "", zeros).otherwise(values).alias(out))
 
 
 def embed_hashed(df: DataFrame, strategy: str = "mixed", text: str = "message", key: str = "message_id",
-                 dims: int = DIMS) -> DataFrame:
+                 dims: int = DIMS, hasher: str = "xxhash64") -> DataFrame:
     """Add ``embedding`` from hashed token vectors: first token, mean of tokens, or both joined."""
     check_strategy(strategy)
     kept = [c for c in df.columns if c not in (text, "responsiveness")]
     if strategy == "cls":
-        return first_vectors(df, text, dims, "embedding").select(*kept, "embedding")
-    means = mean_vectors(df, text, key, dims)
+        return first_vectors(df, text, dims, "embedding", hasher).select(*kept, "embedding")
+    means = mean_vectors(df, text, key, dims, hasher)
     if strategy == "mean":
         return df.select(*kept).join(means.withColumnRenamed("mean", "embedding"), key)
-    firsts = first_vectors(df, text, dims, "_first").select(*kept, "_first")
+    firsts = first_vectors(df, text, dims, "_first", hasher).select(*kept, "_first")
     return firsts.join(means, key).withColumn("embedding", F.concat("_first", "mean")).select(*kept, "embedding")
 
 

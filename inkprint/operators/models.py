@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from inkprint.config import FeatureConfig
 from inkprint.constants import SEED
 from inkprint.functions import probs as pr
-from inkprint.functions.rounding import let
 from inkprint.operators import evaluate as ev
 from inkprint.operators.features import input_columns, select_features
 from inkprint.operators.neighbors import knn_join, knn_votes
@@ -122,8 +121,7 @@ class Fitted:
             probability = vector_to_array("probability")
         else:  # one score per class, scaled to sum to one
             scores = F.array(*[F.get(vector_to_array(f"class_{c}"), F.lit(1)) for c in range(self.n_classes)])
-            probability = let(scores, lambda v: F.transform(
-                v, lambda x: x / F.aggregate(v, F.lit(1e-300), lambda acc, y: acc + y)))
+            probability = pr.scaled(scores)
         scored = out.select(*df.columns, probability.alias("probability"))
         return scored.withColumn("prediction", pr.argmax("probability").cast("int"))
 
