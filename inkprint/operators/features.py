@@ -113,7 +113,7 @@ def build_features(df: DataFrame, config: FeatureConfig | None = None,
     """message_id, user, the enabled features, 19 tag shares and the bag as one sparse vector.
 
     Everything but the bag and over-long word lists is computed in the scan of the
-    messages. ``sentiment``/``emotion`` may be functions of a DataFrame that add the
+    messages, so only the narrow result is exchanged to meet the bag. ``sentiment``/``emotion`` may be functions of a DataFrame that add the
     class column; without them the short cue lists decide.
     """
     if "message" not in df.columns:
@@ -122,8 +122,7 @@ def build_features(df: DataFrame, config: FeatureConfig | None = None,
     vocabularies = vocabularies or {}
     keys = [c for c in ("message_id", "user") if c in df.columns]
     use_bag = config.is_on("bag_of_words")
-    rows = df.repartition(F.col("message_id")) if use_bag else df
-    out = tk.annotate(rows, lemma_table=lemma_table, pos_table=pos_table)
+    out = tk.annotate(df, lemma_table=lemma_table, pos_table=pos_table)
 
     columns: list[str] = []
     shares: list[tuple] = []
@@ -173,7 +172,7 @@ def build_features(df: DataFrame, config: FeatureConfig | None = None,
     out = tk.add_pos_shares(out) if compose else out
     out = out.select(*keys, *columns)
     if use_bag:
-        bag = bag_of_words(rows, bag_width, hasher)
+        bag = bag_of_words(df, bag_width, hasher)
         out = (
             out.join(bag, "message_id", "left")
             .withColumn("bow", sparse_vector(F.col("buckets"), F.col("values"), bag_width))

@@ -311,12 +311,13 @@ class EmbeddingModel:
         return cls(kept.model.stages[0], kept.n_classes)
 
 
-def _loss(df: DataFrame, label: str, gamma: float | None) -> tuple[float, float]:
-    """(mean loss, accuracy) in one pass; cross-entropy, or focal loss with the given gamma."""
+def _losses(df: DataFrame, label: str, gamma: float | None) -> dict[str, tuple[float, float]]:
+    """split -> (mean loss, accuracy) in one pass; cross-entropy, or focal loss with the given gamma."""
     p = F.greatest(ev.true_probability("probability", label), F.lit(1e-15))
     loss = -F.ln(p) if gamma is None else pr.focal_loss(p, 0.5, gamma)
     hit = (F.col(label) == F.col("prediction")).cast("double")
-    return tuple(df.agg(F.avg(loss), F.avg(hit)).first())
+    rows = df.groupBy("split").agg(F.avg(loss).alias("loss"), F.avg(hit).alias("hit")).collect()  # one row per part
+    return {r["split"]: (r["loss"], r["hit"]) for r in rows}
 
 
 def train_embedding_model(df: DataFrame, epochs: int = 15, steps: int = 4, hidden: tuple[int, ...] = (64,),
@@ -330,7 +331,7 @@ def train_embedding_model(df: DataFrame, epochs: int = 15, steps: int = 4, hidde
     parts = materialize(train_val_test(df.select("message_id", label, "embedding"), label, test_size, val_size,
                                        seed=seed), "parts")
     pick = lambda name: parts.filter(F.col("split") == name).drop("split")
-    train, val, test = pick("train"), pick("val"), pick("test")
+    train, test, seen = pick("train"), pick("test"), parts.filter("split != 'test'")
     drawn = materialize(balanced_resample(train, label, seed=seed) if balance else train, "drawn")
     ready = drawn.select(F.col(label).cast("double").alias(label),
                          array_to_vector(F.col("embedding").cast("array<double>")).alias(_ASSEMBLED)).persist()
@@ -343,8 +344,9 @@ def train_embedding_model(df: DataFrame, epochs: int = 15, steps: int = 4, hidde
             fitted = net.fit(ready)
             net.setInitialWeights(fitted.weights)
             model = EmbeddingModel(fitted, n_classes)
-            train_loss, train_accuracy = _loss(model.predict(train), label, gamma)
-            val_loss, val_accuracy = _loss(model.predict(val), label, gamma)
+            losses = _losses(model.predict(seen), label, gamma)
+            train_loss, train_accuracy = losses["train"]
+            val_loss, val_accuracy = losses.get("val", (None, None))
             rows.append((epoch, train_loss, val_loss, train_accuracy, val_accuracy))
             if val_accuracy is not None and val_accuracy > best_accuracy:
                 best, best_accuracy = model, val_accuracy

@@ -33,11 +33,6 @@ def uniform(key: str | Column, seed: int = SEED) -> Column:
     return (whole + 0.5) / float(1 << 52)
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """Write a per-class table once; Spark then knows its size and broadcasts it only if that is small."""
-    return materialize(df, "classes")
-
-
 def histogram(df: DataFrame, by: str, key: str, seed: int = SEED) -> DataFrame:
     """(by, cell, n): how many rows of each class have a key in each cell; written once."""
     keyed = df.select(by, F.substring(hash_key(key, seed), 1, PREFIX).alias("_cell"))
@@ -61,8 +56,9 @@ def rank_cuts(df: DataFrame, cells: DataFrame, by: str, key: str, ranks: DataFra
     )
     keyed = df.select(by, hash_key(key, seed).alias("_key")).withColumn("_cell", F.substring("_key", 1, PREFIX))
     in_cell = Window.partitionBy(by, "label", "_cell").orderBy("_key")
+    # written once, so that Spark knows its size; the cells spread even a class of most rows
     return (
-        keyed.join(_small(hit), [by, "_cell"])
+        keyed.join(materialize(hit, "hit"), [by, "_cell"])
         .withColumn("_place", F.row_number().over(in_cell))
         .filter(F.col("_place") == F.col("_need"))
         .select(by, "label", F.col("_key").alias("cut"))
@@ -73,7 +69,7 @@ def _with_cuts(df: DataFrame, by: str, cuts: DataFrame, labels: Sequence[str]) -
     """Add one column ``_cut_<label>`` per label; null where the class takes no row."""
     wide = cuts.groupBy(by).agg(*[
         F.max(F.when(F.col("label") == label, F.col("cut"))).alias(f"_cut_{label}") for label in labels])
-    return df.join(_small(wide), by, "left")
+    return lookup(df, wide, by)
 
 
 def undersample(df: DataFrame, by: str = "user", key: str = "message_id", seed: int = SEED,
@@ -206,7 +202,7 @@ def class_weights(df: DataFrame, by: str = "user") -> DataFrame:
 
 def with_class_weight(df: DataFrame, by: str = "user", out: str = "weight") -> DataFrame:
     weights = class_weights(df, by).select(by, F.col("norm_weight").alias(out))
-    return df.join(_small(weights), by)
+    return lookup(df, weights, by, "inner")
 
 
 def class_distribution(df: DataFrame, by: str = "user") -> DataFrame:
@@ -239,7 +235,7 @@ def balanced_resample(df: DataFrame, by: str = "user", key: str = "message_id",
     counts = df.groupBy(by).agg(F.count("*").alias("_n"))
     per_class = counts.agg((F.sum("_n") / F.count("*")).alias("r")).scalar()
     rates = counts.select(by, (per_class / F.col("_n")).alias("_rate"))
-    drawn = df.join(_small(rates), by).withColumn("_k", _poisson(uniform(key, seed), F.col("_rate")))
+    drawn = lookup(df, rates, by, "inner").withColumn("_k", _poisson(uniform(key, seed), F.col("_rate")))
     return (
         drawn.filter("_k > 0").withColumn("draw", F.explode(F.sequence(F.lit(1), F.col("_k"))))
         .select(*df.columns, "draw")

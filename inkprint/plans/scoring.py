@@ -11,6 +11,7 @@ from inkprint.functions import probs as pr
 from inkprint.operators.clean import drop_blank
 from inkprint.operators.order import blocked_running_sums
 from inkprint.operators.stack import Stack
+from inkprint.session import materialize
 
 
 def explode_classes(df: DataFrame, probs: str = "probability") -> DataFrame:
@@ -46,7 +47,8 @@ def score_messages(df: DataFrame, stack: Stack, to_features: Callable[[DataFrame
     rows = drop_blank(df, "message")
     probs = stack.predict(to_features(rows), to_embeddings(rows)).select("message_id", "probability")
     place = rows.select("message_id", *keys, "pos")
-    return running_average(explode_classes(place.join(probs, "message_id")), keys)
+    # written once: the running sums read the scored rows more than once
+    return running_average(explode_classes(materialize(place.join(probs, "message_id"), "scored")), keys)
 
 
 def verdict(df: DataFrame, probs: str = "probability") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from inkprint.operators.order import blocked_running_sums
-from inkprint.session import path_exists
+from inkprint.session import materialize, path_exists
 
 
 def stream_totals(stream: DataFrame, keys: tuple[str, ...] = ("chat_id",), p: str = "p",
@@ -66,7 +66,8 @@ def score_stream(stream: DataFrame, score: Callable[[DataFrame], DataFrame], out
     write = running_batches(out, state, keys, pos)
 
     def run(batch: DataFrame, epoch: int) -> None:
-        write(score(batch), epoch)
+        # the running sums read the scored rows more than once; the models run once
+        write(materialize(score(batch), "batch"), epoch)
 
     return (
         stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
