@@ -19,6 +19,7 @@ from inkprint.session import materialize
 
 PIVOTS = 32
 BLOCK_ROWS = 4_000
+PAIRS_AT_ONCE = 200_000
 _SLACK = 1e-6  # bounds are widened by this share so that rounding never drops a neighbour
 
 
@@ -32,7 +33,18 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _nearest(queries: np.ndarray, query_ids: np.ndarray, base: np.ndarray, base_ids: np.ndarray, k: int):
-    """Per query the k base rows with smallest (squared distance, id), distances exact."""
+    """Per query the k base rows with smallest (squared distance, id), distances exact.
+
+    Queries go in slices: where most of a block are copies of one vector all of them tie
+    for the k-th place, and a slice bounds the memory those ties take.
+    """
+    step = max(1, PAIRS_AT_ONCE // max(1, len(base)))
+    parts = [_nearest_slice(queries[i:i + step], query_ids[i:i + step], base, base_ids, k)
+             for i in range(0, len(queries), step)]
+    return tuple(np.concatenate(column) for column in zip(*parts))
+
+
+def _nearest_slice(queries: np.ndarray, query_ids: np.ndarray, base: np.ndarray, base_ids: np.ndarray, k: int):
     squares = (queries * queries).sum(1)[:, None] + (base * base).sum(1)[None, :] - 2.0 * queries @ base.T
     k = min(k, len(base))
     kth = np.partition(squares, k - 1, axis=1)[:, k - 1]
@@ -40,7 +52,7 @@ def _nearest(queries: np.ndarray, query_ids: np.ndarray, base: np.ndarray, base_
     near_query, near_base = np.nonzero(squares <= (kth + 1e-9 * scale + 1e-12)[:, None])
     gaps = queries[near_query] - base[near_base]
     exact = (gaps * gaps).sum(1)
-    order = np.lexsort((base_ids[near_base], exact, near_query))
+    order = np.lexsort((base_ids[near_base], np.round(exact, 12), near_query))
     near_query, near_base, exact = near_query[order], near_base[order], exact[order]
     starts = np.searchsorted(near_query, np.arange(len(queries)))
     place = np.arange(len(near_query)) - starts[near_query]
