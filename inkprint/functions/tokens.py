@@ -187,7 +187,9 @@ def _known_share(words: DataFrame, known: DataFrame, key: str) -> DataFrame:
     The arrays are partitioned by message before they are spread out, so counting the
     distinct words of a message and adding up their hits need no exchange of their own.
     """
-    each = words.repartition(F.col(key)).select(key, F.explode("_words").alias("word"))
+    # outer, as the filter Spark infers from a plain explode would tokenise every text once more
+    each = words.repartition(F.col(key)).select(key, F.explode_outer("_words").alias("word"))
+    each = each.filter(F.col("word").isNotNull())
     counts = each.groupBy(key, "word").agg(F.count("*").alias("_n"))
     flagged = lookup(counts, known.select("word").distinct().withColumn("_known", F.lit(1)), "word")
     hits = F.sum(F.when(F.col("_known") == 1, F.col("_n")).otherwise(0))
