@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_PARTS = ["decontaminate"]
+_PARTS = ["decontaminate", "language"]
 
 
 def _load():
