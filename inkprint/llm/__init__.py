@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_PARTS = ["decontaminate", "language", "lm"]
+_PARTS = ["decontaminate", "language", "lm", "neardup"]
 
 
 def _load():

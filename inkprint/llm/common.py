@@ -71,3 +71,28 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0x94D049BB133111EB)
     x ^= x >> np.uint64(31)
     return x
+
+
+def groups(batches, keys: int):
+    """(key, table) for each run of equal values in the first ``keys`` columns of sorted batches."""
+    held: list[pa.RecordBatch] = []
+    current = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(keys)]
+        change = np.zeros(batch.num_rows - 1, dtype=bool)
+        for c in columns:
+            change |= c[1:] != c[:-1]
+        ends = [*(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+        start = 0
+        for end in ends:
+            key = tuple(c[start] for c in columns)
+            if held and key != current:
+                yield current, pa.Table.from_batches(held)
+                held = []
+            current = key
+            held.append(batch.slice(start, end - start))
+            start = end
+    if held:
+        yield current, pa.Table.from_batches(held)
