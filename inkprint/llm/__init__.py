@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_PARTS = ["decontaminate", "language", "lm", "neardup"]
+_PARTS = ["decontaminate", "language", "linededup", "lm", "neardup"]
 
 
 def _load():
