@@ -35,9 +35,9 @@ from pyspark.sql import types as T
 from inkprint.llm.common import held_out, lists, mix64, query, table, texts_of, with_struct
 from inkprint.session import materialize
 
-GROUP_BYTES = 8 << 20
-FLUSH_WORDS = 400_000
-FLUSH_GRAMS = 4_000_000
+GROUP_BYTES = 2 << 20
+FLUSH_WORDS = 200_000
+FLUSH_GRAMS = 2_000_000
 HEAD_LEVEL = 1.25  # the head of the vocabulary is cut at a power of this count
 END = b""  # no word is empty
 _BEGIN = np.uint64(0x5851F42D4C957F2D)
@@ -254,7 +254,7 @@ def build_filter(texts: DataFrame, tokens: int, order: int, base: float, bits_pe
 
 
 def train(texts: DataFrame, text: str = "text", order: int = 2, strength: float = 100.0, base: float = 1.5,
-          bits_per_item: float = 8.0, max_bytes: int = 64 << 20, head_words: int = 500_000) -> Model:
+          bits_per_item: float = 8.0, max_bytes: int = 64 << 20, head_words: int = 250_000) -> Model:
     """A model of all texts of the table."""
     rows = texts.select(F.col(text).cast("string").alias("text"))
     counts = materialize(rows.mapInArrow(_count_words, "word binary, n long").where("n > 0")
