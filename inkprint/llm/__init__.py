@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_PARTS = ["decontaminate", "language", "linededup", "lm", "neardup"]
+_PARTS = ["decontaminate", "embeddings", "language", "linededup", "lm", "neardup", "warc"]
 
 
 def _load():
