@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_PARTS = ["decontaminate", "embeddings", "language", "linededup", "lm", "neardup", "warc"]
+_PARTS = ["decontaminate", "embeddings", "language", "linededup", "lm", "mixing", "neardup", "warc"]
 
 
 def _load():
