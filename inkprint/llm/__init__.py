@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import importlib
 
-_PARTS = ["decontaminate", "embeddings", "language", "linededup", "lm", "mixing", "neardup", "warc"]
+_PARTS = ["decontaminate", "embeddings", "language", "licenses", "linededup", "lm", "mixing", "neardup", "passages",
+          "warc"]
 
 
 def _load():
