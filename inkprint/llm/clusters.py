@@ -27,24 +27,57 @@ def tune(threshold: float, recall: float, chance: float = 0.3, most: float = 0.3
     raise ValueError("no number of bands below the limit suffices")
 
 
-def _compare(least: int):
-    """Pairs of different labels, in a tile, with at least ``least`` equal signature bytes."""
+def _possible(tile: pa.Table, i: int, j: int, least: int):
+    """For each node of a tile the places of the nodes of another label that it has to be compared with here: at least
+    ``least`` equal signature bytes, and this band the first that the two share. Labels may be merged meanwhile."""
+    block, band = tile.column("block").to_numpy(), tile.column("band")[0].as_py()
+    node, label = tile.column("node").to_numpy(), tile.column("label").to_numpy().copy()
+    small = np.frombuffer(b"".join(tile.column("signature").to_pylist()), np.uint8).reshape(len(node), -1)
+    keys = tile.column("keys").combine_chunks().flatten().to_numpy().reshape(len(node), -1)[:, :band]
+    for k in range(len(node)):
+        if i != j and block[k] != i:
+            continue
+        other = np.flatnonzero((label != label[k]) & ((node > node[k]) if i == j else (block == j)))
+        if len(other):
+            other = other[(small[other] == small[k]).sum(1) >= least]
+        if len(other):
+            other = other[~(keys[other] == keys[k]).any(1)]
+        if len(other):
+            yield k, other, label
+
+
+def _doubtful(least: int):
+    """The rows of the tiles that have something to be compared with."""
     def run(batches):
         for (_, i, j), tile in groups(batches, 3):
-            node, label = tile.column(4).to_numpy(), tile.column(5).to_numpy()
-            block = tile.column(3).to_numpy()
-            small = np.frombuffer(b"".join(tile.column(6).to_pylist()), np.uint8).reshape(len(node), -1)
-            found = []
-            for k in range(len(node)):
-                if i != j and block[k] != i:
-                    continue
-                other = np.flatnonzero((label != label[k]) & ((node > node[k]) if i == j else (block == j)))
-                if len(other):
-                    near = other[(small[other] == small[k]).sum(1) >= least]
-                    found += [(node[k], node[x]) for x in near]
-            if found:
-                pairs = np.array(found, dtype=np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs.min(1)), pa.array(pairs.max(1))], ["a", "b"])
+            seen = np.zeros(tile.num_rows, dtype=bool)
+            for k, other, _ in _possible(tile, i, j, least):
+                seen[k] = True
+                seen[other] = True
+            if seen.any():
+                yield from tile.select(["key", "i", "j", "block", "node", "label", "band"]) \
+                    .filter(pa.array(seen)).combine_chunks().to_batches()
+    return run
+
+
+def _linked(least: int, threshold: float):
+    """Links between labels of a tile, by the exact similarity; one link is enough to join two labels."""
+    def run(batches):
+        for (_, i, j), tile in groups(batches, 3):
+            node = tile.column("node").to_numpy()
+            sets = [np.frombuffer(x, np.uint64) for x in tile.column("elements").to_pylist()]
+            a, b = [], []
+            for k, other, label in _possible(tile, i, j, least):
+                for x in other:
+                    if label[x] == label[k]:
+                        continue
+                    common = len(sets[k]) + len(sets[x]) - len(np.union1d(sets[k], sets[x]))
+                    if common >= threshold * (len(sets[k]) + len(sets[x]) - common) - 1e-9:
+                        a.append(node[k])
+                        b.append(node[x])
+                        label[label == label[x]] = label[k]
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
     return run
 
 
@@ -54,12 +87,13 @@ def cluster(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], thresho
     returns their sets (node, elements).
 
     Of a key with n nodes, n - 1 pairs are checked first: those with its smallest node. Where it still holds
-    several components, pairs across them are compared by their signature bytes inside tasks, in tiles of
-    about ``TILE`` nodes, and those whose estimate is not clearly below the threshold are checked as well.
+    several components, nodes of different ones are compared inside tasks, in tiles of about ``TILE`` nodes: first by
+    their signature bytes, and those whose estimate is not clearly below the threshold by their sets. Only links that join
+    components leave a tile, never candidates.
     """
-    keyed = nodes.select("node", "n", F.explode("keys").alias("key"))
+    keyed = nodes.select("node", "n", F.posexplode("keys").alias("band", "key"))
     common = keyed.groupBy("key").agg(F.min(F.struct("node", "n")).alias("first"), F.count("*").alias("size")).where("size > 1")
-    hits = materialize(keyed.join(common, "key").select("key", "node", "n", "first"), "hits")
+    hits = materialize(keyed.join(common, "key").select("key", "band", "node", "n", "first"), "hits")
     alike = F.least("n", "first.n") >= F.greatest("n", "first.n") * threshold - 1e-9
     pairs = hits.where((F.col("node") != F.col("first.node")) & alike) \
         .select(F.col("first.node").alias("a"), F.col("node").alias("b")).distinct()
@@ -67,8 +101,8 @@ def cluster(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], thresho
     links = materialize(similar_pairs(pairs, sets, threshold), "links")
     first = components(links)
 
-    label = hits.select("key", "node").join(first.withColumnRenamed("id", "node"), "node", "left") \
-        .select("key", "node", F.coalesce("component", "node").alias("label"))
+    label = hits.select("key", "band", "node").join(first.withColumnRenamed("id", "node"), "node", "left") \
+        .select("key", "band", "node", F.coalesce("component", "node").alias("label"))
     label = materialize(label, "labels")
     mixed = label.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("size")) \
         .where("x <> y").select("key", F.ceil(F.col("size") / TILE).cast("int").alias("blocks"))
@@ -76,9 +110,18 @@ def cluster(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], thresho
     blocked = label.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     tiles = blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "key", F.least("block", "other").cast("int").alias("i"), F.greatest("block", "other").cast("int").alias("j"),
-        "block", "node", "label")
-    rows_of = tiles.join(nodes.select("node", "signature"), "node").select("key", "i", "j", "block", "node", "label", "signature")
+        "block", "node", "label", "band")
     sure = threshold - 4.5 * (threshold * (1 - threshold) / coordinates) ** 0.5  # a weaker estimate is no link
-    more = rows_of.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j") \
-        .mapInArrow(_compare(int(np.floor(sure * coordinates))), "a long, b long").distinct()
-    return components(links.union(similar_pairs(more, sets, threshold)))
+    least = int(np.floor(sure * coordinates))
+    names = ["key", "i", "j", "block", "node", "label", "band"]
+
+    def by_tile(rows):
+        return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    sketched = tiles.join(nodes.select("node", "signature", "keys"), "node").select(*names, "signature", "keys")
+    doubtful = materialize(by_tile(sketched).mapInArrow(
+        _doubtful(least), "key long, i int, j int, block int, node long, label long, band int"), "doubtful")
+    whole = doubtful.join(nodes.select("node", "signature", "keys"), "node").join(sets, "node") \
+        .select(*names, "signature", "keys", "elements")
+    more = by_tile(whole).mapInArrow(_linked(least, threshold), "a long, b long")
+    return components(links.union(more))

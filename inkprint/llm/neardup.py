@@ -4,9 +4,9 @@
    coordinate. Texts with equal sets are one node from here on.
 2. Nodes that share a band key are candidates. Each is checked against the smallest node of the key (so a key with
    n nodes gives n - 1 pairs), by the exact Jaccard similarity of the shingle sets.
-3. Where a key still holds nodes of several components, the pairs across components are compared by their signature
-   bytes inside a task, in tiles of bounded size; only those whose estimate is not clearly below the
-   threshold leave the task and are checked exactly.
+3. Where a key still holds nodes of several components, nodes of different ones are compared inside a task, in tiles
+   of bounded size, by their signature bytes and, where the estimate is not clearly below the threshold,
+   exactly. Only links leave the task.
 4. Components of all links are the classes.
 
 A pair of similarity s shares a key with probability 1 - (1 - s^rows)^bands: 0.999995 at 0.8 with the
@@ -24,13 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkprint.llm.common import groups, query, table, texts_of
-from inkprint.llm.graph import components
-from inkprint.llm.shingles import GROUP_BYTES, Darts, band_keys, fingerprint, shingle_sets, similar_pairs
+from inkprint.llm.clusters import cluster
+from inkprint.llm.common import query, table, texts_of
+from inkprint.llm.shingles import GROUP_BYTES, Darts, band_keys, fingerprint, shingle_sets
 from inkprint.session import materialize
 
-TILE = 1024
-
 
 def _parts(ids, texts):
     """Consecutive rows, of bounded text size."""
@@ -72,27 +70,6 @@ def _sets(width: int):
     return run
 
 
-def _compare(least: int):
-    """Pairs of different labels, in a tile, with at least ``least`` equal signature bytes."""
-    def run(batches):
-        for (_, i, j), tile in groups(batches, 3):
-            node, label = tile.column(4).to_numpy(), tile.column(5).to_numpy()
-            block = tile.column(3).to_numpy()
-            small = np.frombuffer(b"".join(tile.column(6).to_pylist()), np.uint8).reshape(len(node), -1)
-            found = []
-            for k in range(len(node)):
-                if i != j and block[k] != i:
-                    continue
-                other = np.flatnonzero((label != label[k]) & ((node > node[k]) if i == j else (block == j)))
-                if len(other):
-                    near = other[(small[other] == small[k]).sum(1) >= least]
-                    found += [(node[k], node[x]) for x in near]
-            if found:
-                pairs = np.array(found, dtype=np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs.min(1)), pa.array(pairs.max(1))], ["a", "b"])
-    return run
-
-
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.8, width: int = 5,
                     bands: int = 40, rows: int = 6, weigh: bool = False) -> DataFrame:
     """(key, class_id, kept) for every distinct id: the smallest id of its class, and whether it is that one.
@@ -107,34 +84,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", th
     nodes = sketch.join(classes.select("print", F.col("node").alias("id")), ["print", "id"], "left_semi") \
         .dropDuplicates(["print", "id"]).select(F.col("id").alias("node"), "n", "keys", "signature")
     nodes = materialize(nodes, "nodes")
-    keyed = nodes.select("node", "n", F.explode("keys").alias("key"))
-    common = keyed.groupBy("key").agg(F.min(F.struct("node", "n")).alias("first"), F.count("*").alias("size")).where("size > 1")
-    hits = materialize(keyed.join(common, "key"), "hits")
-    alike = F.least("n", "first.n") >= F.greatest("n", "first.n") * threshold - 1e-9
-    pairs = hits.where((F.col("node") != F.col("first.node")) & alike) \
-        .select(F.col("first.node").alias("a"), F.col("node").alias("b")).distinct()
-    wanted = hits.select(F.col("node").alias("id")).distinct()
-    sets = materialize(texts.join(wanted, "id", "left_semi").mapInArrow(_sets(width), "node long, elements binary"), "sets")
-    links = materialize(similar_pairs(pairs, sets, threshold), "links")
-    first = components(links)
-
-    label = hits.select("key", "node").join(first.withColumnRenamed("id", "node"), "node", "left") \
-        .select("key", "node", F.coalesce("component", "node").alias("label"))
-    label = materialize(label, "labels")
-    mixed = label.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("size")) \
-        .where("x <> y").select("key", F.ceil(F.col("size") / TILE).cast("int").alias("blocks"))
-    # a key's nodes in blocks; every pair of blocks is a tile, and a block goes to each of its tiles
-    blocked = label.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    tiles = blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", F.least("block", "other").cast("int").alias("i"), F.greatest("block", "other").cast("int").alias("j"),
-        "block", "node", "label")
-    rows_of = tiles.join(nodes.select("node", "signature"), "node").select("key", "i", "j", "block", "node", "label", "signature")
-    sure = threshold - 4.5 * (threshold * (1 - threshold) / (bands * rows)) ** 0.5  # a weaker estimate is no link
-    more = rows_of.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j") \
-        .mapInArrow(_compare(int(np.floor(sure * bands * rows))), "a long, b long").distinct()
-    every = links.union(similar_pairs(more, sets, threshold))
-    classed = components(every)
 
+    def sets_of(wanted):
+        return texts.join(wanted, "id", "left_semi").mapInArrow(_sets(width), "node long, elements binary")
+
+    classed = cluster(nodes, sets_of, threshold, bands * rows)
     member = sketch.select("id", "print").distinct().join(classes, "print")
     member = member.join(classed.withColumnRenamed("id", "node"), "node", "left") \
         .groupBy("id").agg(F.min(F.coalesce("component", "node")).alias("class_id"))
