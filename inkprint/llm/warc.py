@@ -65,7 +65,7 @@ class Package:
         tail_at = max(0, size - 65557)  # the end record and the longest comment
         tail = read(tail_at, size - tail_at)
         at = tail.rfind(_END)
-        while at >= 0 and at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail):
+        while at >= 0 and (at + 22 > len(tail) or at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail)):
             at = tail.rfind(_END, 0, at)
         if at < 0:
             raise ValueError("no end of central directory")
