@@ -35,8 +35,8 @@ def texts_of(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def with_struct(df: DataFrame, column: str, into: str, fields: T.StructType, start) -> DataFrame:
-    """``df`` and one struct column computed batch by batch from ``column``.
+def with_struct(df: DataFrame, column: str, into: str, fields: T.StructType, start, rows: int = 1 << 20) -> DataFrame:
+    """``df`` and one struct column computed from ``column``, for at most ``rows`` rows of a batch at once.
 
     ``start()`` runs once in each task and returns a function from the list of UTF-8 texts of
     a batch (None where null) to one Arrow array per field. An input column that is called
@@ -50,9 +50,11 @@ def with_struct(df: DataFrame, column: str, into: str, fields: T.StructType, sta
     def run(batches):
         compute = start()
         for batch in batches:
-            arrays = batch.columns
-            made = compute(texts_of(arrays[-1]))
-            yield pa.RecordBatch.from_arrays([*arrays[:-1], pa.StructArray.from_arrays(made, field_names)], names)
+            for at in range(0, max(1, batch.num_rows), rows):
+                arrays = batch.slice(at, rows).columns
+                made = compute(texts_of(arrays[-1]))
+                yield pa.RecordBatch.from_arrays([*arrays[:-1], pa.StructArray.from_arrays(made, field_names)], names)
+            pa.default_memory_pool().release_unused()
 
     return source.mapInArrow(run, schema)
 

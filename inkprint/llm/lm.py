@@ -66,6 +66,13 @@ def _groups(texts, size: int = GROUP_BYTES):
         yield group
 
 
+def _batch_groups(batch, rows: int = 500):
+    """The groups of a batch whose first column is the text, without a copy of the whole batch."""
+    for at in range(0, batch.num_rows, rows):
+        yield from _groups(texts_of(batch.column(0).slice(at, rows)))
+    pa.default_memory_pool().release_unused()
+
+
 class _Tokens:
     """The texts of a group as one sequence: begin, words, end; and the hashes of its n-grams."""
 
@@ -146,7 +153,7 @@ class Model:
 def _count_words(batches):
     seen: Counter = Counter()
     for batch in batches:
-        for group in _groups(texts_of(batch.column(0))):
+        for group in _batch_groups(batch):
             for words in group:
                 seen.update(words)
             seen[END] += len(group)
@@ -178,7 +185,7 @@ def _count_grams(order: int, part_shift: int):
     def run(batches):
         found, held = [], 0
         for batch in batches:
-            for group in _groups(texts_of(batch.column(0))):
+            for group in _batch_groups(batch):
                 found.append(_Tokens(group, order).all())
                 held += len(found[-1])
                 if held >= FLUSH_GRAMS:
@@ -254,7 +261,7 @@ def build_filter(texts: DataFrame, tokens: int, order: int, base: float, bits_pe
 
 
 def train(texts: DataFrame, text: str = "text", order: int = 2, strength: float = 100.0, base: float = 1.5,
-          bits_per_item: float = 8.0, max_bytes: int = 64 << 20, head_words: int = 250_000) -> Model:
+          bits_per_item: float = 8.0, max_bytes: int = 64 << 20, head_words: int = 200_000) -> Model:
     """A model of all texts of the table."""
     rows = texts.select(F.col(text).cast("string").alias("text"))
     counts = materialize(rows.mapInArrow(_count_words, "word binary, n long").where("n > 0")
@@ -335,7 +342,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", into: str = "lm") -
                     pa.array(np.concatenate(scores) if scores else [], pa.float64()), lists(np.array(offsets), rest)]
         return compute
 
-    scanned = materialize(with_struct(docs, text, "__lm", _FIELDS, start).drop(text)
+    scanned = materialize(with_struct(docs, text, "__lm", _FIELDS, start, rows=500).drop(text)
                           .withColumn("__row", F.monotonically_increasing_id()), "scores")
     rest = scanned.select("__row", F.explode("__lm.rest").alias("w")).select("__row", "w.word", F.col("w.n").alias("times"))
     tail = model.counts.where(_level("n", HEAD_LEVEL) < model.head_level)
