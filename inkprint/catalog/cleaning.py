@@ -82,6 +82,13 @@ def c8_dense(spark, d):
     return cl.with_message_id(chat(spark, d).select("chat_id", "pos"), dense=True)
 
 
+@query("c8_large_chat_ids", "SELECT conv_id * 4294967296 + 7 AS chat_id, turn AS pos, "
+       "(dense_rank() OVER (ORDER BY conv_id) - 1) * 4294967296 + turn AS message_id FROM conversations")
+def c8_large(spark, d):
+    rows = chat(spark, d).select((F.col("chat_id") * (1 << 32) + 7).alias("chat_id"), "pos")
+    return cl.with_message_id(rows).select("chat_id", "pos", "message_id")
+
+
 @query("c9_select_features", "SELECT doc_id AS message_id, length(text)::BIGINT AS char_count FROM documents")
 def c9(spark, d):
     rows = build_features(docs(spark, d), FeatureConfig.only("char_count", "uppercase_count", "message_composition"))

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from inkprint.catalog.base import chat, query, r6
 from inkprint.catalog.cleaning import _CLEAN
 from inkprint.config import FeatureConfig
-from inkprint.constants import COMMON_WORDS, SPACE_CLASS, TOKEN_PATTERN
+from inkprint.constants import ENGLISH_WORDS, SPACE_CLASS, TOKEN_PATTERN
 from inkprint.operators.clean import clean_messages
 from inkprint.operators.features import build_features
 
-_WORDS = ", ".join(f"'{w}'" for w in COMMON_WORDS)
+_WORDS = ", ".join(f"'{w}'" for w in ENGLISH_WORDS)
 
 FLAGSHIP_SQL = rf"""
 WITH clean AS ({_CLEAN}),

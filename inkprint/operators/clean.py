@@ -96,14 +96,26 @@ def drop_blank(df: DataFrame, body: str = "body") -> DataFrame:
     return df.withColumn(body, trimmed).filter(F.col(body) != "")
 
 
-def with_message_id(df: DataFrame, chat: str = "chat_id", pos: str = "pos", dense: bool = False) -> DataFrame:
-    """Add a stable key from chat and position, or (``dense``) 0..n-1 in that order."""
+def with_message_id(df: DataFrame, chat: str = "chat_id", pos: str = "pos", dense: bool = False,
+                    keys: DataFrame | None = None) -> DataFrame:
+    """Add a stable key from chat and position, or (``dense``) 0..n-1 in that order.
+
+    The key is the chat's number times 2^32 plus the position. A chat's number is its id where all ids are
+    integers below 2^31, and its place among the sorted ids otherwise. Positions must lie in
+    [0, 2^32), else two messages could share a key: that is an error. ``keys`` may name a cheaper table with the
+    same chats and positions.
+    """
     if dense:
         return dense_index(df, [chat, pos], "message_id")
-    if dict(df.dtypes)[chat] in ("bigint", "int", "smallint", "tinyint"):
-        number = F.col(chat).cast("long")
+    keys = df if keys is None else keys
+    whole = dict(df.dtypes)[chat] in ("bigint", "int", "smallint", "tinyint")
+    number = F.col(chat).cast("long") if whole else F.lit(None).cast("long")
+    low, high, first, last = keys.agg(F.min(number), F.max(number), F.min(pos), F.max(pos)).first()
+    if first is not None and (first < 0 or last >= 1 << 32):
+        raise ValueError("positions must be in [0, 2^32)")
+    if whole and (low is None or (low >= 0 and high < 1 << 31)):
         return df.withColumn("message_id", F.shiftleft(number, 32) + F.col(pos))
-    chats, size = dimension_index(df.select(chat).distinct(), chat, "_chat_no")
+    chats, size = dimension_index(keys.select(chat).distinct(), chat, "_chat_no")
     return (
         lookup(df, chats, chat, known_bytes=size)
         .withColumn("message_id", F.shiftleft(F.col("_chat_no"), 32) + F.col(pos)).drop("_chat_no")
@@ -151,7 +163,7 @@ def clean_messages(msgs: DataFrame, patterns: Iterable[str] | None = None, place
     dimension = user_dimension(drop_info(msgs))
     users = dimension.table
     timed = drop_info(responsiveness(msgs, scope))
-    rows = with_message_id(attach_users(timed, dimension))
+    rows = with_message_id(attach_users(timed, dimension), keys=msgs.select("chat_id", "pos"))
     rows = drop_attached(drop_notices(rows.withColumn("body", strip_edited("body")), patterns))
     rows = materialize(rows.select("message_id", "responsiveness", "user", F.col("body").alias("message")), "clean")
     if balance:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from inkprint.config import FeatureConfig
 from inkprint.constants import (
-    BAG_WIDTH, COMMON_WORDS, EMOTION_CUES, EMOTION_IDS, MILD_SWEAR_WORDS, POS_TAGS, SENTIMENT_CUES, SENTIMENT_IDS,
+    BAG_WIDTH, COMMON_WORDS, ENGLISH_WORDS, ITALIAN_WORDS, EMOTION_CUES, EMOTION_IDS, MILD_SWEAR_WORDS, POS_TAGS, SENTIMENT_CUES, SENTIMENT_IDS,
 )
 from inkprint.functions import text as tx
 from inkprint.functions import tokens as tk
@@ -109,12 +109,13 @@ def build_features(df: DataFrame, config: FeatureConfig | None = None,
                    common_words: DataFrame | Iterable[str] | None = None,
                    lemma_table: DataFrame | None = None, pos_table: DataFrame | None = None,
                    hasher: str = "xxhash64", bag_width: int = BAG_WIDTH,
-                   sentiment=None, emotion=None) -> DataFrame:
+                   sentiment=None, emotion=None, tagger=None) -> DataFrame:
     """message_id, user, the enabled features, 19 tag shares and the bag as one sparse vector.
 
     Everything but the bag and over-long word lists is computed in the scan of the
     messages, so only the narrow result is exchanged to meet the bag. ``sentiment``/``emotion`` may be functions of a DataFrame that add the
-    class column; without them the short cue lists decide.
+    class column; without them the short cue lists decide. ``tagger`` takes the place of the rules and
+    short lexicon that tag the tokens (see ``annotate_with``).
     """
     if "message" not in df.columns:
         raise KeyError("message")
@@ -122,7 +123,7 @@ def build_features(df: DataFrame, config: FeatureConfig | None = None,
     vocabularies = vocabularies or {}
     keys = [c for c in ("message_id", "user") if c in df.columns]
     use_bag = config.is_on("bag_of_words")
-    out = tk.annotate(df, lemma_table=lemma_table, pos_table=pos_table)
+    out = tk.annotate(df, lemma_table=lemma_table, pos_table=pos_table) if tagger is None else tk.annotate_with(df, tagger)
 
     columns: list[str] = []
     shares: list[tuple] = []
@@ -140,7 +141,7 @@ def build_features(df: DataFrame, config: FeatureConfig | None = None,
             columns.extend(POS_TAGS)
             continue
         if name in ("englishness", "italianness"):
-            words = vocabularies.get(name, COMMON_WORDS)
+            words = vocabularies.get(name, ENGLISH_WORDS if name == "englishness" else ITALIAN_WORDS)
             shares.append((words, name, tk.vocabulary_share_inline, tk.vocabulary_share))
         elif name == "common_words":
             shares.append((COMMON_WORDS if common_words is None else common_words, name,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from inkprint.session import BROADCAST_BYTES, store
 
 SALTS = 32
+_NARROW = ("tinyint", "smallint", "int", "bigint", "date", "timestamp", "double", "float", "boolean")
 
 
 def lookup(big: DataFrame, small: DataFrame, key: str, how: str = "left", size: int = BROADCAST_BYTES,
@@ -24,7 +25,8 @@ def lookup(big: DataFrame, small: DataFrame, key: str, how: str = "left", size:
     if known_bytes <= size:
         return big.join(F.broadcast(small), key, how)
     # the salt is a function of the row, so a task that is run again deals its rows the same way
-    spread = F.xxhash64(*[F.col(c) for c in big.columns])
+    narrow = [c for c, t in big.dtypes if t in _NARROW and c != key]
+    spread = F.xxhash64(*[F.col(c) for c in narrow or [c for c, t in big.dtypes if not t.startswith("map")]])
     salted_big = big.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))
     salted_small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted_big.join(salted_small, [key, "_salt"], how).drop("_salt")

@@ -157,6 +157,29 @@ class FittedNeighbors:
         return df.join(table, "message_id").withColumn("prediction", pr.argmax("probability").cast("int"))
 
 
+    def save(self, path: str, overwrite: bool = False) -> None:
+        spark = SparkSession.getActiveSession()
+        if path_exists(spark, path) and not overwrite:
+            raise ValueError(f"model {path} already exists; allow retraining to overwrite it")
+        writer = self.prepare.write()
+        (writer.overwrite() if overwrite else writer).save(f"{path}/prepare")
+        self.base.write.mode("overwrite").parquet(f"{path}/base")
+        meta = json.dumps({"n_classes": self.n_classes, "inputs": self.inputs, "k": self.k})
+        spark.createDataFrame([(meta,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> FittedNeighbors:
+        meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
+        return cls(PipelineModel.load(f"{path}/prepare"), spark.read.parquet(f"{path}/base"), meta["n_classes"], meta["k"],
+                   meta["inputs"])
+
+
+def load_model(spark: SparkSession, path: str) -> Fitted | FittedNeighbors:
+    """A saved classifier of either kind."""
+    kind = FittedNeighbors if path_exists(spark, f"{path}/base") else Fitted
+    return kind.load(spark, path)
+
+
 def count_classes(df: DataFrame, label: str = "user") -> int:
     return int(df.agg(F.max(label)).first()[0]) + 1
 

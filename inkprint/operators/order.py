@@ -119,10 +119,10 @@ def blocked_lag(df: DataFrame, keys: Sequence[str], pos: str, value: str, out: s
                 F.lag("_end").over(Window.partitionBy(*keys).orderBy("_block")).alias("_carry"))
     )
     return (
-        cut.withColumn("_prev", F.lag(value).over(local))
+        cut.withColumn("_prev", F.lag(value).over(local)).withColumn("_place", F.row_number().over(local))
         .join(carried, [*keys, "_block"])
-        .withColumn(out, F.coalesce("_prev", "_carry"))
-        .drop("_block", "_prev", "_carry")
+        .withColumn(out, F.when(F.col("_place") == 1, F.col("_carry")).otherwise(F.col("_prev")))
+        .drop("_block", "_prev", "_place", "_carry")
     )
 
 

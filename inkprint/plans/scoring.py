@@ -39,7 +39,8 @@ def overall_average(df: DataFrame, keys: tuple[str, ...] = ("chat_id",), p: str
 
 def score_messages(df: DataFrame, stack: Stack, to_features: Callable[[DataFrame], DataFrame],
                    to_embeddings: Callable[[DataFrame], DataFrame], keys: tuple[str, ...] = ("chat_id",)) -> DataFrame:
-    """``df(message_id, chat_id, pos, message)`` to one row per message and class: user, p, average.
+    """``df(message_id, chat_id, pos, message)`` to one row per message and class: user, p, average,
+    and author, where the stack knows the names of its classes.
 
     Blank messages are left out. The two functions make the feature and the embedding
     table of the messages, as in training.
@@ -48,7 +49,7 @@ def score_messages(df: DataFrame, stack: Stack, to_features: Callable[[DataFrame
     probs = stack.predict(to_features(rows), to_embeddings(rows)).select("message_id", "probability")
     place = rows.select("message_id", *keys, "pos")
     # written once: the running sums read the scored rows more than once
-    return running_average(explode_classes(materialize(place.join(probs, "message_id"), "scored")), keys)
+    return stack.with_authors(running_average(explode_classes(materialize(place.join(probs, "message_id"), "scored")), keys))
 
 
 def verdict(df: DataFrame, probs: str = "probability") -> DataFrame:

@@ -79,6 +79,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of our own, if it exists."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
 def spread(scan: DataFrame, key: str) -> DataFrame:
     """Deal a scan of fewer partitions than cores over all of them; a wide scan stays as it is.
 

@@ -35,14 +35,16 @@ def union_words(lists: Iterable[DataFrame]) -> DataFrame:
 
 
 def inline_words(words: DataFrame, limit: int = 5_000) -> list[str] | None:
-    """The list on the driver if it has at most ``limit`` entries, else None."""
-    rows = words.select("word").limit(limit + 1).collect()
+    """The list on the driver if it has at most ``limit`` entries, else None. Null entries match nothing."""
+    rows = words.select("word").where("word IS NOT NULL").limit(limit + 1).collect()
     return sorted(r[0] for r in rows) if len(rows) <= limit else None
 
 
 def build_vocabulary(docs: DataFrame, text: str = "message", key: str = "message_id",
-                     min_docs: int = 2) -> DataFrame:
-    """Lower-case alphabetic tokens that occur in at least ``min_docs`` texts: word, n_docs.
+                     min_docs: int = 2, by: Iterable[str] = ()) -> DataFrame:
+    """Lower-case alphabetic tokens that occur in at least ``min_docs`` texts: (by,) word, n_docs.
+
+    With ``by``, such as the language, every group has a vocabulary of its own, from one scan.
 
     Each text first reduces its tokens to distinct words, so a word is counted once per
     text by a plain (map-side combined) count.
@@ -50,7 +52,7 @@ def build_vocabulary(docs: DataFrame, text: str = "message", key: str = "message
     words = F.array_distinct(F.transform(
         F.filter(token_texts(text), lambda t: t.rlike(r"\A\p{L}")), lambda t: F.lower(t)))
     return (
-        docs.select(key, F.explode(words).alias("word"))
-        .groupBy("word").agg(F.count("*").alias("n_docs"))
+        docs.select(key, *by, F.explode(words).alias("word"))
+        .groupBy(*by, "word").agg(F.count("*").alias("n_docs"))
         .filter(F.col("n_docs") >= min_docs)
     )

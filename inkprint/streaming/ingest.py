@@ -11,12 +11,13 @@ from inkprint.operators.parse import messages_of, resolve_aliases, split_lines
 
 
 def ingest_stream(spark: SparkSession, folder: str, out: str, checkpoint: str, aliases: DataFrame | None = None,
-                  placeholder: str = PLACEHOLDER, files_per_batch: int | None = None) -> StreamingQuery:
+                  placeholder: str = PLACEHOLDER, files_per_batch: int | None = None,
+                  trigger: dict | None = None) -> StreamingQuery:
     """Parse every new file of ``folder`` and append its messages to the table at ``out``.
 
     Files are read by lines, so one of any size is split over tasks; a file always falls
     into one micro-batch. Files that are no export are left out rather than stopping the
-    stream.
+    stream. ``trigger`` is that of the writer; without it the query takes what is there and stops.
     """
     reader = spark.readStream
     if files_per_batch:
@@ -32,4 +33,4 @@ def ingest_stream(spark: SparkSession, folder: str, out: str, checkpoint: str, a
         resolve_aliases(msgs, aliases, placeholder).write.mode("overwrite").parquet(f"{out}/batch={epoch}")
 
     return lines.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint) \
-        .trigger(availableNow=True).start()
+        .trigger(**(trigger or {"availableNow": True})).start()

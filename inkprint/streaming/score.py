@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from inkprint.operators.order import blocked_running_sums
-from inkprint.session import materialize, path_exists
+from inkprint.session import delete_path, path_exists, scratch_path
 
 
 def stream_totals(stream: DataFrame, keys: tuple[str, ...] = ("chat_id",), p: str = "p",
@@ -36,7 +36,9 @@ def running_batches(out: str, state: str, keys: tuple[str, ...] = ("chat_id",),
     The batch's own running sums are taken in blocks, so a conversation that fills the
     batch is still spread over tasks, and the totals of earlier batches are added from the
     state table. Output and state of a batch go to folders named by the batch number: a
-    batch that is run again after a failure overwrites its own and nothing else.
+    batch that is run again after a failure overwrites its own and nothing else. A batch
+    without the finished state of the batch before it is an error, not a start from zero.
+    Only the states of the last two batches are kept.
     """
     by = [*keys, "user"]
 
@@ -44,8 +46,9 @@ def running_batches(out: str, state: str, keys: tuple[str, ...] = ("chat_id",),
         spark = batch.sparkSession
         schema = _state_schema(batch, by)
         earlier = f"{state}/{epoch - 1:010d}"
-        before = spark.read.schema(schema).parquet(earlier) if epoch > 0 and path_exists(spark, earlier) \
-            else spark.createDataFrame([], schema)
+        if epoch > 0 and not path_exists(spark, f"{earlier}/_SUCCESS"):
+            raise FileNotFoundError(f"the state of batch {epoch - 1} is missing or unfinished: {earlier}")
+        before = spark.read.schema(schema).parquet(earlier) if epoch > 0 else spark.createDataFrame([], schema)
         sums = blocked_running_sums(batch.withColumn("_one", F.lit(1)), by, pos, {"_sum": p, "_count": "_one"})
         both = sums.join(before, by, "left").na.fill(0, ["_s", "_c"])
         rows = both.withColumn("average", (F.col("_sum") + F.col("_s")) / (F.col("_count") + F.col("_c")))
@@ -53,23 +56,29 @@ def running_batches(out: str, state: str, keys: tuple[str, ...] = ("chat_id",),
         totals = batch.groupBy(*by).agg(F.sum(p).alias("_s"), F.count("*").alias("_c"))
         merged = before.unionByName(totals).groupBy(*by).agg(F.sum("_s").alias("_s"), F.sum("_c").alias("_c"))
         merged.write.mode("overwrite").parquet(f"{state}/{epoch:010d}")
+        delete_path(spark, f"{state}/{epoch - 2:010d}")
 
     return run
 
 
 def score_stream(stream: DataFrame, score: Callable[[DataFrame], DataFrame], out: str, state: str, checkpoint: str,
-                 keys: tuple[str, ...] = ("chat_id",), pos: str = "pos") -> StreamingQuery:
+                 keys: tuple[str, ...] = ("chat_id",), pos: str = "pos", trigger: dict | None = None) -> StreamingQuery:
     """Score every micro-batch and write each message with its running average.
 
-    ``score`` turns message rows into (keys, pos, user, p) rows.
+    ``score`` turns message rows into (keys, pos, user, p) rows. ``trigger`` is that of the
+    writer, such as {"processingTime": "1 minute"}; without it the query takes what is there and stops.
     """
     write = running_batches(out, state, keys, pos)
 
     def run(batch: DataFrame, epoch: int) -> None:
         # the running sums read the scored rows more than once; the models run once
-        write(materialize(score(batch), "batch"), epoch)
+        spark, path = batch.sparkSession, scratch_path(batch.sparkSession, "batch")
+        scored = score(batch)
+        scored.write.parquet(path)
+        write(spark.read.schema(scored.schema).parquet(path), epoch)
+        delete_path(spark, path)
 
     return (
         stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
+        .trigger(**(trigger or {"availableNow": True})).start()
     )

@@ -57,10 +57,18 @@ def test_bad_messages(spark):
 
 
 def test_notices_keep_ordinary_text(spark):
-    df = spark.createDataFrame([("‎audio omitted",), ("Bob left",), ("he left early",), ("null",), ("null and void",)],
-                               "body string")
-    assert [r.body for r in cl.drop_notices(df).collect()] == ["he left early", "null and void"]
-    assert cl.drop_notices(df, [r"he .*", " null "]).count() == 3
+    kept = ["Bob left", "he left early", "null", "Luca ha cambiato idea su tutto", "Ann changed the group plan for Monday",
+            "She added milk"]
+    df = spark.createDataFrame([("\u200eaudio omitted",), ("image omitted",), ("\u200eBob left",), *[(k,) for k in kept]], "body string")
+    assert [r.body for r in cl.drop_notices(df).collect()] == kept
+    assert cl.drop_notices(df, [r"he .*", " null "]).count() == 7
+
+
+def test_message_ids_never_collide(spark):
+    df = spark.createDataFrame([(1, 5), (2 ** 32 + 1, 5), (2 ** 33 + 1, 5), (-4, 5)], "chat_id long, pos long")
+    assert cl.with_message_id(df).select("message_id").distinct().count() == 4
+    with pytest.raises(ValueError):
+        cl.with_message_id(df.withColumn("pos", F.lit(2 ** 32)))
 
 
 def test_blank_messages(spark):

@@ -150,3 +150,20 @@ def test_registry(spark, tmp_path):
     ds.update_registry(spark, path, make("Cat"), "m2")
     ds.update_registry(spark, path, make("Dan"), "m1")
     assert {tuple(r) for r in ds.read_registry(spark, path).collect()} == {("m1", 0, "Dan"), ("m2", 0, "Cat")}
+
+
+def test_neighbors_and_author_names_are_saved(spark, rows, tmp_path):
+    plain = rows.drop("embedding")
+    model = md.fit_classifier(plain, "kneighbors")
+    model.save(f"{tmp_path}/knn")
+    again = md.load_model(spark, f"{tmp_path}/knn")
+    key = lambda m: sorted(tuple(r) for r in m.predict(plain).select("message_id", "prediction").collect())
+    assert key(again) == key(model)
+    with pytest.raises(ValueError):
+        model.save(f"{tmp_path}/knn")
+    users = spark.createDataFrame([("Ann", 0), ("Bob", 1), ("Cy", 2)], "author string, user int")
+    network = md.train_embedding_model(rows, epochs=2).model
+    Stack(model, network, md.fit_classifier(plain, "naive_bayes"), users).save(f"{tmp_path}/stack")
+    loaded = Stack.load(spark, f"{tmp_path}/stack")
+    named = loaded.with_authors(spark.range(3).select(F.col("id").cast("int").alias("user"))).orderBy("user")
+    assert [r["author"] for r in named.collect()] == ["Ann", "Bob", "Cy"]

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from inkprint.operators.parse import extract_folder
@@ -49,3 +50,15 @@ def test_ingest_new_files(spark, tmp_path):
     (folder / "bad.txt").unlink()
     assert sorted(map(tuple, got)) == sorted(
         map(tuple, extract_folder(spark, str(folder)).select("author", "body").collect()))
+
+
+def test_lost_or_unfinished_state_is_an_error(spark, tmp_path):
+    write = running_batches(f"{tmp_path}/out", f"{tmp_path}/state")
+    for epoch in range(3):
+        write(rows(spark, 20 * epoch + 20, 20 * epoch), epoch)
+    assert sorted(p.name for p in (tmp_path / "state").iterdir()) == ["0000000001", "0000000002"]
+    with pytest.raises(FileNotFoundError):
+        write(rows(spark, 100, 80), 4)
+    (tmp_path / "state/0000000002/_SUCCESS").unlink()
+    with pytest.raises(FileNotFoundError):
+        write(rows(spark, 80, 60), 3)

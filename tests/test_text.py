@@ -179,3 +179,24 @@ def test_embeddings(spark):
     assert all(abs(sum(x * x for x in v) - 1) < 1e-5 for v in vectors)
     wide = em.vector_to_columns(em.embed_hashed(df, "cls", dims=4), 4, "cls")
     assert wide.columns == ["message_id", "cls_embed_0", "cls_embed_1", "cls_embed_2", "cls_embed_3"]
+
+
+def test_large_swear_list_counts_the_longest_entry(spark):
+    words = [f"w{k}" for k in range(9000)] + ["bad", "bad word", "a.b"]
+    df = spark.createDataFrame([("W8999 and w90000 bad word, BAD a.b axb",)], "message string")
+    assert df.select(tx.swear_count("message", words)).first()[0] == 4
+    assert df.select(tx.swear_count("message", [])).first()[0] == 0
+
+
+def test_tagger_and_separate_vocabularies(spark):
+    from inkprint.config import FeatureConfig
+    from inkprint.operators.features import build_features
+
+    def tagger(texts):
+        for t in texts:
+            yield [{"text": w, "lemma": w.lower(), "pos": "VERB" if w.endswith("s") else "NOUN", "is_alpha": True, "is_punct": False}
+                   for w in t.split()]
+
+    df = spark.createDataFrame([(1, "the dog runs")], "message_id long, message string")
+    r = build_features(df, FeatureConfig.only("message_composition", "englishness", "italianness"), tagger=tagger).first()
+    assert (r["NOUN"], r["VERB"], r["englishness"], r["italianness"]) == (0.67, 0.33, 0.33, 0.0)
