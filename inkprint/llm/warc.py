@@ -259,8 +259,8 @@ def _rows(rows: list[dict]) -> pa.RecordBatch:
 
 
 def read_packages(packages: DataFrame, payloads: bool = True) -> DataFrame:
-    """The records of packages (a column path), one package in one task at a time."""
-    out = packages.select("path").repartition("path").mapInArrow(_read, _RECORD)
+    """The records of packages (a column path); there are as many tasks as packages."""
+    out = packages.select("path").repartition(max(1, packages.count()), "path").mapInArrow(_read, _RECORD)
     return out if payloads else out.drop("payload")
 
 
