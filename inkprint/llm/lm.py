@@ -39,6 +39,7 @@ GROUP_BYTES = 2 << 20
 FLUSH_WORDS = 200_000
 FLUSH_GRAMS = 2_000_000
 HEAD_LEVEL = 1.25  # the head of the vocabulary is cut at a power of this count
+PROBES = 4
 END = b""  # no word is empty
 _BEGIN = np.uint64(0x5851F42D4C957F2D)
 _SPACES = bytes(0x20 if 9 <= c <= 13 else c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
@@ -84,7 +85,7 @@ class _Tokens:
         sizes = np.array([len(words) + 2 for words in group], dtype=np.int64)
         self.first = np.cumsum(sizes) - sizes
         self.at = np.arange(len(flat)) - np.repeat(self.first, sizes)  # place in its text; 0 is the begin
-        self.codes, self.words = codes, mix64(hashes)
+        self.codes, self.words, self.vocabulary = codes, mix64(hashes), list(code)
         grams = self.words[codes]
         self.grams = [grams]
         wide = hashes[codes]
@@ -122,20 +123,27 @@ class Filter:
         return self.values[level]
 
     def _has(self, grams: np.ndarray, q: int) -> np.ndarray:
+        """Probe by probe, each only for what the probes before it have found."""
+        alive, x = np.arange(len(grams)), _spread(grams, q)
         part = (grams >> np.uint64(self.part_shift)).astype(np.int64) * self.part_bits
-        found = np.ones(len(grams), dtype=bool)
-        for place in _probes(grams, q, self.part_bits):
-            at = part + place
-            found &= (self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+        for i in range(PROBES):
+            at = part + _probe(x, i, self.part_bits)
+            hit = (self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+            alive, x, part = alive[hit], x[hit], part[hit]
+        found = np.zeros(len(grams), dtype=bool)
+        found[alive] = True
         return found
 
 
-def _probes(grams: np.ndarray, q, part_bits: int, probes: int = 4):
-    """Places inside the part for (n-gram, level)."""
-    x = mix64(grams + np.asarray(q, dtype=np.uint64) * np.uint64(0x2545F4914F6CDD1D))
+def _spread(grams: np.ndarray, q: int) -> np.ndarray:
+    """64 bits for (n-gram, level)."""
+    return mix64(grams + np.uint64(q * 0x2545F4914F6CDD1D & 0xFFFFFFFFFFFFFFFF))
+
+
+def _probe(x: np.ndarray, i: int, part_bits: int) -> np.ndarray:
+    """The i-th place inside the part."""
     a, b = x & np.uint64(0xFFFFFFFF), x >> np.uint64(32) | np.uint64(1)
-    for i in range(probes):
-        yield (((a + np.uint64(i) * b) & np.uint64(0xFFFFFFFF)) * np.uint64(part_bits) >> np.uint64(32)).astype(np.int64)
+    return (((a + np.uint64(i) * b) & np.uint64(0xFFFFFFFF)) * np.uint64(part_bits) >> np.uint64(32)).astype(np.int64)
 
 
 @dataclass
@@ -227,8 +235,9 @@ def _set_bits(part_bits: int, lowest: int):
                 bits = np.zeros(part_bits, dtype=np.uint8)
                 grams, level = grams[level >= lowest], level[level >= lowest]
                 for q in range(1, int(level.max(initial=0)) + 1):
-                    for place in _probes(grams[level >= q], q, part_bits):
-                        bits[place] = 1
+                    x = _spread(grams[level >= q], q)
+                    for i in range(PROBES):
+                        bits[_probe(x, i, part_bits)] = 1
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(k, 1), pa.array(
                     [np.packbits(bits, bitorder="little").tobytes()], pa.binary())], ["part", "bits"])
     return run
@@ -289,10 +298,15 @@ _FIELDS = T.StructType([
 ])
 
 
-def _scores(group, ngrams: Filter, model: tuple[int, int, int, float]) -> np.ndarray:
+def _scores(group, ngrams: Filter, model: tuple[int, int, int, float], seen: dict, frequent: dict) -> np.ndarray:
+    """``seen`` spares the probes of frequent words that the task has met before."""
     order, tokens, distinct, strength = model
     t = _Tokens(group, order)
-    shorter = ngrams.counts(t.words)[t.codes]
+    counts = np.fromiter((seen.get(w, -1.0) for w in t.vocabulary), np.float64, len(t.vocabulary))
+    new = np.flatnonzero(counts < 0)
+    counts[new] = ngrams.counts(t.words[new])
+    seen.update((t.vocabulary[k], counts[k]) for k in new if t.vocabulary[k] in frequent)
+    shorter = counts[t.codes]
     p = (shorter + 1) / (tokens + distinct + 1)
     for n in range(2, order + 1):
         whole = t.at >= n - 1  # the history has n - 1 tokens
@@ -320,7 +334,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", into: str = "lm") -
 
     def start():
         logs, ngrams = head.value, bits.value
-        log = logs.get
+        log, seen = logs.get, {}
 
         def compute(texts):
             n_tokens, n_head, sums, scores, offsets, words, counts = [], [], [], [], [0], [], []
@@ -336,7 +350,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", into: str = "lm") -
                         words += rest.keys()
                         counts += rest.values()
                     offsets.append(len(words))
-                scores.append(_scores(group, ngrams, sizes))
+                scores.append(_scores(group, ngrams, sizes, seen, logs))
             rest = pa.StructArray.from_arrays([pa.array(words, pa.binary()), pa.array(counts, pa.int32())], ["word", "n"])
             return [pa.array(n_tokens, pa.int64()), pa.array(n_head, pa.int64()), pa.array(sums, pa.float64()),
                     pa.array(np.concatenate(scores) if scores else [], pa.float64()), lists(np.array(offsets), rest)]
