@@ -62,7 +62,18 @@ def b6(spark, d):
     return sm.assign_folds(table(spark, d, "events").select(F.col("event_id").alias("message_id")), 7)
 
 
-@query("b7_balanced_resample")
+def _uniform(text: str) -> str:
+    return f"((('0x' || substr(md5({text}), 1, 13))::BIGINT + 0.5) / 4503599627370496.0)"
+
+
+@query("b7_balanced_resample", f"""
+WITH placed AS (SELECT doc_id AS message_id, quality, row_number() OVER (ORDER BY quality, doc_id) - 1 AS place FROM labels),
+sizes AS (SELECT quality, min(place) AS lowest, count(*) AS n FROM placed GROUP BY quality),
+classes AS (SELECT *, row_number() OVER (ORDER BY quality) - 1 AS c FROM sizes),
+draws AS (SELECT i AS draw, floor({_uniform("i || ':42'")} * (SELECT count(*) FROM classes))::BIGINT AS c,
+                 {_uniform("i || ':43'")} AS u FROM range((SELECT count(*) FROM placed)) r(i))
+SELECT message_id, placed.quality AS "user", draw FROM draws JOIN classes USING (c)
+JOIN placed ON place = lowest + floor(u * n)::BIGINT""")
 def b7(spark, d):
     return sm.balanced_resample(label_rows(spark, d))
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from inkprint.constants import SEED
 from inkprint.operators.joins import lookup
-from inkprint.operators.order import dimension_index
+from inkprint.operators.order import dense_index, dimension_index
 from inkprint.session import materialize
 
 PREFIX = 4  # hex digits: 65,536 histogram cells per class
@@ -209,37 +209,23 @@ def class_distribution(df: DataFrame, by: str = "user") -> DataFrame:
     return df.groupBy("split", by).agg(F.count("*").alias("n"))
 
 
-def _poisson(u: Column, rate: Column) -> Column:
-    """Poisson count by inversion for small rates, by its normal limit (with u and a twin) beyond."""
-    steps = F.sequence(F.lit(1), F.lit(80))
-    start = F.struct(F.exp(-rate).alias("p"), F.exp(-rate).alias("c"), F.lit(0).alias("k"))
-    walk = F.aggregate(
-        steps, start,
-        lambda acc, i: F.struct(
-            (acc["p"] * rate / i).alias("p"),
-            (acc["c"] + acc["p"] * rate / i).alias("c"),
-            (acc["k"] + F.when(acc["c"] < u, 1).otherwise(0)).alias("k")),
-        lambda acc: acc["k"])
-    twin = F.pmod(u * 524288.0, F.lit(1.0))
-    normal = F.sqrt(-2.0 * F.ln(u)) * F.cos(twin * (2.0 * math.pi))
-    large = F.greatest(F.rint(rate + F.sqrt(rate) * normal), F.lit(0.0)).cast("int")
-    return F.when(rate <= 20.0, walk).otherwise(large)
-
-
 def balanced_resample(df: DataFrame, by: str = "user", key: str = "message_id", seed: int = SEED) -> DataFrame:
-    """Draw about n rows with replacement, every class equally likely.
+    """Draw exactly n rows with replacement, every class equally likely; adds ``draw``, 0..n-1.
 
-    Each row is repeated a Poisson number of times with rate n / (K n_class), the limit of
-    n independent draws; adds ``draw``, the number of the copy.
+    The ids, sorted by class, are numbered over the whole table. A draw takes a class and a place in it from
+    two hashes of its number, hence a row number; only ids are sorted and joined before the rows themselves.
     """
-    counts = df.groupBy(by).agg(F.count("*").alias("_n"))
-    per_class = counts.agg((F.sum("_n") / F.count("*")).alias("r")).scalar()
-    rates = counts.select(by, (per_class / F.col("_n")).alias("_rate"))
-    drawn = lookup(df, rates, by, "inner").withColumn("_k", _poisson(uniform(key, seed), F.col("_rate")))
-    return (
-        drawn.filter("_k > 0").withColumn("draw", F.explode(F.sequence(F.lit(1), F.col("_k"))))
-        .select(*df.columns, "draw")
-    )
+    placed = materialize(dense_index(df.select(by, key), [by, key], "_at"), "placed")
+    first = placed.groupBy(by).agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    numbers, size = dimension_index(first, by, "_class")
+    n, k = placed.count(), numbers.count()
+    draws = df.sparkSession.range(n).select(
+        F.col("id").alias("draw"), F.floor(uniform("id", seed) * k).cast("long").alias("_class"),
+        uniform("id", seed + 1).alias("_u"))
+    drawn = lookup(draws, numbers.select("_class", "_first", "_n"), "_class", "inner", known_bytes=size) \
+        .select("draw", (F.col("_first") + F.floor(F.col("_u") * F.col("_n"))).alias("_at"))
+    ids = drawn.join(placed.select("_at", key), "_at").select(key, "draw")
+    return df.join(ids, key).select(*df.columns, "draw")
 
 
 def encode_labels(df: DataFrame, label: str, out: str = "user") -> DataFrame:

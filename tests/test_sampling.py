@@ -71,6 +71,7 @@ def test_choice_does_not_depend_on_partitions(spark, parts):
 def test_balanced_resample(spark):
     got = counts(sm.balanced_resample(skewed(spark, 9000)), "user")
     per_class = 9000 / len(got)
+    assert sum(got.values()) == 9000
     assert all(abs(n - per_class) < 0.2 * per_class for n in got.values())
     rare = spark.range(1001).select(F.col("id").alias("message_id"), (F.col("id") == 0).cast("int").alias("user"))
     got = counts(sm.balanced_resample(rare), "user")
