@@ -17,6 +17,9 @@ from inkprint.session import materialize
 TILE = 1024
 
 
+_PLACE = ["key", "i", "j", "block", "node", "label", "band", "low", "high"]
+
+
 def tune(threshold: float, recall: float, chance: float = 0.3, most: float = 0.35, limit: int = 128) -> tuple[int, int]:
     """The fewest bands, and their rows, that find a pair at the threshold with probability ``recall``, and a pair
     of similarity ``chance`` with a probability of at most ``most``."""
@@ -32,12 +35,14 @@ def _possible(tile: pa.Table, i: int, j: int, least: int):
     ``least`` equal signature bytes, and this band the first that the two share. Labels may be merged meanwhile."""
     block, band = tile.column("block").to_numpy(), tile.column("band")[0].as_py()
     node, label = tile.column("node").to_numpy(), tile.column("label").to_numpy().copy()
+    low, high = tile.column("low").to_numpy(), tile.column("high").to_numpy()
     small = np.frombuffer(b"".join(tile.column("signature").to_pylist()), np.uint8).reshape(len(node), -1)
     keys = tile.column("keys").combine_chunks().flatten().to_numpy().reshape(len(node), -1)[:, :band]
     for k in range(len(node)):
         if i != j and block[k] != i:
             continue
         other = np.flatnonzero((label != label[k]) & ((node > node[k]) if i == j else (block == j)))
+        other = other[(low[other] != high[k]) | (high[other] != low[k])]
         if len(other):
             other = other[(small[other] == small[k]).sum(1) >= least]
         if len(other):
@@ -55,7 +60,7 @@ def _doubtful(least: int):
                 seen[k] = True
                 seen[other] = True
             if seen.any():
-                yield from tile.select(["key", "i", "j", "block", "node", "label", "band"]) \
+                yield from tile.select(_PLACE) \
                     .filter(pa.array(seen)).combine_chunks().to_batches()
     return run
 
@@ -82,27 +87,31 @@ def _linked(least: int, threshold: float):
 
 
 def cluster(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], threshold: float, coordinates: int) -> DataFrame:
-    """(id, component) of the linked nodes, for a table (node, n, keys, signature): the set's size, its band keys
-    and one byte of each of its ``coordinates``. ``sets_of`` gets a table of wanted nodes (id) and
-    returns their sets (node, elements).
+    """(id, component) of the linked nodes, for a table (node, n, keys, signature, low, high): the set's size, its band
+    keys, one byte of each of its ``coordinates``, and the smallest and largest id of the documents that hold it. Two
+    nodes that one and the same document alone holds are not compared. ``sets_of`` gets a table of
+    wanted nodes (id) and returns their sets (node, elements).
 
     Of a key with n nodes, n - 1 pairs are checked first: those with its smallest node. Where it still holds
     several components, nodes of different ones are compared inside tasks, in tiles of about ``TILE`` nodes: first by
     their signature bytes, and those whose estimate is not clearly below the threshold by their sets. Only links that join
     components leave a tile, never candidates.
     """
-    keyed = nodes.select("node", "n", F.posexplode("keys").alias("band", "key"))
-    common = keyed.groupBy("key").agg(F.min(F.struct("node", "n")).alias("first"), F.count("*").alias("size")).where("size > 1")
-    hits = materialize(keyed.join(common, "key").select("key", "band", "node", "n", "first"), "hits")
+    keyed = nodes.select("node", "n", "low", "high", F.posexplode("keys").alias("band", "key"))
+    common = keyed.groupBy("key").agg(F.min(F.struct("node", "n", "low", "high")).alias("first"), F.count("*").alias("size"),
+                                      F.min("low").alias("least"), F.max("high").alias("most")) \
+        .where("size > 1 AND least < most").select("key", "first")
+    hits = materialize(keyed.join(common, "key").select("key", "band", "node", "n", "low", "high", "first"), "hits")
     alike = F.least("n", "first.n") >= F.greatest("n", "first.n") * threshold - 1e-9
-    pairs = hits.where((F.col("node") != F.col("first.node")) & alike) \
+    apart = (F.col("low") != F.col("first.high")) | (F.col("high") != F.col("first.low"))
+    pairs = hits.where((F.col("node") != F.col("first.node")) & alike & apart) \
         .select(F.col("first.node").alias("a"), F.col("node").alias("b")).distinct()
     sets = materialize(sets_of(hits.select(F.col("node").alias("id")).distinct()), "sets")
     links = materialize(similar_pairs(pairs, sets, threshold), "links")
     first = components(links)
 
-    label = hits.select("key", "band", "node").join(first.withColumnRenamed("id", "node"), "node", "left") \
-        .select("key", "band", "node", F.coalesce("component", "node").alias("label"))
+    label = hits.select("key", "band", "node", "low", "high").join(first.withColumnRenamed("id", "node"), "node", "left") \
+        .select("key", "band", "node", "low", "high", F.coalesce("component", "node").alias("label"))
     label = materialize(label, "labels")
     mixed = label.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("size")) \
         .where("x <> y").select("key", F.ceil(F.col("size") / TILE).cast("int").alias("blocks"))
@@ -110,18 +119,17 @@ def cluster(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], thresho
     blocked = label.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     tiles = blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "key", F.least("block", "other").cast("int").alias("i"), F.greatest("block", "other").cast("int").alias("j"),
-        "block", "node", "label", "band")
+        "block", "node", "label", "band", "low", "high")
     sure = threshold - 4.5 * (threshold * (1 - threshold) / coordinates) ** 0.5  # a weaker estimate is no link
     least = int(np.floor(sure * coordinates))
-    names = ["key", "i", "j", "block", "node", "label", "band"]
 
     def by_tile(rows):
         return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
-    sketched = tiles.join(nodes.select("node", "signature", "keys"), "node").select(*names, "signature", "keys")
+    sketched = tiles.join(nodes.select("node", "signature", "keys"), "node").select(*_PLACE, "signature", "keys")
     doubtful = materialize(by_tile(sketched).mapInArrow(
-        _doubtful(least), "key long, i int, j int, block int, node long, label long, band int"), "doubtful")
+        _doubtful(least), "key long, i int, j int, block int, node long, label long, band int, low long, high long"), "doubtful")
     whole = doubtful.join(nodes.select("node", "signature", "keys"), "node").join(sets, "node") \
-        .select(*names, "signature", "keys", "elements")
+        .select(*_PLACE, "signature", "keys", "elements")
     more = by_tile(whole).mapInArrow(_linked(least, threshold), "a long, b long")
     return components(links.union(more))

@@ -82,7 +82,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", th
                                           "id long, print binary, n long, keys array<long>, signature binary"), "sketch")
     classes = materialize(sketch.groupBy("print").agg(F.min("id").alias("node")), "classes")
     nodes = sketch.join(classes.select("print", F.col("node").alias("id")), ["print", "id"], "left_semi") \
-        .dropDuplicates(["print", "id"]).select(F.col("id").alias("node"), "n", "keys", "signature")
+        .dropDuplicates(["print", "id"]).select(F.col("id").alias("node"), "n", "keys", "signature", F.col("id").alias("low"), F.col("id").alias("high"))
     nodes = materialize(nodes, "nodes")
 
     def sets_of(wanted):
