@@ -44,7 +44,10 @@ def with_struct(df: DataFrame, column: str, into: str, fields: T.StructType, sta
     """
     kept = [f for f in df.schema.fields if f.name != into]
     schema = T.StructType([*kept, T.StructField(into, fields)])
-    source = df.select(*[df[f.name].alias(f.name) for f in kept], df[column].cast("string").alias("__text"))
+    source = df.select(*[df[f.name].alias(f.name) for f in kept])
+    at_text = next((k for k, f in enumerate(kept) if f.name == column and f.dataType == T.StringType()), len(kept))
+    if at_text == len(kept):
+        source = df.select(*source.columns, df[column].cast("string").alias("__text"))
     names, field_names = [f.name for f in schema.fields], fields.names
 
     def run(batches):
@@ -52,8 +55,8 @@ def with_struct(df: DataFrame, column: str, into: str, fields: T.StructType, sta
         for batch in batches:
             for at in range(0, max(1, batch.num_rows), rows):
                 arrays = batch.slice(at, rows).columns
-                made = compute(texts_of(arrays[-1]))
-                yield pa.RecordBatch.from_arrays([*arrays[:-1], pa.StructArray.from_arrays(made, field_names)], names)
+                made = compute(texts_of(arrays[at_text]))
+                yield pa.RecordBatch.from_arrays([*arrays[:len(kept)], pa.StructArray.from_arrays(made, field_names)], names)
             pa.default_memory_pool().release_unused()
 
     return source.mapInArrow(run, schema)

@@ -29,7 +29,7 @@ from inkprint.llm.common import held_out, lists, query, table, texts_of, with_st
 BUCKETS = 1 << 15
 MAX_LANGUAGES = 512
 CHUNK_CHARS = 1 << 20  # letters scored at once, divided by the number of languages
-GROUP_CHARS = 16 << 20  # texts labelled at once
+GROUP_CHARS = 8 << 20  # texts labelled at once
 
 # First code points of the blocks of a script (Unicode), up to the next entry
 SCRIPTS = [
@@ -252,7 +252,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", into: str = "lan
                     lists(offsets, _spans(first, last, names.take(pa.array(label.astype(np.int32)))))]
         return compute
 
-    return with_struct(docs, text, into, _FIELDS, start)
+    return with_struct(docs, text, into, _FIELDS, start, rows=2000)
 
 
 def _spans(first, last, langs) -> pa.Array:
