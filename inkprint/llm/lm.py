@@ -9,10 +9,13 @@ Probabilities are smoothed towards the next shorter history: p = (c(history, wor
 Scale: training counts n-grams inside tasks, ships packed blocks of them by hash range ("part"), and sums
 each part in one task; only the finished bits come to the driver, at most ``max_bytes``, which is what is
 broadcast. If more n-grams exist than fit at ``bits_per_item``, the lowest levels are left out of the filter,
-so that its error rate does not depend on the input; the exact counts are never cut. For these, the at
-most ``head_words`` most frequent words are broadcast (64 bytes a word at most; longer words are
-counted by their SHA-256), the others are joined. A joined word is rarer than all broadcast ones, so no key
-of that join is hot.
+so that its error rate does not depend on the input, and looked up: what the filter does not hold at a
+level it covers is gathered, each n-gram once for a block of rows, and its level is read from the written table, part by
+part, so that no count is lost at any size.
+
+The exact counts of words are never cut either. The at most ``head_words`` most frequent words are broadcast (64
+bytes a word at most; longer words are counted by their SHA-256), the others are joined. A joined word is rarer
+than all broadcast ones, so no key of that join is hot.
 
 Defined cases: a null or empty text has one token, its end; without training rows all counts are 0;
 repeated rows are scored one by one; a task holds about ``GROUP_BYTES`` of text, or its longest text.
@@ -23,16 +26,17 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from inkprint.llm.common import held_out, lists, mix64, query, table, texts_of, with_struct
+from inkprint.llm.common import groups, held_out, lists, mix64, query, table, texts_of, with_struct
 from inkprint.session import materialize
 
 GROUP_BYTES = 2 << 20
@@ -113,6 +117,9 @@ class Filter:
 
     def counts(self, grams: np.ndarray) -> np.ndarray:
         """Estimated counts, never below the stored level; 0 for what is not stored."""
+        return self.values[self.level(grams)]
+
+    def level(self, grams: np.ndarray) -> np.ndarray:
         level = np.zeros(len(grams), dtype=np.int64)
         alive = np.arange(len(grams))
         for q in range(1, self.levels + 1):
@@ -120,7 +127,7 @@ class Filter:
             if not len(alive):
                 break
             level[alive] = q
-        return self.values[level]
+        return level
 
     def _has(self, grams: np.ndarray, q: int) -> np.ndarray:
         """Probe by probe, each only for what the probes before it have found."""
@@ -156,6 +163,7 @@ class Model:
     ngrams: Filter
     order: int
     strength: float
+    stored: DataFrame  # part, grams, levels: all n-grams, by hash
 
 
 def _count_words(batches):
@@ -243,8 +251,10 @@ def _set_bits(part_bits: int, lowest: int):
     return run
 
 
-def build_filter(texts: DataFrame, tokens: int, order: int, base: float, bits_per_item: float, max_bytes: int) -> Filter:
-    """The filter over the n-grams of the one column of ``texts``, which has about ``tokens`` words."""
+def build_filter(texts: DataFrame, tokens: int, order: int, base: float, bits_per_item: float,
+                 max_bytes: int) -> tuple[Filter, DataFrame]:
+    """The filter over the n-grams of the one column of ``texts``, which has about ``tokens`` words, and the
+    table (part, grams, levels) of all of them."""
     spark = texts.sparkSession
     part_log = max(10, int(np.ceil(np.log2(max(1, tokens * order * 9 / (16 << 20))))))
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(tokens * order * 12 >> 26) + 1)
@@ -266,7 +276,8 @@ def build_filter(texts: DataFrame, tokens: int, order: int, base: float, bits_pe
     edges = base ** np.arange(257)
     ends = np.ceil(edges[1:] - 1e-6) - 1
     values = np.concatenate([[0.0], np.maximum(1.0, (np.ceil(edges[:-1] - 1e-6) + ends) / 2)])
-    return Filter(bits, 64 - part_log, part_bits, max([q for q, n in seen.items() if n], default=0), values, lowest)
+    highest = max([q for q, n in seen.items() if n], default=0)
+    return Filter(bits, 64 - part_log, part_bits, highest, values, lowest), summed.select("part", "grams", "levels")
 
 
 def train(texts: DataFrame, text: str = "text", order: int = 2, strength: float = 100.0, base: float = 1.5,
@@ -286,8 +297,8 @@ def train(texts: DataFrame, text: str = "text", order: int = 2, strength: float
         cut = r["level"]
     head_rows = counts.where(_level("n", HEAD_LEVEL) >= cut).toArrow()
     head = dict(zip(head_rows.column("word").to_pylist(), head_rows.column("n").to_pylist()))
-    ngrams = build_filter(rows, tokens, order, base, bits_per_item, max_bytes)
-    return Model(tokens, distinct, counts, head, cut, ngrams, order, strength)
+    ngrams, stored = build_filter(rows, tokens, order, base, bits_per_item, max_bytes)
+    return Model(tokens, distinct, counts, head, cut, ngrams, order, strength, stored)
 
 
 _FIELDS = T.StructType([
@@ -296,28 +307,121 @@ _FIELDS = T.StructType([
     T.StructField("rest", T.ArrayType(T.StructType([T.StructField("word", T.BinaryType()),
                                                     T.StructField("n", T.IntegerType())]))),
 ])
+_OPEN = T.StructType([  # of rows that wait for levels: their block, and what the block asks for (in its first row)
+    *_FIELDS, T.StructField("block", T.LongType()), T.StructField("asked", T.BinaryType()),
+    T.StructField("levels", T.BinaryType()), T.StructField("places", T.BinaryType())])
 
 
 def _scores(group, ngrams: Filter, model: tuple[int, int, int, float], seen: dict, frequent: dict) -> np.ndarray:
     """``seen`` spares the probes of frequent words that the task has met before."""
-    order, tokens, distinct, strength = model
-    t = _Tokens(group, order)
+    t = _Tokens(group, model[0])
     counts = np.fromiter((seen.get(w, -1.0) for w in t.vocabulary), np.float64, len(t.vocabulary))
     new = np.flatnonzero(counts < 0)
     counts[new] = ngrams.counts(t.words[new])
     seen.update((t.vocabulary[k], counts[k]) for k in new if t.vocabulary[k] in frequent)
-    shorter = counts[t.codes]
+    return _smoothed(counts[t.codes], lambda n, whole: ngrams.counts(t.grams[n - 1][whole]), t.at, t.first, model)
+
+
+def _smoothed(shorter: np.ndarray, counts, at, first, model: tuple[int, int, int, float]) -> np.ndarray:
+    """The score of each text, from the counts of its words and ``counts(n, which of them)`` of its n-grams."""
+    order, tokens, distinct, strength = model
     p = (shorter + 1) / (tokens + distinct + 1)
     for n in range(2, order + 1):
-        whole = t.at >= n - 1  # the history has n - 1 tokens
+        whole = at >= n - 1  # the history has n - 1 tokens
         history = np.concatenate([[0.0], shorter[:-1]])
         longer = np.zeros(len(p))
-        longer[whole] = np.minimum(ngrams.counts(t.grams[n - 1][whole]), history[whole])
+        longer[whole] = np.minimum(counts(n, whole), history[whole])
         p = np.where(whole, (longer + strength * p) / (history + strength), p)
         shorter = longer
     logs = np.log10(p)
-    logs[t.at == 0] = 0.0  # the begin is not scored
-    return np.add.reduceat(logs, t.first)
+    logs[at == 0] = 0.0  # the begin is not scored
+    return np.add.reduceat(logs, first)
+
+
+def _waiting(groups_of_words, ngrams: Filter, order: int):
+    """The n-grams that the filter lacks, sorted, and for each text the levels of its n-grams (one order after another, 0
+    where the filter lacks it) and the places of those in the sorted ones."""
+    levels, missing = [], []
+    for group in groups_of_words:
+        t = _Tokens(group, order)
+        found = np.stack([ngrams.level(t.words)[t.codes], *(ngrams.level(g) for g in t.grams[1:])])
+        found[found < ngrams.lowest] = 0  # what is stored has at least the lowest level
+        ask = (found == 0) & (t.at >= np.arange(order)[:, None])
+        grams = np.stack(t.grams)
+        for a, b in zip(t.first, np.append(t.first[1:], len(t.at))):
+            levels.append(found[:, a:b].astype(np.uint8).tobytes())
+            missing.append(grams[:, a:b][ask[:, a:b]])
+    asked, places = np.unique(np.concatenate([np.zeros(0, np.uint64), *missing]), return_inverse=True)
+    cuts = np.cumsum([len(m) for m in missing])[:-1] if missing else []
+    return asked, levels, [p.astype(np.int32).tobytes() for p in np.split(places, cuts)][:len(levels)]
+
+
+def _looked_up(scanned: DataFrame, model: Model) -> DataFrame:
+    """__row and __score of the scanned rows whose n-grams were not all in the filter. The n-grams that a block of rows
+    asks for go to the tables of their parts, and their levels back to the block; a task holds one part or one block."""
+    shift, lowest, values = model.ngrams.part_shift, model.ngrams.lowest, model.ngrams.values
+    sizes = (model.order, model.tokens, model.distinct, model.strength)
+    partitions = int(scanned.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def asks(batches):
+        for batch in batches:
+            for block, asked in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                grams = np.frombuffer(asked, np.uint64)
+                part = (grams >> np.uint64(shift)).astype(np.int32)
+                first = np.flatnonzero(np.diff(part, prepend=-1))
+                last = np.append(first[1:], len(grams))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(part[first]), pa.array(np.full(len(first), block)),
+                    pa.array([grams[a:b].tobytes() for a, b in zip(first, last)], pa.binary()),
+                    pa.array([b""] * len(first), pa.binary())], ["part", "block", "grams", "levels"])
+
+    def answers(batches):
+        held, grams, levels = None, None, None
+        for batch in batches:
+            parts, blocks, asked, known = (batch.column(k).to_pylist() for k in range(4))
+            out = []
+            for part, block, ask, level in zip(parts, blocks, asked, known):
+                ask = np.frombuffer(ask, np.uint64)
+                if block < 0:
+                    held, grams, levels = part, ask, np.frombuffer(level, np.uint8)
+                    continue
+                found = np.zeros(len(ask), dtype=np.uint8)
+                if held == part and len(grams):
+                    at = np.minimum(np.searchsorted(grams, ask), len(grams) - 1)
+                    found = np.where(grams[at] == ask, levels[at], 0).astype(np.uint8)
+                out.append((part, block, found.tobytes()))
+            yield pa.RecordBatch.from_arrays([
+                pa.array([b for _, b, _ in out], pa.int64()), pa.array([p for p, _, _ in out], pa.int64()),
+                pa.array([f for _, _, f in out], pa.binary())], ["block", "row", "levels"])
+
+    def finish(batches):
+        for _, rows in groups(batches, 1):
+            answer, texts = [], []
+            for row, levels, places in zip(*(rows.column(k).to_pylist() for k in ("row", "levels", "places"))):
+                if places is None:
+                    answer.append((row, levels))
+                else:
+                    texts.append((row, levels, places))
+            found = np.frombuffer(b"".join(x for _, x in sorted(answer)), np.uint8)  # in the order of the parts
+            scores = []
+            for _, levels, places in texts:
+                level = np.frombuffer(levels, np.uint8).reshape(model_order, -1).copy()
+                at = np.arange(level.shape[1])
+                level[(level == 0) & (at >= np.arange(model_order)[:, None])] = found[np.frombuffer(places, np.int32)]
+                scores.append(_smoothed(values[level[0]], lambda n, whole: values[level[n - 1][whole]], at, [0], sizes)[0])  # noqa: B023
+            yield pa.RecordBatch.from_arrays([pa.array([r for r, _, _ in texts], pa.int64()),
+                                              pa.array(scores, pa.float64())], ["__row", "__score"])
+
+    model_order = model.order
+    c = F.col("__lm")
+    asked = scanned.where(F.octet_length(c["asked"]) > 0).select(c["block"].alias("block"), c["asked"].alias("asked")) \
+        .mapInArrow(asks, "part int, block long, grams binary, levels binary")
+    stored = model.stored.select("part", F.lit(-1).cast("long").alias("block"), "grams", "levels")
+    answered = stored.union(asked).repartition(partitions, "part").sortWithinPartitions("part", "block") \
+        .mapInArrow(answers, "block long, row long, levels binary")
+    rows = scanned.select(c["block"].alias("block"), F.col("__row").alias("row"), c["levels"].alias("levels"), c["places"].alias("places"))
+    return answered.withColumn("places", F.lit(None).cast("binary")).union(rows).repartition(partitions, "block") \
+        .sortWithinPartitions("block").mapInArrow(finish, "__row long, __score double")
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", into: str = "lm") -> DataFrame:
@@ -331,12 +435,15 @@ def score(docs: DataFrame, model: Model, text: str = "text", into: str = "lm") -
     head: Broadcast = context.broadcast({w: float(np.log10(n + 1)) for w, n in model.head.items()})
     bits = context.broadcast(model.ngrams)
     sizes = (model.order, model.tokens, model.distinct, model.strength)
+    order, waits = model.order, model.ngrams.lowest > 1  # some levels are not in the filter
 
     def start():
         logs, ngrams = head.value, bits.value
         log, seen = logs.get, {}
+        blocks = count(TaskContext.get().partitionId() << 32)
 
         def compute(texts):
+            held = []
             n_tokens, n_head, sums, scores, offsets, words, counts = [], [], [], [], [0], [], []
             for group in _groups(texts):
                 for tokens in group:
@@ -350,13 +457,24 @@ def score(docs: DataFrame, model: Model, text: str = "text", into: str = "lm") -
                         words += rest.keys()
                         counts += rest.values()
                     offsets.append(len(words))
-                scores.append(_scores(group, ngrams, sizes, seen, logs))
+                if waits:
+                    held.append(group)
+                else:
+                    scores.append(_scores(group, ngrams, sizes, seen, logs))
             rest = pa.StructArray.from_arrays([pa.array(words, pa.binary()), pa.array(counts, pa.int32())], ["word", "n"])
-            return [pa.array(n_tokens, pa.int64()), pa.array(n_head, pa.int64()), pa.array(sums, pa.float64()),
-                    pa.array(np.concatenate(scores) if scores else [], pa.float64()), lists(np.array(offsets), rest)]
+            out = [pa.array(n_tokens, pa.int64()), pa.array(n_head, pa.int64()), pa.array(sums, pa.float64()),
+                   pa.nulls(len(texts), pa.float64()) if waits else pa.array(np.concatenate(scores) if scores else [], pa.float64()),
+                   lists(np.array(offsets), rest)]
+            if not waits:
+                return out
+            asked, levels, places = _waiting(held, ngrams, order)
+            return [*out, pa.array([next(blocks)] * len(texts), pa.int64()),
+                    pa.array([asked.tobytes(), *[None] * (len(texts) - 1)][:len(texts)], pa.binary()),
+                    pa.array(levels, pa.binary()), pa.array(places, pa.binary())]
         return compute
 
-    scanned = materialize(with_struct(docs, text, "__lm", _FIELDS, start, rows=500).drop(text)
+    fields = _OPEN if waits else _FIELDS
+    scanned = materialize(with_struct(docs, text, "__lm", fields, start, rows=500).drop(text)
                           .withColumn("__row", F.monotonically_increasing_id()), "scores")
     rest = scanned.select("__row", F.explode("__lm.rest").alias("w")).select("__row", "w.word", F.col("w.n").alias("times"))
     tail = model.counts.where(_level("n", HEAD_LEVEL) < model.head_level)
@@ -365,10 +483,12 @@ def score(docs: DataFrame, model: Model, text: str = "text", into: str = "lm") -
         log_sum.alias("__sum"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("__known"))
     c = F.col("__lm")
     norm = float(np.log10(model.tokens + model.distinct + 1))
-    return scanned.join(added, "__row", "left").withColumn(into, F.struct(
+    joined = scanned.join(added, "__row", "left")
+    joined = joined.join(_looked_up(scanned, model), "__row", "left") if waits else joined.withColumn("__score", c["score"])
+    return joined.withColumn(into, F.struct(
         c["n_tokens"].alias("n_tokens"), (c["n_head"] + F.coalesce("__known", F.lit(0))).alias("n_known"),
         (c["head_sum"] + F.coalesce("__sum", F.lit(0.0)) - c["n_tokens"] * norm).alias("base_score"),
-        c["score"].alias("score"))).drop("__lm", "__row", "__sum", "__known")
+        F.col("__score").alias("score"))).drop("__lm", "__row", "__sum", "__known", "__score")
 
 
 @query("op10_lm_score")

@@ -69,3 +69,48 @@ def test_without_training_rows_and_clashing_columns(spark):
     rows = score(d, train(empty)).collect()
     assert [r["lm"]["n_known"] for r in rows] == [0, 0, 0] and {r["lm"]["base_score"] for r in rows} == {0.0}
     assert score(d.limit(0), train(d)).count() == 0
+
+
+def exact_score(train_texts, text, order, base=1.5, strength=100.0):
+    """The score from exact counts, each replaced by what its level stands for."""
+    counts = Counter()
+    for t in train_texts:
+        w = [None, *tokens(t)]
+        counts.update(tuple(w[k:k + n]) for n in range(1, order + 1) for k in range(len(w) - n + 1))
+    vocabulary = Counter(w for t in train_texts for w in tokens(t))
+
+    def quantised(gram):
+        c = counts[gram]
+        if not c:
+            return 0.0
+        q = math.floor(math.log(c) / math.log(base) + 1e-9)
+        low, high = math.ceil(base ** q - 1e-6), math.ceil(base ** (q + 1) - 1e-6) - 1
+        return max(1.0, (low + high) / 2)
+
+    w, total = [None, *tokens(text)], 0.0
+    for k in range(1, len(w)):
+        c = quantised((w[k],))
+        p = (c + 1) / (sum(vocabulary.values()) + len(vocabulary) + 1)
+        history = [quantised((w[j],)) for j in range(len(w))]
+        shorter = [quantised((x,)) for x in w]
+        for n in range(2, order + 1):
+            longer = [min(quantised(tuple(w[j - n + 1:j + 1])), shorter[j - 1]) if j >= n - 1 else 0.0 for j in range(len(w))]
+            if k >= n - 1:
+                p = (longer[k] + strength * p) / (shorter[k - 1] + strength)
+            shorter = longer
+        total += math.log10(p)
+    return total
+
+
+@pytest.mark.parametrize("order, max_bytes", [(2, 2048), (3, 2048), (2, 64), (2, 1 << 20)])
+def test_no_count_is_lost_beyond_the_filter(spark, order, max_bytes):
+    rare = [f"w{k} v{k} u{k % 50}" for k in range(1500)]
+    texts = ["a b a c"] * 200 + rare + rare[:700] + rare[:300]
+    model = train(spark.createDataFrame([(t,) for t in texts], "text string"), order=order, max_bytes=max_bytes, bits_per_item=24.0)
+    assert (model.ngrams.lowest > 1) == (max_bytes < 1 << 20)
+    asked = [*rare[:1500:100], "a b w3 v3 u3 a", "w1 unseen v1", "unseen", "", None, "b a c"]
+    d = spark.createDataFrame(list(enumerate(asked)), "doc_id int, text string").repartition(3)
+    got = {r["doc_id"]: r["lm"]["score"] for r in score(d, model).collect()}
+    assert len(got) == len(asked)
+    for k, text in enumerate(asked):
+        assert got[k] == pytest.approx(exact_score(texts, text, order), rel=1e-9), text
