@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from inkprint.catalog.base import docs, label_rows, query, r6, table, vectors
 from inkprint.catalog.joining import KNN, knn_table
 from inkprint.config import FeatureConfig
-from inkprint.constants import SEARCH_SPACE
 from inkprint.functions import probs as pr
 from inkprint.operators import evaluate as ev
 from inkprint.operators import models as md
@@ -25,9 +24,6 @@ from inkprint.session import materialize
 STYLE = FeatureConfig.only(
     "uppercase_count", "char_count", "word_length", "message_composition", "englishness", "type_token_ratio",
     "simpsons_index", "readability", "functional_words", "common_words")
-# a narrow space for the boosted trees, so that the search fits many candidates in little time
-SPACE = {**SEARCH_SPACE, "n_estimators": (4, 10), "max_depth": (2, 4)}
-SEARCH = {"space": SPACE, "population": 3, "generations": 2, "folds": 2}
 
 
 def wide_vectors(spark, d):
@@ -52,7 +48,7 @@ def trained_run(spark, d):
     features, embeddings = quality_tables(spark, d)
     users = table(spark, d, "labels").select(F.col("quality").alias("user")).distinct() \
         .select(F.concat(F.lit("quality "), "user").alias("author"), "user")
-    return train(features, embeddings, meta_args=SEARCH, users=users)
+    return train(features, embeddings, users=users)
 
 
 def _held_out(spark, d, name: str, **params):
@@ -192,12 +188,12 @@ def m18(spark, d):
 
 @query("m19_search")
 def m19(spark, d):
-    return search(_meta_table(spark, d), **SEARCH)[1].select("generation", "candidate", "score")
+    return search(_meta_table(spark, d))[1].select("generation", "candidate", "score")
 
 
 @query("m20_train_meta")
 def m20(spark, d):
-    return train_meta(_meta_table(spark, d), 2, test_size=0.2, **SEARCH)[1].confusion
+    return train_meta(_meta_table(spark, d), 2, test_size=0.2)[1].confusion
 
 
 @query("m21_train")

@@ -236,7 +236,11 @@ def cross_validate(df: DataFrame, name: str = "random_forest", k: int = 5, label
                    seed: int = SEED, threads: int = 4, **params) -> DataFrame:
     """fold, metric, value. Folds are fitted side by side; each is a distributed job of its own."""
     folded = materialize(assign_folds(df, k, seed=seed), "folds")
-    n_classes = count_classes(df, label)
+    return validate_folds(folded, name, k, label, count_classes(df, label), threads, **params)
+
+
+def validate_folds(folded: DataFrame, name: str, k: int, label: str, n_classes: int, threads: int = 4, **params) -> DataFrame:
+    """``cross_validate`` of rows that have their ``fold``, so that many candidates share one table."""
 
     def one(fold: int) -> DataFrame:
         model = fit_classifier(folded.filter(F.col("fold") != fold).drop("fold"), name, label,

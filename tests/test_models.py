@@ -167,3 +167,38 @@ def test_neighbors_and_author_names_are_saved(spark, rows, tmp_path):
     loaded = Stack.load(spark, f"{tmp_path}/stack")
     named = loaded.with_authors(spark.range(3).select(F.col("id").cast("int").alias("user"))).orderBy("user")
     assert [r["author"] for r in named.collect()] == ["Ann", "Bob", "Cy"]
+
+
+def test_search_queries_run_the_whole_search(spark, monkeypatch, sf_dir):
+    """m19-m21 (v8, t1 and t2 use the run of m21) leave the space and the sizes of the search to the operator."""
+    from inkprint.catalog import models as cat
+    from inkprint.plans import training
+    calls = []
+    empty = spark.createDataFrame([], "generation long, candidate long, score double")
+    stop = RuntimeError("searched")
+
+    def searched(df, *args, **kwargs):
+        calls.append(kwargs)
+        if kwargs.get("seed") is None:
+            return {}, empty
+        raise stop
+
+    monkeypatch.setattr(cat, "search", searched)
+    monkeypatch.setattr(training, "search", searched)
+    monkeypatch.setattr(cat, "train", lambda features, embeddings, **kwargs: calls.append(kwargs))
+    cat.m19(spark, sf_dir)
+    with pytest.raises(RuntimeError, match="searched"):
+        cat.m20(spark, sf_dir)
+    cat.trained_run.__wrapped__(spark, sf_dir)
+    assert len(calls) == 3 and not any({"space", "population", "generations", "folds", "meta_args"} & set(c) for c in calls)
+
+
+def test_search_assigns_the_folds_once(rows, monkeypatch):
+    made, real = [], se.assign_folds
+    monkeypatch.setattr(se, "assign_folds", lambda *a, **k: made.append(1) or real(*a, **k))
+    space = {**se.SEARCH_SPACE, "n_estimators": (2, 3), "max_depth": (3, 3), "subsample": (1, 1), "colsample": (1, 1)}
+    two = rows.filter("user < 2").drop("embedding")
+    best, log = se.search(two, space=space, population=2, generations=2, folds=2)
+    assert len(made) == 1 and log.count() == 3
+    again = md.cross_validate(two, "gradient_boosting", 2, **best).filter("metric = 'accuracy'").agg({"value": "avg"}).first()[0]
+    assert again == pytest.approx(max(r["score"] for r in log.collect()))
