@@ -96,7 +96,7 @@ def m5(spark, d):
 
 @query("m6_gradient_boosting")
 def m6(spark, d):
-    return _held_out(spark, d, "gradient_boosting", maxIter=5)
+    return _held_out(spark, d, "gradient_boosting")
 
 
 @query("m7_extra_trees")
@@ -181,9 +181,9 @@ def _meta_table(spark, d):
 
 @query("m18_meta_learner")
 def m18(spark, d):
-    table = _meta_table(spark, d)
-    return md.fit_classifier(table, "gradient_boosting", maxIter=10).predict(table).select(
-        "message_id", "user", "prediction")
+    rows = materialize(split(_meta_table(spark, d)), "split")
+    model = md.fit_classifier(rows.filter("split = 'train'").drop("split"), "gradient_boosting", n_classes=2)
+    return model.predict(rows.filter("split = 'test'").drop("split")).select("message_id", "user", "prediction")
 
 
 @query("m19_search")

@@ -202,3 +202,20 @@ def test_search_assigns_the_folds_once(rows, monkeypatch):
     assert len(made) == 1 and log.count() == 3
     again = md.cross_validate(two, "gradient_boosting", 2, **best).filter("metric = 'accuracy'").agg({"value": "avg"}).first()[0]
     assert again == pytest.approx(max(r["score"] for r in log.collect()))
+
+
+@pytest.mark.parametrize("name", ["m6", "m18"])
+def test_boosted_queries_fit_whole_models_and_score_other_rows(spark, monkeypatch, sf_dir, name):
+    from inkprint.catalog import models as cat
+    fits, real = [], md.fit_classifier
+
+    def fit(df, learner, *args, **params):
+        if learner != "gradient_boosting":
+            return real(df, learner, *args, **params)
+        fits.append(({r["message_id"] for r in df.select("message_id").collect()}, params))
+        return real(df, "naive_bayes", *args, **params)
+
+    monkeypatch.setattr(md, "fit_classifier", fit)
+    scored = {r["message_id"] for r in getattr(cat, name)(spark, sf_dir).collect()}
+    (fitted, params), = fits
+    assert set(params) == {"n_classes"} and scored and fitted and not scored & fitted
