@@ -9,8 +9,8 @@ Scale: the texts are scanned where they lie, without a shuffle. The automaton is
 is bounded by ``shard_bytes`` of item text. More item text is dealt over several automata, which
 pass over the texts one after another; each pass is written to the shared folder before the next.
 
-Defined cases: a null or empty text has no words and no hits; null items and items without words
-have no windows; equal items all count; repeated rows are judged one by one; without items
+Defined cases: a null or empty text has no words and no hits; items without text or without words
+have no windows; an item with a null id counts for the hit words, but has no name among the items; equal items all count; repeated rows are judged one by one; without items
 nothing is contaminated; no row is dropped.
 """
 
@@ -48,7 +48,7 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(_NORMAL).split() if text else []
 
 
-def _automaton(items: list[tuple[str, bytes | None]], window: int):
+def _automaton(items: list[tuple[str | None, bytes | None]], window: int):
     """Word numbers, and the automaton over them: each pattern carries (its length, its items)."""
     import ahocorasick
 
@@ -57,7 +57,9 @@ def _automaton(items: list[tuple[str, bytes | None]], window: int):
     for item, text in items:
         ids = [numbers.setdefault(w, len(numbers) + 1) for w in words_of(text)]
         for at in range(max(1, len(ids) - window + 1) if ids else 0):
-            owners.setdefault(tuple(ids[at:at + window]), set()).add(item)
+            names = owners.setdefault(tuple(ids[at:at + window]), set())
+            if item is not None:
+                names.add(item)
     machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
     for pattern, names in owners.items():
         machine.add_word(pattern, (len(pattern), tuple(names)))
@@ -82,7 +84,7 @@ def _characters(text: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int
     return [(len(text[:at[a][0]].decode()), len(text[:at[b][1]].decode())) for a, b in runs]
 
 
-def _scan(docs: DataFrame, text: str, into: str, items: list[tuple[str, bytes | None]], window: int) -> DataFrame:
+def _scan(docs: DataFrame, text: str, into: str, items: list[tuple[str | None, bytes | None]], window: int) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(items)
 
     def start():
@@ -136,10 +138,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     """Every row of ``docs`` with a struct ``into``: n_words, n_hit, items (sorted as strings), runs
     (of hit words, first and last number) and spans (of characters, one list per automaton)."""
     items = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).cast("binary").alias("text")) \
-        .where(F.col("item").isNotNull() & F.col("text").isNotNull())
+        .where(F.col("text").isNotNull())
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = int(-(-total // shard_bytes)) or 1
-    dealt = items.withColumn("shard", F.pmod(F.xxhash64("item"), F.lit(shards)))
+    dealt = items.withColumn("shard", F.pmod(F.xxhash64("item", "text"), F.lit(shards)))
     out = docs
     for k in range(shards):
         rows = [(r["item"], bytes(r["text"])) for r in dealt.where(F.col("shard") == k).collect()]

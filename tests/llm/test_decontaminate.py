@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import re
 
+import pytest
 
 from inkprint.llm.decontaminate import contaminated, contamination
 
@@ -76,3 +77,12 @@ def test_one_word_in_twenty(spark):
     d = spark.createDataFrame([(19, "zz " + "a " * 19), (20, "zz " + "a " * 20)], "doc_id long, text string")
     got = {r["doc_id"]: r["x"] for r in contamination(d, b).select("doc_id", contaminated().alias("x")).collect()}
     assert got == {19: True, 20: False}
+
+
+@pytest.mark.parametrize("shard_bytes", [1 << 20, 20])
+def test_items_without_id_count_but_have_no_name(spark, shard_bytes):
+    b = spark.createDataFrame([(None, "one two three"), (None, "seven eight nine"), (7, "one two three"), (8, None)], "item_id long, text string")
+    d = spark.createDataFrame([(1, "x seven eight nine y"), (2, "one two three"), (3, "x y")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["c"]["n_hit"], r["c"]["items"], r["gone"]) for r in
+           contamination(d, b, window=3, shard_bytes=shard_bytes, into="c").withColumn("gone", contaminated("c")).collect()}
+    assert got == {1: (3, [], True), 2: (3, ["7"], True), 3: (0, [], False)}
