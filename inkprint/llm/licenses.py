@@ -4,9 +4,11 @@ Words that occur once in the text and once in the template are anchors; the long
 places keeps those in common order; the gaps between them are aligned in the same way. Coverage is the
 share of the template's words that are aligned.
 
-A template is looked for in windows of twice its length that overlap by half, so that every occurrence lies whole in
-one window and a second occurrence does not spoil the first one's anchors. A window is aligned only if it
-holds enough words of the template for the wanted coverage, which rules out nothing that could reach it.
+A template is looked for in windows that start at every multiple of its length and hold the longest acceptable span from
+any of its first words, so that every occurrence lies whole in one window, wherever it starts. A window is aligned only
+if it holds enough words of the template for the wanted coverage, which rules out nothing that could reach it. Where
+several occurrences hide each other's anchors, the window is aligned again from each place of the template's rarest words,
+in as much text as a span can take.
 
 Scale: one scan without a shuffle; the templates are a parameter of fixed size. A task holds one batch of rows.
 
@@ -136,13 +138,55 @@ class Scanner:
 
     def _windows(self, words, template, kinds, need):
         size = len(template)
+        longest = int(size / self.min_density + 1e-9)  # words of a span that is dense enough
         inside = np.concatenate([[0], np.cumsum(np.fromiter((w in kinds for w in words), np.int64, len(words)))])
-        starts = np.arange(0, max(1, len(words) - size), size)
-        held = inside[np.minimum(starts + 2 * size, len(words))] - inside[starts]
-        for start in starts[held >= need].tolist():
-            pairs = align(words[start:start + 2 * size], template)
-            if len(pairs) >= need and len(pairs) >= self.min_density * (pairs[-1][0] - pairs[0][0] + 1):
-                yield len(pairs), start + pairs[0][0], start + pairs[-1][0]
+        starts = np.arange(0, max(1, len(words)), size)
+        ends = np.minimum(starts + longest + size, len(words))
+        held = inside[ends] - inside[starts]
+        for start, end in zip(starts[held >= need].tolist(), ends[held >= need].tolist()):
+            todo = [(start, end)]
+            while todo:
+                a, b = todo.pop()
+                if inside[b] - inside[a] < need:
+                    continue
+                found = self._dense(words, a, b, template, need)
+                if found:
+                    yield found
+                    todo += [(a, found[1]), (found[2] + 1, b)]
+                elif (a, b) == (start, end) or b - a > longest:
+                    yield from self._singly(words, a, b, template, need, longest)
+
+    def _dense(self, words, a, b, template, need):
+        pairs = align(words[a:b], template)
+        if len(pairs) >= need and len(pairs) >= self.min_density * (pairs[-1][0] - pairs[0][0] + 1):
+            return len(pairs), a + pairs[0][0], a + pairs[-1][0]
+        return None
+
+    def _singly(self, words, a, b, template, need, longest):
+        """Occurrences around each place of a rare word of the template; of the rarest, as many as may be unaligned and one more, so
+        that every acceptable occurrence holds one of them."""
+        size = len(template)
+        places: dict = {}
+        for k in range(a, b):
+            places.setdefault(words[k], []).append(k)
+        rare = sorted(range(size), key=lambda y: (len(places.get(template[y], ())), y))[:size - need + 1]
+        for x, y in sorted({(x, y) for y in rare for x in places.get(template[y], ())}):
+            before = align(words[max(a, x - longest + 1):x][::-1], template[:y][::-1])
+            after = align(words[x + 1:min(b, x + longest)], template[y + 1:])
+            first = [x - 1 - p for p, _ in before]
+            last = [x + 1 + p for p, _ in after]
+            span = [*first[::-1], x, *last]
+            best = self._densest(span, need)
+            if best:
+                yield best
+
+    def _densest(self, span, need):
+        """The most aligned words in a row that are dense enough."""
+        for n in range(len(span), need - 1, -1):
+            for k in range(len(span) - n + 1):
+                if n >= self.min_density * (span[k + n - 1] - span[k] + 1):
+                    return n, span[k], span[k + n - 1]
+        return None
 
     @staticmethod
     def _best(matches):

@@ -60,3 +60,22 @@ def test_own_templates_clashing_column_and_empty_table(spark):
     r = scan_licenses(d, templates={"own": "Do not copy!", "void": "..."}).first()
     assert [m["license"] for m in r["licenses"]["matches"]] == ["own"]
     assert scan_licenses(d.limit(0)).count() == 0
+
+
+def test_inserted_words_at_every_offset():
+    scanner = Scanner({"r": "all rights reserved", "t": "alpha beta gamma delta epsilon zeta"}, 0.8)
+    for at in range(40):
+        before = [b"w"] * at
+        assert scanner.scan([*before, *b"all other rights hereby reserved".split(), *before]) == [("r", 1.0, at, at + 4)]
+        spread = b"alpha x beta x gamma x delta x epsilon x zeta".split()
+        assert scanner.scan([*before, *spread, *before]) == [("t", 1.0, at, at + 10)]
+
+
+def test_adjacent_copies_at_every_offset():
+    for name in ("all rights reserved", "alpha beta gamma delta epsilon zeta", "may copy and may sell and may use"):
+        words = name.encode().split()
+        scanner = Scanner({"t": name}, 0.8)
+        for copies in range(1, 8):
+            for at in range(len(words) * 3):
+                got = scanner.scan([b"w"] * at + words * copies + [b"w"] * 5)
+                assert got == [("t", 1.0, at + k * len(words), at + (k + 1) * len(words) - 1) for k in range(copies)], (name, copies, at)
