@@ -14,11 +14,15 @@ Scale: one scan without a shuffle; the templates are a parameter of fixed size.
 
 Defined cases: null and empty texts match nothing; templates without words are ignored; of matches that
 overlap the one with the most aligned words stays, then the one of larger coverage, then the earlier; repeated rows are scanned one by one.
+A match of a known template counts only if its span has the words that tell the template from its siblings (version, third
+clause) and none of theirs (nc, sa, nd, lesser, affero). Full texts lie in ``license_texts``, read by the driver.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -55,8 +59,89 @@ TEMPLATES = {
         conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this
         list of conditions and the following disclaimer in the documentation and/or other materials provided with the
         distribution.""",
+    "bsd-3-clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that
+        the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of
+        conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this
+        list of conditions and the following disclaimer in the documentation and/or other materials provided with the
+        distribution. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+        products derived from this software without specific prior written permission.""",
+    "isc": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+        granted, provided that the above copyright notice and this permission notice appear in all copies.""",
+    "unlicense": """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish,
+        use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose,
+        commercial or non-commercial, and by any means.""",
+    "zlib": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held
+        liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for
+        any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following
+        restrictions""",
+    "mpl-2.0-notice": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL
+        was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
+    "agpl-3.0-section": """Notwithstanding any other provision of this License, if you modify the Program, your modified version must
+        prominently offer all users interacting with it remotely through a computer network (if your version supports such
+        interaction) an opportunity to receive the Corresponding Source of your version by providing access to the Corresponding
+        Source from a network server at no charge, through some standard or customary means of facilitating copying of software.""",
+    "mpl-2.0-reference": "This work is licensed under the Mozilla Public License, version 2.0.",
+    "isc-reference": "Released under the ISC License.",
+    "unlicense-reference": "Released under the Unlicense.",
+    "bsd-2-clause-reference": "Released under the BSD 2-Clause License.",
+    "bsd-3-clause-reference": "Released under the BSD 3-Clause License.",
+    "cc0-1.0-reference": "Licensed under CC0 1.0.",
+    "cc0-1.0-notice": "This work is dedicated to the public domain under CC0 1.0 Universal.",
     "all-rights-reserved": "All rights reserved.",
 }
+# Words that a match must have, and may not have, so that it is not one of a sibling
+_GNU = {"lesser", "library", "affero"}
+_CC = {"nc": {"noncommercial", "commercial"}, "sa": {"sharealike", "share"}, "nd": {"noderivatives", "noderivs", "derivatives", "derivs"}}
+RULES: dict[str, tuple[set[str], set[str]]] = {
+    "apache-2.0-reference": ({"apache", "2"}, set()), "mpl-2.0-reference": ({"mozilla", "2"}, set()),
+    "mpl-2.0-notice": ({"mozilla", "2"}, set()), "mit-reference": ({"mit"}, set()), "isc-reference": ({"isc"}, set()),
+    "unlicense-reference": ({"unlicense"}, set()), "bsd-2-clause-reference": ({"bsd", "2"}, set()),
+    "bsd-3-clause-reference": ({"bsd", "3"}, set()), "bsd-3-clause": ({"neither", "endorse"}, set()),
+    "cc0-1.0-reference": ({"cc0", "1"}, set()), "cc0-1.0-notice": ({"cc0", "1"}, set()),
+    "agpl-3.0-section": ({"remotely", "network"}, set()), "gpl-1-text": ({"february", "1989"}, set()),
+    "gpl-2-text": ({"june", "1991"}, set()), "gpl-3-text": ({"29", "june", "2007"}, set()), "lgpl-2-text": ({"june", "1991"}, set()),
+    "lgpl-2.1-text": ({"february", "1999"}, set()), "lgpl-3-text": ({"lesser", "june", "2007"}, set()),
+    "gfdl-1.2-text": ({"november", "2002"}, set()), "gfdl-1.3-text": ({"november", "2008"}, set()),
+    "mpl-1.1-text": ({"1"}, set()), "mpl-2.0-text": ({"2"}, set()),
+}
+
+
+def _siblings() -> None:
+    """The GNU and the Creative Commons licenses in all versions: references and customary notices."""
+    for name, kind, version in (("gpl", "", "1"), ("gpl", "", "2"), ("gpl", "", "3"), ("lgpl", "Library ", "2"), ("lgpl", "Lesser ", "2.1"),
+                                ("lgpl", "Lesser ", "3"), ("agpl", "Affero ", "3")):
+        full = f"{name}-{version if '.' in version else version + '.0'}"
+        own = {kind.strip().lower()} - {""}
+        rule = ({"general", *own, *version.split(".")}, _GNU - own)
+        for tail, text in (
+                ("reference", f"This work is licensed under the GNU {kind}General Public License, version {version}."),
+                ("notice", f"""you can redistribute it and/or modify it under the terms of the GNU {kind}General Public License as published
+                    by the Free Software Foundation, either version {version} of the License, or (at your option) any later version.""")):
+            TEMPLATES.setdefault(f"{full}-{tail}", text)
+            RULES[f"{full}-{tail}"] = rule
+    for code in ("by", "by-sa", "by-nc", "by-nd", "by-nc-sa", "by-nc-nd"):
+        parts = code.split("-")
+        for version in ("1.0", "2.0", "2.5", "3.0", "4.0"):
+            nd = "NoDerivatives" if version == "4.0" else "NoDerivs"
+            long = "-".join({"by": "Attribution", "sa": "ShareAlike", "nc": "NonCommercial", "nd": nd}[x] for x in parts)
+            kind = {"4.0": "International", "3.0": "Unported"}.get(version, "Generic")
+            other = [x for x in _CC if x not in parts]
+            bars = set(other).union(*(_CC[x] for x in other))
+            numbers = set(version.split("."))
+            for tail, text, needs in (
+                    ("reference", f"Licensed under CC {code.upper()} {version}.", {"cc", *parts}),
+                    ("notice", f"This work is licensed under a Creative Commons {long} {version} {kind} License.",
+                     {"creative", "commons", *long.lower().split("-")})):
+                TEMPLATES.setdefault(f"cc-{code}-{version}-{tail}", text)
+                RULES[f"cc-{code}-{version}-{tail}"] = (needs | numbers, bars)
+
+
+_siblings()
+
+
+def known_templates() -> dict[str, str]:
+    """All templates, the full texts too."""
+    return {**TEMPLATES, **{p.stem: p.read_text(encoding="utf-8") for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}}
 
 _FIELDS = T.StructType([T.StructField("matches", T.ArrayType(T.StructType([
     T.StructField("license", T.StringType()), T.StructField("coverage", T.DoubleType()),
@@ -116,12 +201,26 @@ def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
+def _tight(words: list, span: list[int]) -> list[int]:
+    """The same aligned words at places that are as close to each other as may be: each the first after the one before, then
+    each the last before the one behind."""
+    span = list(span)
+    for i in range(1, len(span)):
+        span[i] = words.index(words[span[i]], span[i - 1] + 1, span[i] + 1)
+    for i in range(len(span) - 2, -1, -1):
+        span[i] = next(x for x in range(span[i + 1] - 1, span[i] - 1, -1) if words[x] == words[span[i]])
+    return span
+
+
 class Scanner:
-    def __init__(self, templates: dict[str, str], min_coverage: float, min_density: float = 0.5):
+    def __init__(self, templates: dict[str, str], min_coverage: float, min_density: float = 0.5,
+                 rules: dict[str, tuple[set[str], set[str]]] | None = None):
         self.templates = {name: words for name, t in sorted(templates.items()) if (words := words_of(t.encode()))}
         self.min_coverage, self.min_density = min_coverage, min_density
         self.kinds = {name: set(words) for name, words in self.templates.items()}
         self.all = set().union(*self.kinds.values()) if self.kinds else set()
+        self.counts = {name: Counter(words) for name, words in self.templates.items()}
+        self.rules = {name: tuple({w.encode() for w in part} for part in rule) for name, rule in (rules or {}).items()}
 
     def scan(self, words: list[bytes]) -> list[tuple[str, float, int, int]]:
         """(template, coverage, first word, last word) of all matches, by place."""
@@ -130,13 +229,16 @@ class Scanner:
         for name, template in self.templates.items():
             spare = int((1 - self.min_coverage) * len(template) + 1e-9)  # template words that may stay unaligned
             kinds = self.kinds[name]
-            if len(kinds & present) < len(kinds) - spare:
+            needs, bars = self.rules.get(name, (set(), set()))
+            if len(words) < len(template) - spare or not needs <= present or len(kinds & present) < len(kinds) - spare:
                 continue
-            found += [(name, n / len(template), first, last, n)
-                      for n, first, last in self._windows(words, template, kinds, len(template) - spare)]
+            for n, first, last in set(self._windows(words, template, kinds, len(template) - spare, self.counts[name])):
+                span = set(words[first:last + 1])
+                if needs <= span and not bars & span:
+                    found.append((name, n / len(template), first, last, n))
         return sorted(self._best(found), key=lambda m: (m[2], m[0]))
 
-    def _windows(self, words, template, kinds, need):
+    def _windows(self, words, template, kinds, need, counts):
         size = len(template)
         longest = int(size / self.min_density + 1e-9)  # words of a span that is dense enough
         inside = np.concatenate([[0], np.cumsum(np.fromiter((w in kinds for w in words), np.int64, len(words)))])
@@ -147,19 +249,19 @@ class Scanner:
             todo = [(start, end)]
             while todo:
                 a, b = todo.pop()
-                if inside[b] - inside[a] < need:
+                if inside[b] - inside[a] < need or (Counter(words[a:b]) & counts).total() < need:
                     continue
                 found = self._dense(words, a, b, template, need)
                 if found:
                     yield found
                     todo += [(a, found[1]), (found[2] + 1, b)]
-                elif (a, b) == (start, end) or b - a > longest:
+                else:
                     yield from self._singly(words, a, b, template, need, longest)
 
     def _dense(self, words, a, b, template, need):
-        pairs = align(words[a:b], template)
-        if len(pairs) >= need and len(pairs) >= self.min_density * (pairs[-1][0] - pairs[0][0] + 1):
-            return len(pairs), a + pairs[0][0], a + pairs[-1][0]
+        span = _tight(words, [a + x for x, _ in align(words[a:b], template)])
+        if len(span) >= need and len(span) >= self.min_density * (span[-1] - span[0] + 1):
+            return len(span), span[0], span[-1]
         return None
 
     def _singly(self, words, a, b, template, need, longest):
@@ -175,7 +277,7 @@ class Scanner:
             after = align(words[x + 1:min(b, x + longest)], template[y + 1:])
             first = [x - 1 - p for p, _ in before]
             last = [x + 1 + p for p, _ in after]
-            span = [*first[::-1], x, *last]
+            span = _tight(words, [*first[::-1], x, *last])
             best = self._densest(span, need)
             if best:
                 yield best
@@ -200,10 +302,11 @@ class Scanner:
 def scan_licenses(docs: DataFrame, text: str = "text", templates: dict[str, str] | None = None, min_coverage: float = 0.8,
                   into: str = "licenses") -> DataFrame:
     """Every row of ``docs`` with a struct ``into``: matches (license, coverage, start and end in characters)."""
-    shared = docs.sparkSession.sparkContext.broadcast(TEMPLATES if templates is None else templates)
+    shared = docs.sparkSession.sparkContext.broadcast(known_templates() if templates is None else templates)
+    rules = RULES if templates is None else {}
 
     def start():
-        scanner = Scanner(shared.value, min_coverage)
+        scanner = Scanner(shared.value, min_coverage, rules=rules)
 
         def compute(texts):
             offsets, names, coverage, spans = [0], [], [], []

@@ -2,7 +2,8 @@ from __future__ import annotations
 
 import random
 
-from inkprint.llm.licenses import TEMPLATES, Scanner, align, scan_licenses
+from inkprint.llm.decontaminate import words_of
+from inkprint.llm.licenses import RULES, TEMPLATES, Scanner, align, known_templates, scan_licenses
 
 
 def longest(a, b):
@@ -79,3 +80,25 @@ def test_adjacent_copies_at_every_offset():
             for at in range(len(words) * 3):
                 got = scanner.scan([b"w"] * at + words * copies + [b"w"] * 5)
                 assert got == [("t", 1.0, at + k * len(words), at + (k + 1) * len(words) - 1) for k in range(copies)], (name, copies, at)
+
+
+def test_every_template_is_found_as_itself():
+    templates = known_templates()
+    scanner = Scanner(templates, 0.8, rules=RULES)
+    assert set(RULES) <= set(templates) and len(templates) > 90
+    for name, text in templates.items():
+        words = [b"w", b"x", *words_of(text.encode()), b"y"]
+        got = [m[0] for m in scanner.scan(words) if m[3] - m[2] + 1 >= len(words) // 2]
+        assert got == [name], (name, got)
+
+
+def test_siblings_are_told_apart(spark):
+    bsd3 = TEMPLATES["bsd-3-clause"].replace("copyright holder", "University")
+    got = matches(spark, [
+        "This work is licensed under the GNU General Public License, version 2.", "Licensed under CC BY-SA 4.0.",
+        "This work is licensed under the GNU Lesser General Public License, version 3.", "Licensed under CC BY 9.0.",
+        "This work is licensed under the GNU General Public License, version 7.", bsd3, "Licensed under CC0 1.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 3.0 Unported License.", "Licensed under CC BY 4.0."])
+    assert [[m[0] for m in g] for g in got] == [
+        ["gpl-2.0-reference"], ["cc-by-sa-4.0-reference"], ["lgpl-3.0-reference"], [], [], ["bsd-3-clause"], ["cc0-1.0-reference"],
+        ["cc-by-nc-3.0-notice"], ["cc-by-4.0-reference"]]
