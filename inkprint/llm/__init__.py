@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 _PARTS = ["decontaminate", "embeddings", "language", "licenses", "linededup", "lm", "mixing", "neardup", "passages",
-          "warc"]
+          "phrases", "warc"]
 
 
 def _load():
