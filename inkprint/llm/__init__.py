@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import importlib
 
-_PARTS = ["decontaminate", "embeddings", "language", "licenses", "linededup", "lm", "mixing", "neardup", "passages",
-          "phrases", "warc"]
+_PARTS = ["alignment", "decontaminate", "embeddings", "language", "licenses", "linededup", "lm", "mixing", "neardup", "passages",
+          "phrases", "toxicity", "warc"]
 
 
 def _load():

@@ -9,7 +9,7 @@ from inkprint import llm
 from tests.harness import compare, connect
 
 QUERIES, SQL = llm.queries(), llm.oracle_sql()
-OPERATORS = set(range(1, 11)) | {13}
+OPERATORS = set(range(1, 14))
 
 
 def test_one_query_for_each_operator():
