@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
+from hashlib import sha256
 
 from pyspark.sql import functions as F
 
@@ -15,11 +15,12 @@ from inkprint.operators import models as md
 from inkprint.operators.embed import embed_hashed, vector_to_columns
 from inkprint.operators.features import build_features
 from inkprint.operators.neighbors import knn_predict, knn_votes
+from inkprint.operators.randomtrees import TreeParams, fit_random_trees
 from inkprint.operators.sampling import split
 from inkprint.operators.search import search
-from inkprint.operators.stack import meta_inputs, stack_oof
+from inkprint.operators.stack import Stack, meta_inputs, stack_oof
 from inkprint.plans.training import train, train_meta
-from inkprint.session import materialize
+from inkprint.session import materialize, path_exists, shared_folder
 
 STYLE = FeatureConfig.only(
     "uppercase_count", "char_count", "word_length", "message_composition", "englishness", "type_token_ratio",
@@ -35,20 +36,37 @@ def labelled(spark, d):
     return docs(spark, d).select("message_id", "message").join(label_rows(spark, d), "message_id")
 
 
-@lru_cache(maxsize=4)
-def quality_tables(spark, d):
-    """Feature and embedding table of the labelled documents, written once per session."""
-    rows = materialize(labelled(spark, d), "labelled")
-    return (materialize(build_features(rows, STYLE), "style"),
-            materialize(embed_hashed(rows, "mean"), "vectors"))
+def _kept(spark, d: str, name: str) -> str:
+    """A folder of this application, named by what is in it and by its input."""
+    text = f"{name} {d} {spark.sparkContext.applicationId}"
+    return f"{shared_folder(spark)}/inkprint-{name}-{sha256(text.encode()).hexdigest()[:16]}"
 
 
-@lru_cache(maxsize=4)
-def trained_run(spark, d):
-    features, embeddings = quality_tables(spark, d)
-    users = table(spark, d, "labels").select(F.col("quality").alias("user")).distinct() \
-        .select(F.concat(F.lit("quality "), "user").alias("author"), "user")
-    return train(features, embeddings, users=users)
+def _written(df, path: str):
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def quality_tables(spark, d):
+    """Feature and embedding table of the labelled documents, written once for an application."""
+    path = _kept(spark, d, "quality")
+    if not path_exists(spark, f"{path}/vectors/_SUCCESS"):
+        rows = materialize(labelled(spark, d), "labelled")
+        _written(build_features(rows, STYLE), f"{path}/style")
+        _written(embed_hashed(rows, "mean"), f"{path}/vectors")
+    return spark.read.parquet(f"{path}/style"), spark.read.parquet(f"{path}/vectors")
+
+
+def trained_stack(spark, d):
+    """(stack, scored holdout), trained, saved and written once for an application. Its meta model is one fit on the out-of-fold rows."""
+    path = _kept(spark, d, "stack")
+    if not path_exists(spark, f"{path}/scored/_SUCCESS"):
+        users = table(spark, d, "labels").select(F.col("quality").alias("user")).distinct() \
+            .select(F.concat(F.lit("quality "), "user").alias("author"), "user")
+        run = train(*quality_tables(spark, d), users=users, meta_args={"parameters": {}})
+        run.stack.save(f"{path}/stack", overwrite=True)
+        _written(run.holdout.scored, f"{path}/scored")
+    return Stack.load(spark, f"{path}/stack"), spark.read.parquet(f"{path}/scored")
 
 
 def _held_out(spark, d, name: str, **params):
@@ -99,6 +117,28 @@ def m6(spark, d):
     return _held_out(spark, d, "gradient_boosting")
 
 
+@query("m7_first_cuts", """
+WITH u AS (SELECT t, f, ('0x' || substr(md5('order:0:' || t || ':0:' || f), 1, 8))::BIGINT AS place,
+                  ('0x' || substr(md5('cut:0:' || t || ':0:' || f), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS share
+           FROM range(20) a(t), range(64) b(f)),
+v AS (SELECT f, embedding[f + 1]::DOUBLE AS x, label FROM embeddings, range(64) b(f)),
+lim AS (SELECT f, min(x) AS low, max(x) AS high FROM v GROUP BY f HAVING min(x) < max(x)),
+tried AS (SELECT t, f, low + share * (high - low) AS cut, row_number() OVER (PARTITION BY t ORDER BY place, f) AS rank
+          FROM u JOIN lim USING (f) QUALIFY rank <= 8),
+side AS (SELECT t, v.f, any_value(rank) AS rank, any_value(cut) AS cut, label, count(*) FILTER (x <= cut) AS nl, count(*) FILTER (x > cut) AS nr
+         FROM tried JOIN v ON v.f = tried.f GROUP BY t, v.f, label),
+worth AS (SELECT t, f, any_value(rank) AS rank, any_value(cut) AS cut, sum(nl)::BIGINT AS n_left,
+                 sum(nl * nl)::DOUBLE / sum(nl) + sum(nr * nr)::DOUBLE / sum(nr) AS w FROM side GROUP BY t, f)
+SELECT t AS tree, f AS feature, round(cut, 6) AS cut, n_left FROM worth
+QUALIFY row_number() OVER (PARTITION BY t ORDER BY round(w, 6) DESC, rank) = 1""")
+def m7_first_cuts(spark, d):
+    """The first cut of 20 trees over the raw vectors."""
+    rows = vectors(spark, d).select(F.col("embedding").alias("vector"), F.col("user").alias("label"))
+    model = fit_random_trees(rows, md.count_classes(rows, "label"), TreeParams(n_estimators=20, max_depth=1))
+    found = [(k, int(t["feature"][0]), float(t["cut"][0]), int(t["rows"][1])) for k, t in enumerate(model.trees)]
+    return spark.createDataFrame(found, "tree long, feature long, cut double, n_left long").withColumn("cut", r6("cut"))
+
+
 @query("m7_extra_trees")
 def m7(spark, d):
     return _held_out(spark, d, "extra_trees")
@@ -169,14 +209,12 @@ def m16(spark, d):
 
 
 def _meta_table(spark, d):
-    """Meta table of the labelled documents, from one fit of each base model."""
-    features, embeddings = quality_tables(spark, d)
-    first = md.fit_classifier(features, "naive_bayes").predict(features)
-    second = md.fit_classifier(vector_to_columns(embeddings, 32, "mean"), "naive_bayes").predict(
-        vector_to_columns(embeddings, 32, "mean"))
-    both = first.select("message_id", "user", F.col("probability").alias("probs_feature")).join(
-        second.select("message_id", F.col("probability").alias("probs_embed")), "message_id")
-    return materialize(meta_inputs(both.withColumns(pr.meta_columns()), 2), "meta")
+    """Meta table of the labelled documents: every row predicted by base models that have not seen it."""
+    path = _kept(spark, d, "meta")
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        oof = stack_oof(*quality_tables(spark, d))
+        return _written(meta_inputs(oof.drop("fold").withColumns(pr.meta_columns()), 2), path)
+    return spark.read.parquet(path)
 
 
 @query("m18_meta_learner")
@@ -198,9 +236,9 @@ def m20(spark, d):
 
 @query("m21_train")
 def m21(spark, d):
-    return trained_run(spark, d).holdout.scored.select("message_id", "user", "prediction")
+    return trained_stack(spark, d)[1].select("message_id", "user", "prediction")
 
 
 @query("v8_evaluate_stack")
 def v8(spark, d):
-    return trained_run(spark, d).holdout.report
+    return ev.classification_report(trained_stack(spark, d)[1])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from inkprint.catalog.base import PROBS, probs, query, r6, table
-from inkprint.catalog.models import STYLE, trained_run
+from inkprint.catalog.models import STYLE, trained_stack
 from inkprint.catalog.sources import write_exports
 from inkprint.constants import SPACE_CLASS
 from inkprint.operators.clean import with_message_id
@@ -67,7 +67,7 @@ def _messages(frame):
 
 @query("t1_score_messages")
 def t1(spark, d):
-    stack = trained_run(spark, d).stack
+    stack, _ = trained_stack(spark, d)
     scored = sc.score_messages(_messages(table(spark, d, "conversations")), stack, _features, _embeddings)
     return scored.select("chat_id", "pos", "user", "author", r6("p").alias("p"), r6("average").alias("average"))
 
@@ -79,7 +79,7 @@ def _stream(spark, d: str, name: str):
 
 @query("t2_score_stream")
 def t2(spark, d):
-    stack = trained_run(spark, d).stack
+    stack, _ = trained_stack(spark, d)
     home = scratch_path(spark, "stream")
 
     def score(batch):

@@ -9,11 +9,11 @@ from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
-    GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes,
+    LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import MaxAbsScaler, MinMaxScaler, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,12 +21,16 @@ from inkprint.config import FeatureConfig
 from inkprint.constants import SEED
 from inkprint.functions import probs as pr
 from inkprint.operators import evaluate as ev
+from inkprint.operators.boosting import Booster, BoostParams, Spec, Table, boosted_probability
 from inkprint.operators.features import input_columns, select_features
 from inkprint.operators.neighbors import knn_join, knn_votes
+from inkprint.operators.network import STEP, TRAIN, VALIDATE, Loss, Network, fit_network, network_probability
+from inkprint.operators.randomtrees import RandomTrees, TreeParams, fit_random_trees, trees_probability
 from inkprint.operators.sampling import assign_folds, split
 from inkprint.session import materialize, path_exists
 
 _ASSEMBLED = "features"
+TREE_ALIASES = {"numTrees": "n_estimators", "maxDepth": "max_depth"}  # the customary names in Spark's trees
 
 
 class EachClass:
@@ -58,15 +62,6 @@ class EachClass:
             rows.unpersist()
 
 
-def _boosted(n_classes: int, label: str, **params):
-    params = {"maxIter": 100, "maxDepth": 3, "stepSize": 0.1, "seed": SEED, **params}
-    if n_classes == 2:
-        return [GBTClassifier(featuresCol=_ASSEMBLED, labelCol=label, **params)]
-    make = lambda c: GBTClassifier(featuresCol=_ASSEMBLED, predictionCol=f"_side_{c}", **params) \
-        .setRawPredictionCol(f"_raw_{c}").setProbabilityCol(f"class_{c}")
-    return [EachClass(make, range(n_classes), label, "class")]
-
-
 def _forest(label: str, **params):
     params = {"numTrees": 100, "maxDepth": 30, "featureSubsetStrategy": "sqrt", "seed": SEED, **params}
     return [RandomForestClassifier(featuresCol=_ASSEMBLED, labelCol=label, **params)]
@@ -93,11 +88,10 @@ CLASSIFIERS: dict[str, Callable] = {
     "naive_bayes": lambda d, k, y, **p: [NaiveBayes(modelType="gaussian", featuresCol=_ASSEMBLED, labelCol=y, **p)],
     "svc": lambda d, k, y, **p: _svc(k, y, **p),
     "neural_network": lambda d, k, y, **p: _network(d, k, y, **p),
-    "gradient_boosting": lambda d, k, y, **p: _boosted(k, y, **p),
-    # thresholds are MLlib's binned ones, not random: whole sample, random feature subsets
-    "extra_trees": lambda d, k, y, **p: _forest(y, **{"bootstrap": False, "seed": 0, **p}),
 }
 NEIGHBORS = "kneighbors"
+BOOSTING = "gradient_boosting"
+RANDOM_TREES = "extra_trees"
 
 
 def register_classifier(name: str, factory: Callable) -> None:
@@ -105,7 +99,7 @@ def register_classifier(name: str, factory: Callable) -> None:
 
 
 def check_classifier(name: str) -> None:
-    if name != NEIGHBORS and name not in CLASSIFIERS:
+    if name not in (NEIGHBORS, BOOSTING, RANDOM_TREES) and name not in CLASSIFIERS:
         raise ValueError(f"unknown classifier: {name}")
 
 
@@ -116,13 +110,7 @@ class Fitted:
         self.model, self.n_classes, self.inputs = model, n_classes, inputs or []
 
     def predict(self, df: DataFrame) -> DataFrame:
-        out = self.model.transform(df)
-        if "probability" in out.columns:
-            probability = vector_to_array("probability")
-        else:  # one score per class, scaled to sum to one
-            scores = F.array(*[F.get(vector_to_array(f"class_{c}"), F.lit(1)) for c in range(self.n_classes)])
-            probability = pr.scaled(scores)
-        scored = out.select(*df.columns, probability.alias("probability"))
+        scored = self.model.transform(df).select(*df.columns, vector_to_array("probability").alias("probability"))
         return scored.withColumn("prediction", pr.argmax("probability").cast("int"))
 
     def save(self, path: str, overwrite: bool = False) -> None:
@@ -135,7 +123,9 @@ class Fitted:
         spark.createDataFrame([(meta,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str) -> Fitted:
+    def load(cls, spark: SparkSession, path: str) -> Fitted | FittedTrees:
+        if path_exists(spark, f"{path}/trees"):
+            return FittedTrees.load(spark, path)
         meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
         return cls(PipelineModel.load(f"{path}/pipeline"), meta["n_classes"], meta["inputs"])
 
@@ -174,8 +164,42 @@ class FittedNeighbors:
                    meta["inputs"])
 
 
-def load_model(spark: SparkSession, path: str) -> Fitted | FittedNeighbors:
-    """A saved classifier of either kind."""
+class FittedTrees:
+    """Boosted or random trees behind the scaler they were fitted with."""
+
+    def __init__(self, prepare: PipelineModel, trees: Booster | RandomTrees, n_classes: int, inputs: list[str] | None = None):
+        self.prepare, self.trees, self.n_classes, self.inputs = prepare, trees, n_classes, inputs or []
+
+    def predict(self, df: DataFrame) -> DataFrame:
+        probability = boosted_probability if isinstance(self.trees, Booster) else trees_probability
+        ready = self.prepare.transform(df).withColumn("probability", probability(self.trees, vector_to_array(_ASSEMBLED)))
+        return ready.select(*df.columns, "probability").withColumn("prediction", pr.argmax("probability").cast("int"))
+
+    def importances(self) -> list[tuple[int, float]]:
+        """(input, share of all gains), of the inputs that split any node."""
+        gains = self.trees.gain if isinstance(self.trees, Booster) else self.trees.fall
+        total = sum(gains.values())
+        return [(k, v / total) for k, v in sorted(gains.items()) if total]
+
+    def save(self, path: str, overwrite: bool = False) -> None:
+        spark = SparkSession.getActiveSession()
+        if path_exists(spark, path) and not overwrite:
+            raise ValueError(f"model {path} already exists; allow retraining to overwrite it")
+        writer = self.prepare.write()
+        (writer.overwrite() if overwrite else writer).save(f"{path}/prepare")
+        meta = json.dumps({"n_classes": self.n_classes, "inputs": self.inputs, "boosted": isinstance(self.trees, Booster)})
+        for part, text in (("trees", self.trees.to_json()), ("meta", meta)):
+            spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/{part}")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> FittedTrees:
+        meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
+        trees = (Booster if meta["boosted"] else RandomTrees).from_json(spark.read.text(f"{path}/trees").first()[0])
+        return cls(PipelineModel.load(f"{path}/prepare"), trees, meta["n_classes"], meta["inputs"])
+
+
+def load_model(spark: SparkSession, path: str) -> Fitted | FittedNeighbors | FittedTrees:
+    """A saved classifier of any kind."""
     kind = FittedNeighbors if path_exists(spark, f"{path}/base") else Fitted
     return kind.load(spark, path)
 
@@ -208,6 +232,12 @@ def _width(model: PipelineModel, df: DataFrame) -> int:
         F.size("v")).first()[0]
 
 
+def boosting_table(prepare: PipelineModel, df: DataFrame, label: str, n_classes: int, fold: str | None = None) -> Table:
+    """The binned inputs of boosted trees."""
+    ready = prepare.transform(df).withColumn("_vector", vector_to_array(_ASSEMBLED))
+    return Table(ready, "_vector", label, "message_id" if "message_id" in df.columns else "_vector", n_classes, fold)
+
+
 def fit_classifier(df: DataFrame, name: str = "random_forest", label: str = "user",
                    inputs: list[str] | None = None, scale: bool = True, n_classes: int | None = None, **params):
     """Fit scaler and classifier together, on the given rows only."""
@@ -219,6 +249,13 @@ def fit_classifier(df: DataFrame, name: str = "random_forest", label: str = "use
         base = prepare.transform(df).select(
             F.col("message_id").alias("id"), vector_to_array(_ASSEMBLED).alias("vector"), F.col(label).alias("label"))
         return FittedNeighbors(prepare, materialize(base, "neighbors"), n_classes, params.get("k", 5), inputs)
+    if name == BOOSTING:
+        boosters, _ = boosting_table(prepare, df, label, n_classes).fit([Spec(BoostParams.of(**params))])[0]
+        return FittedTrees(prepare, boosters[0], n_classes, inputs)
+    if name == RANDOM_TREES:
+        ready = prepare.transform(df).select(vector_to_array(_ASSEMBLED).alias("vector"), F.col(label).alias("label"))
+        named = {TREE_ALIASES.get(k, k): v for k, v in params.items()}
+        return FittedTrees(prepare, fit_random_trees(ready, n_classes, TreeParams(**named)), n_classes, inputs)
     width = _width(prepare, df) if name == "neural_network" else 0
     stages = CLASSIFIERS[name](width, n_classes, label, **params)
     ready = prepare.transform(df.withColumn(label, F.col(label).cast("double")))
@@ -240,11 +277,17 @@ def cross_validate(df: DataFrame, name: str = "random_forest", k: int = 5, label
 
 
 def validate_folds(folded: DataFrame, name: str, k: int, label: str, n_classes: int, threads: int = 4, **params) -> DataFrame:
-    """``cross_validate`` of rows that have their ``fold``, so that many candidates share one table."""
+    """``cross_validate`` of rows that have their ``fold``. Boosted trees of all folds grow together, over one table of bins."""
+    together = {}
+    if name == BOOSTING:
+        inputs = input_columns(folded, (label, "message_id", "fold", "split"))
+        prepare = Pipeline(stages=assembler(folded, inputs)).fit(folded)
+        boosters, _ = boosting_table(prepare, folded, label, n_classes, "fold").fit([Spec(BoostParams.of(**params), list(range(k)))])[0]
+        together = {f: FittedTrees(prepare, b, n_classes, inputs) for f, b in enumerate(boosters)}
 
     def one(fold: int) -> DataFrame:
-        model = fit_classifier(folded.filter(F.col("fold") != fold).drop("fold"), name, label,
-                               n_classes=n_classes, **params)
+        model = together.get(fold) or fit_classifier(folded.filter(F.col("fold") != fold).drop("fold"), name, label,
+                                                     n_classes=n_classes, **params)
         scored = model.predict(folded.filter(F.col("fold") == fold).drop("fold"))
         return ev.fold_scores(scored, label).withColumn("fold", F.lit(fold))
 
@@ -256,16 +299,19 @@ def validate_folds(folded: DataFrame, name: str, k: int, label: str, n_classes:
 def feature_importance(model, inputs: Iterable[str] | None = None, n: int = 20) -> DataFrame | None:
     """rank, feature, importance of the n most predictive inputs; None if the model has none."""
     stage = model.model.stages[-1] if isinstance(model, Fitted) else None
-    if stage is None or not hasattr(stage, "featureImportances"):
+    if isinstance(model, FittedTrees):
+        weights = model.importances()
+    elif hasattr(stage, "featureImportances"):
+        found = stage.featureImportances
+        weights = list(zip(found.indices.tolist() if hasattr(found, "indices") else range(len(found)), found.values.tolist()))
+    else:
         return None
     spark = SparkSession.getActiveSession()
-    weights = stage.featureImportances
     names = list(inputs or model.inputs)
     # a sparse bag is one input of many columns; the plain columns come first
     named = [c for c in names if c != "bow"] if "bow" in names else names
     rows = [(named[i] if i < len(named) else f"bow_{i - len(named)}", float(w))
-            for i, w in zip(weights.indices.tolist() if hasattr(weights, "indices") else range(len(weights)),
-                            weights.values.tolist())]
+            for i, w in weights]
     table = spark.createDataFrame(rows, "feature string, importance double")
     top = table.orderBy(F.desc("importance"), "feature").limit(n)
     return top.select(F.row_number().over(_importance_order()).cast("long").alias("rank"), "feature", "importance")
@@ -320,70 +366,55 @@ def train_feature_model(df: DataFrame, name: str = "random_forest", config: Feat
 class EmbeddingModel:
     """Network over embedding arrays."""
 
-    def __init__(self, model, n_classes: int):
+    def __init__(self, model: Network, n_classes: int):
         self.model, self.n_classes = model, n_classes
 
     def predict(self, df: DataFrame) -> DataFrame:
-        ready = df.withColumn(_ASSEMBLED, array_to_vector(F.col("embedding").cast("array<double>")))
-        out = self.model.transform(ready)
-        return out.select(*df.columns, vector_to_array("probability").alias("probability"),
-                          F.col("prediction").cast("int").alias("prediction"))
+        probability = network_probability(self.model, F.col("embedding").cast("array<double>"))
+        return df.withColumn("probability", probability).withColumn("prediction", pr.argmax("probability").cast("int"))
 
     def save(self, path: str, overwrite: bool = False) -> None:
-        Fitted(PipelineModel([self.model]), self.n_classes, ["embedding"]).save(path, overwrite)
+        spark = SparkSession.getActiveSession()
+        if path_exists(spark, path) and not overwrite:
+            raise ValueError(f"model {path} already exists; allow retraining to overwrite it")
+        for part, text in (("network", self.model.to_json()), ("meta", json.dumps({"n_classes": self.n_classes}))):
+            spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/{part}")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> EmbeddingModel:
-        kept = Fitted.load(spark, path)
-        return cls(kept.model.stages[0], kept.n_classes)
-
-
-def _losses(df: DataFrame, label: str, gamma: float | None) -> dict[str, tuple[float, float]]:
-    """split -> (mean loss, accuracy) in one pass; cross-entropy, or focal loss with the given gamma."""
-    p = F.greatest(ev.true_probability("probability", label), F.lit(1e-15))
-    loss = -F.ln(p) if gamma is None else pr.focal_loss(p, 0.5, gamma)
-    hit = (F.col(label) == F.col("prediction")).cast("double")
-    rows = df.groupBy("split").agg(F.avg(loss).alias("loss"), F.avg(hit).alias("hit")).collect()  # one row per part
-    return {r["split"]: (r["loss"], r["hit"]) for r in rows}
+        meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
+        return cls(Network.from_json(spark.read.text(f"{path}/network").first()[0]), meta["n_classes"])
 
 
-def train_embedding_model(df: DataFrame, epochs: int = 15, steps: int = 4, hidden: tuple[int, ...] = (64,),
-                          test_size: float = 0.2, val_size: float = 0.2, gamma: float | None = 4.0,
+def train_embedding_model(df: DataFrame, epochs: int = 15, batch: int = 32, rate: float = 0.001, hidden: int = 64,
+                          test_size: float = 0.2, val_size: float = 0.2, gamma: float | None = 4.0, alpha: float = 0.5,
                           seed: int = SEED, label: str = "user", balance: bool = True,
                           n_classes: int | None = None) -> Trained:
-    """Stratified parts, class-balanced training draw, ``epochs`` warm-started fits of ``steps``
-    iterations each, best epoch by validation accuracy, scored test part."""
+    """Stratified parts, class-balanced training draw, ``epochs`` of mini-batch steps on the chosen loss (focal, or with
+    gamma None cross-entropy weighted by inverse class frequency), best epoch by validation accuracy, scored test part."""
     from inkprint.operators.sampling import balanced_resample, train_val_test
     n_classes = n_classes or count_classes(df, label)
     parts = materialize(train_val_test(df.select("message_id", label, "embedding"), label, test_size, val_size,
                                        seed=seed), "parts")
     pick = lambda name: parts.filter(F.col("split") == name).drop("split")
-    train, test, seen = pick("train"), pick("test"), parts.filter("split != 'test'")
+    train, test = pick("train"), pick("test")
     drawn = materialize(balanced_resample(train, label, seed=seed) if balance else train, "drawn")
-    ready = drawn.select(F.col(label).cast("double").alias(label),
-                         array_to_vector(F.col("embedding").cast("array<double>")).alias(_ASSEMBLED)).persist()
-    width = df.select(F.size("embedding")).first()[0]
-    net = MultilayerPerceptronClassifier(featuresCol=_ASSEMBLED, labelCol=label, maxIter=steps, seed=seed,
-                                         layers=[width, *hidden, n_classes])
-    best, best_accuracy, rows = None, -1.0, []
-    try:
-        for epoch in range(1, epochs + 1):
-            fitted = net.fit(ready)
-            net.setInitialWeights(fitted.weights)
-            model = EmbeddingModel(fitted, n_classes)
-            losses = _losses(model.predict(seen), label, gamma)
-            train_loss, train_accuracy = losses["train"]
-            val_loss, val_accuracy = losses.get("val", (None, None))
-            rows.append((epoch, train_loss, val_loss, train_accuracy, val_accuracy))
-            if val_accuracy is not None and val_accuracy > best_accuracy:
-                best, best_accuracy = model, val_accuracy
-    finally:
-        ready.unpersist()
-    best = best or model
+
+    def rows(frame: DataFrame, part: int) -> DataFrame:
+        return frame.select(F.col("embedding").cast("array<double>").alias("x"), F.col(label).alias("label"), F.lit(part).alias("part"),
+                            F.xxhash64("message_id").alias("draw"))
+
+    weights = ()
+    if gamma is None:  # as many numbers as classes
+        counts = {r[label]: r["count"] for r in drawn.groupBy(label).count().collect()}
+        mean = sum(counts.values()) / max(1, len(counts))
+        weights = tuple(mean / counts[c] if c in counts else 0.0 for c in range(n_classes))
+    everything = rows(drawn, STEP).union(rows(train, TRAIN)).union(rows(pick("val"), VALIDATE))
+    network, log = fit_network(everything, n_classes, Loss(gamma, alpha, weights), epochs, batch, rate, hidden, seed)
     history = df.sparkSession.createDataFrame(
-        rows, "epoch long, train_loss double, val_loss double, train_accuracy double, val_accuracy double")
-    scored = materialize(best.predict(test), "scored")
-    return Trained(best, scored, n_classes, history=history, label=label)
+        log, "epoch long, train_loss double, val_loss double, train_accuracy double, val_accuracy double")
+    model = EmbeddingModel(network, n_classes)
+    return Trained(model, materialize(model.predict(test), "scored"), n_classes, history=history, label=label)
 
 
 def gaussian_parameters(df: DataFrame, dims: int, vector: str = "embedding", label: str = "user") -> DataFrame:
