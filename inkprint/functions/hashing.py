@@ -41,6 +41,12 @@ def murmur3(texts: pd.Series) -> pd.Series:
     return pd.Series(h.astype(np.uint32).view(np.int32), index=texts.index)
 
 
-def murmur3_column(token: Column) -> Column:
+def murmur3_lists(lists: pd.Series) -> pd.Series:
+    """The hashes of every list of texts."""
+    hashed = murmur3(pd.Series([w for words in lists for w in words], dtype=object)).to_numpy()
+    return pd.Series(np.split(hashed, np.cumsum([len(words) for words in lists])[:-1])) if len(lists) else pd.Series([], dtype=object)
+
+
+def murmur3_words(words: Column) -> Column:
     # made per call: a pandas_udf needs no session, but its return type check does
-    return F.pandas_udf(murmur3, "int")(token)
+    return F.pandas_udf(murmur3_lists, "array<int>")(words)

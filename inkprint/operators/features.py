@@ -11,11 +11,11 @@ from pyspark.sql import types as T
 
 from inkprint.config import FeatureConfig
 from inkprint.constants import (
-    BAG_WIDTH, COMMON_WORDS, ENGLISH_WORDS, ITALIAN_WORDS, EMOTION_CUES, EMOTION_IDS, MILD_SWEAR_WORDS, POS_TAGS, SENTIMENT_CUES, SENTIMENT_IDS,
+    BAG_TOKEN_PATTERN, BAG_WIDTH, COMMON_WORDS, ENGLISH_WORDS, ITALIAN_WORDS, EMOTION_CUES, EMOTION_IDS, MILD_SWEAR_WORDS, POS_TAGS, SENTIMENT_CUES, SENTIMENT_IDS,
 )
 from inkprint.functions import text as tx
 from inkprint.functions import tokens as tk
-from inkprint.functions.hashing import murmur3_column
+from inkprint.functions.hashing import murmur3_words
 from inkprint.sources.wordlists import inline_words
 
 _EXTRA: dict[str, Callable[[Column], Column]] = {}
@@ -26,54 +26,72 @@ def register_feature(name: str, fn: Callable[[Column], Column]) -> None:
     _EXTRA[name] = fn
 
 
-def _bucket_md5(token: Column, n: int) -> tuple[Column, Column]:
-    digest = F.md5(token)
-    bucket = F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(n)).cast("int")
-    return bucket, F.when(F.substring(digest, 9, 1) < "8", 1).otherwise(-1)
+def _codes_md5(words: Column, n: int) -> Column:
+    def code(word: Column) -> Column:
+        return _let(F.md5(word), lambda digest: F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(n)).cast("int") * 2
+                    + F.when(F.substring(digest, 9, 1) < "8", 1).otherwise(0))
+    return F.transform(words, code)
 
 
-def _bucket_xxhash64(token: Column, n: int) -> tuple[Column, Column]:
-    code = F.xxhash64(token)
-    return F.pmod(code, F.lit(n)).cast("int"), F.when(code >= 0, 1).otherwise(-1)
+def _codes_xxhash64(words: Column, n: int) -> Column:
+    return F.transform(words, lambda w: _let(F.xxhash64(w), lambda h: F.pmod(h, F.lit(n)).cast("int") * 2 + F.when(h >= 0, 1).otherwise(0)))
 
 
-def _bucket_murmur3(token: Column, n: int) -> tuple[Column, Column]:
+def _codes_murmur3(words: Column, n: int) -> Column:
     """Signed 32-bit MurmurHash3 with seed 0: column |h| mod n, sign of h."""
-    code = murmur3_column(token).cast("long")
-    return F.pmod(F.abs(code), F.lit(n)).cast("int"), F.when(code >= 0, 1).otherwise(-1)
+    hashed = murmur3_words(words)
+    return F.transform(hashed, lambda h: F.pmod(F.abs(h.cast("long")), F.lit(n)).cast("int") * 2 + F.when(h >= 0, 1).otherwise(0))
 
 
-_HASHERS = {"xxhash64": _bucket_xxhash64, "md5": _bucket_md5, "murmur3": _bucket_murmur3}
+# words to numbers 2 * bucket + (1 where the sign is positive)
+_HASHERS = {"xxhash64": _codes_xxhash64, "md5": _codes_md5, "murmur3": _codes_murmur3}
 
 
-def bag_of_words(df: DataFrame, n: int = BAG_WIDTH, hasher: str = "xxhash64", text: str = "message",
-                 key: str = "message_id") -> DataFrame:
-    """key, bucket, value: signed feature hashing of the words, each message scaled to length 1.
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
 
-    The texts are partitioned by message before the words are spread out, so the two
-    aggregations below need no further exchange and the words never cross the network.
+def bag(m: Column | str, n: int = BAG_WIDTH, hasher: str = "xxhash64") -> Column:
+    """struct(buckets, values): signed feature hashing of the words of one message, scaled to length 1.
+
+    Words become numbers 2 * bucket + sign; sorted, equal ones are runs, and the two runs of a bucket stand side by side.
     """
-    by_message = df.select(key, text).repartition(F.col(key))
-    words = by_message.select(key, F.explode(tx.bag_tokens(text)).alias("_word"))
-    counts = words.groupBy(key, "_word").agg(F.count("*").alias("_n"))
-    bucket, sign = _HASHERS[hasher](F.col("_word"), n)
-    sums = (
-        counts.select(key, bucket.alias("bucket"), (sign * F.col("_n")).alias("_v"))
-        .groupBy(key, "bucket").agg(F.sum("_v").cast("double").alias("_v")).filter("_v != 0")
-    )
-    entries = sums.groupBy(key).agg(
-        F.sort_array(F.collect_list(F.struct("bucket", "_v"))).alias("_entries"),
-        F.sqrt(F.sum(F.col("_v") * F.col("_v"))).alias("_norm"))
-    return entries.select(
-        key,
-        F.transform("_entries", lambda e: e["bucket"]).alias("buckets"),
-        F.transform("_entries", lambda e: e["_v"] / F.col("_norm")).alias("values"))
+    def ends(codes: Column) -> Column:
+        last = F.transform(codes, lambda x, i: F.when((i == F.size(codes) - 1) | (x != F.get(codes, i + 1)), i))
+        return F.filter(last, lambda i: i.isNotNull())
+
+    def runs(codes: Column, last: Column) -> Column:
+        return F.transform(last, lambda e, j: F.struct(F.get(codes, e).alias("code"), (e - F.coalesce(F.get(last, j - 1), F.lit(-1))).alias("n")))
+
+    def entries(found: Column) -> Column:
+        def one(r, j):
+            before, after, positive = F.get(found, j - 1)["code"], F.get(found, j + 1), r["code"] % 2 == 1
+            value = F.when(positive, r["n"]).otherwise(F.when(after["code"] == r["code"] + 1, after["n"]).otherwise(0) - r["n"])
+            second = positive & F.coalesce(before == r["code"] - 1, F.lit(False))  # counted with the run before
+            return F.struct(F.floor(r["code"] / 2).cast("int").alias("bucket"), F.when(second, 0).otherwise(value).cast("double").alias("v"))
+        return F.filter(F.transform(found, one), lambda e: e["v"] != 0)
+
+    def scaled(e: Column) -> Column:
+        norm = F.sqrt(F.aggregate(e, F.lit(0.0), lambda acc, x: acc + x["v"] * x["v"]))
+        return _let(norm, lambda length: F.struct(F.transform(e, lambda x: x["bucket"]).alias("buckets"),
+                                                  F.transform(e, lambda x: x["v"] / length).alias("values")))
+
+    codes = F.sort_array(_HASHERS[hasher](F.coalesce(tx.bag_tokens(m), F.array().cast("array<string>")), n))
+    return _let(codes, lambda c: _let(ends(c), lambda last: _let(runs(c, last), lambda found: _let(entries(found), scaled))))
+
+
+def bag_of_words(df: DataFrame, n: int = BAG_WIDTH, hasher: str = "xxhash64", text: str = "message",
+                 key: str = "message_id") -> DataFrame:
+    """key, buckets, values of every message with words; nothing is exchanged."""
+    worded = df.where(F.lower(tx.col(text)).rlike(BAG_TOKEN_PATTERN))
+    return worded.select(key, bag(text, n, hasher).alias("_bag")).select(key, "_bag.*")
 
 
 def bag_entries(bag: DataFrame, key: str = "message_id") -> DataFrame:
     """One row per non-zero column of a bag: key, bucket, value."""
     zipped = F.arrays_zip(F.col("buckets").alias("bucket"), F.col("values").alias("value"))
-    return bag.select(key, F.explode(zipped).alias("_e")).select(key, "_e.bucket", "_e.value")
+    return bag.select(key, F.inline(zipped))
 
 
 def sparse_vector(buckets: Column, values: Column, n: int) -> Column:
@@ -112,8 +130,7 @@ def build_features(df: DataFrame, config: FeatureConfig | None = None,
                    sentiment=None, emotion=None, tagger=None) -> DataFrame:
     """message_id, user, the enabled features, 19 tag shares and the bag as one sparse vector.
 
-    Everything but the bag and over-long word lists is computed in the scan of the
-    messages, so only the narrow result is exchanged to meet the bag. ``sentiment``/``emotion`` may be functions of a DataFrame that add the
+    Everything but over-long word lists is computed in the scan of the messages; no text is exchanged. ``sentiment``/``emotion`` may be functions of a DataFrame that add the
     class column; without them the short cue lists decide. ``tagger`` takes the place of the rules and
     short lexicon that tag the tokens (see ``annotate_with``).
     """
@@ -171,15 +188,10 @@ def build_features(df: DataFrame, config: FeatureConfig | None = None,
         out = _add_share(out, words, name, inline, joined)
     out = out.withColumns(plain) if plain else out
     out = tk.add_pos_shares(out) if compose else out
-    out = out.select(*keys, *columns)
     if use_bag:
-        bag = bag_of_words(df, bag_width, hasher)
-        out = (
-            out.join(bag, "message_id", "left")
-            .withColumn("bow", sparse_vector(F.col("buckets"), F.col("values"), bag_width))
-            .drop("buckets", "values")
-        )
-    return out
+        out = out.withColumn("_bag", bag("message", bag_width, hasher)) \
+            .withColumn("bow", sparse_vector(F.col("_bag.buckets"), F.col("_bag.values"), bag_width))
+    return out.select(*keys, *columns, *(["bow"] if use_bag else []))
 
 
 _TEXT_FEATURES = {
