@@ -85,16 +85,24 @@ TOKEN_PATTERN = rf"\p{{L}}+|\p{{N}}+(?:[.,:]\p{{N}}+)*|[^{SPACE_CLASS}\p{{L}}\p{
 BAG_TOKEN_PATTERN = rf"[{WORD_CLASS}]{{2,}}"
 SENTENCE_END = [".", "!", "?", "…"]
 
-# Emoji: one pictograph (or flag, or keycap) with its modifiers and joined pictographs.
-_PICTOGRAPH = (
-    r"[\x{1F300}-\x{1F5FF}\x{1F600}-\x{1F64F}\x{1F680}-\x{1F6FF}\x{1F7E0}-\x{1F7EB}"
-    r"\x{1F900}-\x{1F9FF}\x{1FA70}-\x{1FAFF}\x{2600}-\x{27BF}\x{2B05}-\x{2B07}\x{2B1B}"
-    r"\x{2B1C}\x{2B50}\x{2B55}\x{231A}\x{231B}\x{23E9}-\x{23F3}\x{23F8}-\x{23FA}"
-    r"\x{1F004}\x{1F0CF}\x{1F170}\x{1F171}\x{1F17E}\x{1F17F}\x{1F18E}\x{1F191}-\x{1F19A}]"
-)
+# The code points that are emoji by themselves (Unicode's property Emoji, without digits, # and *)
+_PICTOGRAPHS = (
+    "A9 AE 203C 2049 2122 2139 2194-2199 21A9-21AA 231A-231B 2328 23CF 23E9-23F3 23F8-23FA 24C2 25AA-25AB 25B6 25C0 25FB-25FE 2600-2604 "
+    "260E 2611 2614-2615 2618 261D 2620 2622-2623 2626 262A 262E-262F 2638-263A 2640 2642 2648-2653 265F-2660 2663 2665-2666 2668 267B "
+    "267E-267F 2692-2697 2699 269B-269C 26A0-26A1 26A7 26AA-26AB 26B0-26B1 26BD-26BE 26C4-26C5 26C8 26CE-26CF 26D1 26D3-26D4 26E9-26EA "
+    "26F0-26F5 26F7-26FA 26FD 2702 2705 2708-270D 270F 2712 2714 2716 271D 2721 2728 2733-2734 2744 2747 274C 274E 2753-2755 2757 "
+    "2763-2764 2795-2797 27A1 27B0 27BF 2934-2935 2B05-2B07 2B1B-2B1C 2B50 2B55 3030 303D 3297 3299 1F004 1F0CF 1F170-1F171 1F17E-1F17F "
+    "1F18E 1F191-1F19A 1F201-1F202 1F21A 1F22F 1F232-1F23A 1F250-1F251 1F300-1F321 1F324-1F393 1F396-1F397 1F399-1F39B 1F39E-1F3F0 "
+    "1F3F3-1F3F5 1F3F7-1F4FD 1F4FF-1F53D 1F549-1F54E 1F550-1F567 1F56F-1F570 1F573-1F57A 1F587 1F58A-1F58D 1F590 1F595-1F596 "
+    "1F5A4-1F5A5 1F5A8 1F5B1-1F5B2 1F5BC 1F5C2-1F5C4 1F5D1-1F5D3 1F5DC-1F5DE 1F5E1 1F5E3 1F5E8 1F5EF 1F5F3 1F5FA-1F64F 1F680-1F6C5 "
+    "1F6CB-1F6D2 1F6D5-1F6D7 1F6DC-1F6E5 1F6E9 1F6EB-1F6EC 1F6F0 1F6F3-1F6FC 1F7E0-1F7EB 1F7F0 1F90C-1F93A 1F93C-1F945 1F947-1F9FF "
+    "1FA70-1FA7C 1FA80-1FA89 1FA8F-1FAC6 1FACE-1FADC 1FADF-1FAE9 1FAF0-1FAF8"
+).split()
+_PICTOGRAPH = "[" + "".join("-".join(rf"\x{{{c}}}" for c in r.split("-")) for r in _PICTOGRAPHS) + "]"
 _MODIFIED = _PICTOGRAPH + r"\x{FE0F}?[\x{1F3FB}-\x{1F3FF}]?"
+# the longest first: flags of tags and of letters, keycaps, then pictographs with their marks and all that is joined to them
 EMOJI_PATTERN = (
-    r"[\x{1F1E6}-\x{1F1FF}]{2}|[0-9#*]\x{FE0F}?\x{20E3}|"
+    r"\x{1F3F4}[\x{E0061}-\x{E007A}\x{E0030}-\x{E0039}]+\x{E007F}|[\x{1F1E6}-\x{1F1FF}]{2}|[0-9#*]\x{FE0F}?\x{20E3}|"
     + _MODIFIED + r"(?:\x{200D}" + _MODIFIED + r")*"
 )
 

@@ -33,16 +33,27 @@ def word_length(m) -> Column:
     return F.coalesce(round_binary(letters / F.nullif(words, F.lit(0))), F.lit(0.0))
 
 
-def emoji_list(m) -> Column:
-    return F.regexp_extract_all(col(m), F.lit(EMOJI_PATTERN), F.lit(0))
+def emoji_pattern(sequences: Iterable[str] | None = None) -> str:
+    """What counts as one emoji: by the rules of how sequences are built, or the longest entry of a table of sequences.
+
+    In a table, an entry with a presentation mark also stands for the sequence without it.
+    """
+    if sequences is None:
+        return EMOJI_PATTERN
+    entries = sorted({form for s in sequences if s for form in (s, s.replace("\ufe0f", ""))})
+    return alternation(entries) if entries else "(?!)"
+
+
+def emoji_list(m, sequences: Iterable[str] | None = None) -> Column:
+    return F.regexp_extract_all(col(m), F.lit(emoji_pattern(sequences)), F.lit(0))
 
 
-def emoji_count(m) -> Column:
-    return F.regexp_count(col(m), F.lit(EMOJI_PATTERN)).cast("long")
+def emoji_count(m, sequences: Iterable[str] | None = None) -> Column:
+    return F.regexp_count(col(m), F.lit(emoji_pattern(sequences))).cast("long")
 
 
-def unique_emoji_count(m) -> Column:
-    return F.size(F.array_distinct(emoji_list(m))).cast("long")
+def unique_emoji_count(m, sequences: Iterable[str] | None = None) -> Column:
+    return F.size(F.array_distinct(emoji_list(m, sequences))).cast("long")
 
 
 def with_clipped(words: Iterable[str]) -> list[str]:

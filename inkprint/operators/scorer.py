@@ -1,13 +1,23 @@
-"""Text classifiers for the sentiment and emotion features."""
+"""Text classifiers for the sentiment and emotion features: logistic regression on a hashed bag, and naive Bayes on words.
+
+Naive Bayes is counts and joins only: the model is a table with a row for each word, of any size, and the driver holds as many numbers
+as there are classes.
+"""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from math import log
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkprint.constants import BAG_WIDTH
+from inkprint.functions import text as tx
 from inkprint.operators.features import bag_of_words, sparse_vector
+from inkprint.operators.joins import lookup
+from inkprint.session import store
 
 
 def _vectors(df: DataFrame, text: str, key: str, n: int) -> DataFrame:
@@ -29,3 +39,40 @@ def score_text(df: DataFrame, model, out: str, text: str = "message", key: str =
     """Add the predicted class id; usable as the ``sentiment``/``emotion`` hook of build_features."""
     scored = model.transform(_vectors(df, text, key, n))
     return scored.withColumn(out, F.col("_class").cast("long")).drop("_bag", "_class", "_p", "_raw")
+
+
+@dataclass
+class WordClasses:
+    """Multinomial naive Bayes: word, logs (of its share in each class), and the log share of each class."""
+
+    words: DataFrame
+    stored_bytes: int
+    priors: list[float]
+
+
+def fit_word_classes(df: DataFrame, label: str, n_classes: int, text: str = "message", smoothing: float = 1.0) -> WordClasses:
+    """Counts of every word in every class. Rows with a null text hold no words; a class without rows is never chosen
+    before one with rows; null labels are left out."""
+    rows = df.where(F.col(label).isNotNull())
+    words = rows.select(F.col(label).cast("int").alias("_class"), F.explode(tx.bag_tokens(text)).alias("word"))
+    sums = [F.sum(F.when(F.col("_class") == c, 1).otherwise(0)).alias(f"n{c}") for c in range(n_classes)]
+    counts, _ = store(words.groupBy("word").agg(*sums), "word-counts")
+    total = counts.agg(F.count("*").alias("v"), *[F.coalesce(F.sum(f"n{c}"), F.lit(0)).alias(f"n{c}") for c in range(n_classes)]).first()
+    share = [F.ln((F.col(f"n{c}") + smoothing) / (total[f"n{c}"] + smoothing * max(1, total["v"]))) for c in range(n_classes)]
+    logs, size = store(counts.select("word", F.array(*share).alias("logs")), "word-classes")
+    held = {r["c"]: r["n"] for r in rows.groupBy(F.col(label).cast("int").alias("c")).agg(F.count("*").alias("n")).collect()}
+    every = sum(held.values())
+    return WordClasses(logs, size, [log(held[c] / every) if held.get(c) else -1e9 for c in range(n_classes)])
+
+
+def classify_words(df: DataFrame, model: WordClasses, out: str, text: str = "message", key: str = "message_id") -> DataFrame:
+    """Add the most probable class id. Words that the model does not know are left out; equal scores go to the smaller id.
+
+    Words meet the model by a lookup, and their logs are added inside tasks before the sums of a message meet.
+    """
+    met = lookup(df.select(key, F.explode(tx.bag_tokens(text)).alias("word")), model.words, "word", "inner", known_bytes=model.stored_bytes)
+    n = len(model.priors)
+    sums = met.groupBy(key).agg(*[F.sum(F.get("logs", F.lit(c))).alias(f"_s{c}") for c in range(n)])
+    scores = [F.round(F.coalesce(F.col(f"_s{c}"), F.lit(0.0)) + model.priors[c], 6) for c in range(n)]
+    best = F.array_position(F.array(*scores), F.array_max(F.array(*scores))) - 1
+    return df.join(sums, key, "left").withColumn(out, best.cast("long")).drop(*[f"_s{c}" for c in range(n)])

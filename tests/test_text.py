@@ -47,6 +47,19 @@ def test_plain_features(spark):
     assert values(df, tx.word_length("message")) == expected
 
 
+def test_emoji_by_rule_and_by_table(spark):
+    texts = ["\u2713 \u2610 \u2605", "\u00a9 \u203c \u2122 \u25b6\ufe0f \u3297", "1\ufe0f\u20e3 7 # *", "\U0001F1EE\U0001F1F9\U0001F1EB\U0001F1F7",
+             "\U0001F3F4\U000E0067\U000E0062\U000E0065\U000E006E\U000E0067\U000E007F",
+             "\U0001F469\U0001F3FD\u200d\U0001F4BB\U0001F469", "\u2764\ufe0f\u200d\U0001F525 \u2764", "", None]
+    df = frame(spark, texts)
+    assert values(df, tx.emoji_count("message"))[:8] == [0, 5, 1, 2, 1, 2, 2, 0]
+    assert values(df, tx.unique_emoji_count("message"))[:8] == [0, 5, 1, 2, 1, 2, 2, 0]
+    table = ["\u2764\ufe0f", "\u2764\ufe0f\u200d\U0001F525", "\U0001F469", "\U0001F469\U0001F3FD", "\u2713"]
+    assert values(df, tx.emoji_count("message", table))[:8] == [1, 0, 0, 0, 0, 2, 2, 0]
+    assert values(df, tx.unique_emoji_count("message", table))[:8] == [1, 0, 0, 0, 0, 2, 2, 0]
+    assert values(df, tx.emoji_count("message", []))[:8] == [0] * 8
+
+
 def test_emoji(spark):
     texts = ["none", "😀😀 👍🏽", "👩‍💻 🇮🇹🇮🇹", "1️⃣ ❤️ 5"]
     df = frame(spark, texts)
