@@ -14,7 +14,7 @@ from inkprint.operators.features import build_features
 from inkprint.plans import scoring as sc
 from inkprint.session import scratch_path
 from inkprint.streaming.ingest import ingest_stream
-from inkprint.streaming.score import score_stream, stream_totals
+from inkprint.streaming.score import running_stream, score_stream, stream_totals
 
 
 def _class_rows(spark, d: str):
@@ -109,6 +109,22 @@ def t2_running(spark, d):
     return spark.read.parquet(f"{home}/out").select("chat_id", "pos", "user", "average")
 
 
+@query("t2_stream_state", _RUNNING)
+def t2_state(spark, d):
+    """As above, with the sums in the state store: two deliveries, two runs of one query."""
+    home = scratch_path(spark, "stream")
+    events = table(spark, d, "events")
+    half = (events.agg(F.max("event_id")).first()[0] + 1) / 2
+    for i in range(2):
+        events.filter(F.floor(F.col("event_id") / F.lit(half)) == i).write.mode("append").parquet(f"{home}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{home}/in").select(
+            F.col("user_id").alias("chat_id"), F.col("event_id").alias("pos"), F.col("event_type").alias("user"),
+            F.round(F.col("value") * 100).alias("p"))
+        running_stream(stream).writeStream.outputMode("append").format("parquet").option("path", f"{home}/out") \
+            .option("checkpointLocation", f"{home}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{home}/out").select("chat_id", "pos", "user", "average")
+
+
 @query("t2_stream_totals", f"""
 SELECT chat_id, "user", avg(p) AS average, count(*)::BIGINT AS n FROM ({_ROWS}) GROUP BY chat_id, "user" """)
 def t2_totals(spark, d):

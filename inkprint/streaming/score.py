@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from inkprint.operators.order import blocked_running_sums
@@ -82,3 +86,51 @@ def score_stream(stream: DataFrame, score: Callable[[DataFrame], DataFrame], out
         stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True})).start()
     )
+
+
+def running_stream(stream: DataFrame, keys: tuple[str, ...] = ("chat_id",), pos: str = "pos", p: str = "p", ts: str | None = None,
+                   delay: str = "1 hour") -> DataFrame:
+    """The stream with ``average``, the running mean of its conversation and class, from sums and counts in the state store.
+
+    The state of a conversation and class is one sum and one count; a micro-batch writes those it touches and no others. Without ``ts`` the
+    rows of a batch count in the order of ``pos``, after those of earlier batches. With ``ts`` rows wait in the state until the
+    watermark has passed them (a timer wakes a conversation that gets no more rows), so rows that are late by less than ``delay`` take
+    their place in the order of ``ts`` and ``pos``; later ones are dropped. A row with a null ``p`` adds nothing and shows the mean so far.
+
+    The rows of one conversation and class in one batch meet in one task; the trigger bounds them. For a chat that fills the batches,
+    ``running_batches`` spreads it over tasks.
+    """
+    if ts:
+        stream = stream.withWatermark(ts, delay)
+    out = T.StructType([*stream.schema.fields, T.StructField("average", T.DoubleType())])
+    names, zone = stream.columns, stream.sparkSession.conf.get("spark.sql.session.timeZone")  # rows show local times of that zone
+
+    def packed(rows: pd.DataFrame) -> bytes:
+        table, sink = pa.Table.from_pandas(rows, preserve_index=False), pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as writer:
+            writer.write_table(table)
+        return sink.getvalue().to_pybytes()
+
+    def update(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        total, count, waiting = state.get if state.exists else (0.0, 0, None)
+        held = [] if waiting is None else [pa.ipc.open_stream(bytes(waiting)).read_pandas()]
+        rows = [b for b in ([] if state.hasTimedOut else batches) if len(b)]
+        every = pd.concat([*held, *rows], ignore_index=True) if held or rows else None
+        rest = None
+        if every is not None and ts:
+            now = pd.Timestamp(state.getCurrentWatermarkMs(), unit="ms", tz="UTC").tz_convert(zone).tz_localize(None)
+            passed = every[ts].isna() | (every[ts] <= now)
+            rest, every = every[~passed], every[passed]
+        if every is not None and len(every):
+            every = every.sort_values([ts, pos] if ts else [pos], kind="stable")
+            values = every[p].astype("float64").to_numpy()
+            sums, counts = total + np.cumsum(np.nan_to_num(values)), count + np.cumsum(~np.isnan(values))
+            total, count = float(sums[-1]), int(counts[-1])
+            yield every[names].assign(average=np.where(counts > 0, sums / np.maximum(counts, 1), np.nan))
+        state.update((total, count, packed(rest) if rest is not None and len(rest) else None))
+        if rest is not None and len(rest):
+            first = rest[ts].min().tz_localize(zone, ambiguous=True, nonexistent="shift_forward")
+            state.setTimeoutTimestamp(max(int(first.value // 1_000_000), state.getCurrentWatermarkMs() + 1))
+
+    return stream.groupBy(*keys, "user").applyInPandasWithState(
+        update, out, "total double, n long, waiting binary", "append", "EventTimeTimeout" if ts else "NoTimeout")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from inkprint.operators.parse import extract_folder
 from inkprint.plans.scoring import running_average
 from inkprint.streaming.ingest import ingest_stream
-from inkprint.streaming.score import running_batches, score_stream
+from inkprint.streaming.score import running_batches, running_stream, score_stream
 
 
 def rows(spark, n, start=0):
@@ -62,3 +62,42 @@ def test_lost_or_unfinished_state_is_an_error(spark, tmp_path):
     (tmp_path / "state/0000000002/_SUCCESS").unlink()
     with pytest.raises(FileNotFoundError):
         write(rows(spark, 80, 60), 3)
+
+
+def deliver(spark, home, rows_, schema, **kwargs):
+    """One more delivery, and a run of the query until all of it is taken."""
+    rows_.write.mode("append").parquet(f"{home}/in")
+    stream = spark.readStream.schema(schema).parquet(f"{home}/in")
+    running_stream(stream, **kwargs).writeStream.outputMode("append").format("parquet").option("path", f"{home}/out") \
+        .option("checkpointLocation", f"{home}/cp").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{home}/out")
+
+
+def test_state_store_survives_a_restart(spark, tmp_path):
+    schema = rows(spark, 1).schema
+    deliver(spark, str(tmp_path), rows(spark, 130), schema)
+    out = deliver(spark, str(tmp_path), rows(spark, 300, 130), schema)
+    assert key(out) == key(running_average(rows(spark, 300)))
+
+
+def test_late_rows_take_their_place(spark, tmp_path):
+    """Rows at minute m; those of minutes 5 and 9 come one delivery late, that of minute 1 after the watermark has passed it."""
+    def at(*minutes):
+        return spark.createDataFrame([("c", 1, m, float(m), 1_700_000_000 + 60 * m) for m in minutes], "chat_id string, user int, pos int, p double, s long") \
+            .withColumn("ts", F.timestamp_seconds("s")).drop("s")
+
+    schema, home = at(1).schema, str(tmp_path)
+    out = deliver(spark, home, at(0, 2, 6, 8), schema, ts="ts", delay="4 minutes")
+    assert [r["pos"] for r in out.orderBy("pos").collect()] == [0, 2]  # the watermark is at minute 4
+    out = deliver(spark, home, at(5, 9, 1, 16), schema, ts="ts", delay="4 minutes")
+    out = deliver(spark, home, at(40), schema, ts="ts", delay="4 minutes")
+    got = [(r["pos"], r["average"]) for r in out.orderBy("pos").collect()]
+    seen = [0, 2, 5, 6, 8, 9, 16]
+    assert got == [(m, sum(seen[:k + 1]) / (k + 1)) for k, m in enumerate(seen)]
+
+
+def test_state_of_null_values(spark, tmp_path):
+    data = spark.createDataFrame([(1, 0, 1, None), (1, 0, 2, 4.0), (None, None, 1, 2.0), (1, 0, 3, None)], "chat_id int, user int, pos int, p double")
+    out = deliver(spark, str(tmp_path), data, data.schema)
+    got = {(r["chat_id"], r["pos"]): r["average"] for r in out.collect()}
+    assert got[1, 2] == 4 and got[1, 3] == 4 and got[None, 1] == 2 and (got[1, 1] is None or got[1, 1] != got[1, 1])
