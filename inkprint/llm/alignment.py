@@ -5,10 +5,10 @@ fallback, which adds that space itself. ``pandas.merge_asof`` finds for each sta
 way round; the union of both are the overlaps. Where an A and a B token end at the same byte, a group ends; all A and B tokens of a
 group are linked.
 
-Both tokenizers and so all groups break where a space follows something that is no white space: A's pattern takes a space
-with what follows it, and no piece of B has a space after another character (checked when the file is read). A text is cut there, and each
-different piece that a task meets is one document of a merge: tokenized, merged and grouped once. ``piece_starts`` states the cut;
-tests compare with whole texts.
+Both tokenizers and so all groups break where a space or a line feed follows something that is no white space: A's pattern takes
+white space with what follows it, and no piece of B has a space after another character or a line feed at all (checked when the file is read).
+A text is cut there, and each different piece that a task meets is one document of a merge: tokenized, merged and grouped once.
+``pieces_of`` states the cut; tests compare with whole texts.
 
 Counts of id pairs: how many documents hold a pair linked. 1. A scan writes the pairs of each document as sorted numbers (4 bytes
 each, as differences). 2. They are counted inside tasks and summed by hash range. 3. A second pass adds up the counts of each
@@ -28,6 +28,7 @@ import hashlib
 import os
 import re
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -39,12 +40,12 @@ from pyspark.sql import types as T
 from inkprint.llm.common import lists, query, table, texts_of, with_struct
 from inkprint.session import materialize, scratch_path
 
-GROUP_BYTES = 4 << 20
-KNOWN_PIECES = 1 << 20
+GROUP_BYTES = 2 << 20
+KNOWN_PIECES = 400_000
 FLUSH_PAIRS = 8 << 20
 _SPACE = "▁"  # how B writes a space
-_CUT = re.compile(r"(?<=\S)(?= )")
-_ODD = re.compile(r"\s | $|^ ")
+_CUT = re.compile(r"(?<=\S)(?=[ \n])")
+_ODD = re.compile(r"\s[ \n]|^[ \n]")
 _LEVEL = 4  # levels of a doubling, for the head's cut
 
 
@@ -56,9 +57,16 @@ class Tokenizers:
     piece_bpe: str = "/opt/tokenizers/piece_bpe_32k.model"
 
 
-def piece_starts(text: str) -> list[str]:
-    """The pieces of space + text, each without its first space."""
-    return [p[1:] for p in _CUT.split(" " + text)] if _ODD.search(text) else text.split(" ")
+def pieces_of(text: str) -> list[str]:
+    """The pieces of space + text, each without its first space, but for those in which a line feed comes before all but spaces."""
+    if not _ODD.search(text):
+        return text.replace("\n", " \n").split(" ")
+    return [p if p.lstrip(" ")[:1] == "\n" else p[1:] for p in _CUT.split(" " + text)]
+
+
+def _whole(piece: str) -> str:
+    """The characters of a piece."""
+    return piece if piece.lstrip(" ")[:1] == "\n" else " " + piece
 
 
 def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> np.ndarray:
@@ -81,13 +89,13 @@ class _Flat:
     """A growing array of runs."""
 
     def __init__(self):
-        self.data, self.used = np.zeros(1024, dtype=np.int64), 0
+        self.data, self.used = np.zeros(1024, dtype=np.int32), 0  # ids, places, and pairs below 2^31
         self.start, self.size = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
 
     def add(self, values: np.ndarray, sizes: np.ndarray):
         need = self.used + len(values)
         if need > len(self.data):
-            self.data = np.concatenate([self.data[:self.used], np.zeros(max(need, len(self.data)), dtype=np.int64)])
+            self.data = np.concatenate([self.data[:self.used], np.zeros(max(need, len(self.data)), dtype=np.int32)])
         self.data[self.used:need] = values
         self.start = np.concatenate([self.start, self.used + np.cumsum(sizes) - sizes])
         self.size = np.concatenate([self.size, sizes])
@@ -115,7 +123,10 @@ class Aligner:
         if any(_SPACE in p.lstrip(_SPACE) for p in names):
             raise ValueError("a piece of the second tokenizer crosses words")
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(k) else p.replace(_SPACE, " ").encode() for k, p in enumerate(names)]
-        self.b_size, self.b_space = len(names), self.b.piece_to_id(_SPACE)
+        if any("\n" in p for p in names):
+            raise ValueError("a piece of the second tokenizer holds a line feed")
+        self.b_size, self.b_space, self.b_unknown = len(names), self.b.piece_to_id(_SPACE), self.b.unk_id()
+        self.a_names, self.b_names = (np.array(list(map(str, range(n))), dtype=object) for n in (len(self.a_bytes), len(names)))
         self.a_length = np.array([len(x) for x in self.a_bytes], dtype=np.int64)
         self.b_length = np.array([len(x) for x in self.b_bytes], dtype=np.int64)
         self.clear()
@@ -128,31 +139,48 @@ class Aligner:
         self.overlap_a, self.overlap_b = _Flat(), _Flat()  # places in the piece
         self.ends_a, self.ends_b = _Flat(), _Flat()  # of groups: tokens of the piece up to there
 
-    def pieces(self, text: str) -> list[int]:
-        """The numbers of a text's pieces; ``learn`` has to know them."""
-        return list(map(self.code.__getitem__, piece_starts(text)))
-
-    def learn(self, texts: list[str]):
+    def learn(self, texts: list[str]) -> list[list[int]]:
+        """The numbers of the pieces of each text; they hold until the next call."""
         if len(self.code) > KNOWN_PIECES:
             self.clear()
-        new = [p for p in dict.fromkeys(p for t in texts for p in piece_starts(t)) if p not in self.code]
-        for at in range(0, len(new), 1 << 16):
-            self._learn(new[at:at + (1 << 16)])
+        found = [pieces_of(t) if t else [] for t in texts]
+        new = list(set(chain.from_iterable(found)).difference(self.code))
+        new.sort()
+        for at in range(0, len(new), 1 << 15):
+            self._learn(new[at:at + (1 << 15)])
+        return [list(map(self.code.__getitem__, x)) for x in found]
+
+    def _tokenize_b(self, new: list[str]) -> list[list[int]]:
+        """B puts a space before what it reads: that of the piece, or one that is dropped before a line feed."""
+        out = self.b.encode([p[1:] if p[:1] == " " and p.lstrip(" ")[:1] == "\n" else p for p in new], num_threads=1)
+        for k, p in enumerate(new):
+            if p[:1] == "\n":
+                out[k] = out[k][1:] if out[k][:1] == [self.b_space] else [self.b_unknown]
+            elif not p:
+                out[k] = [self.b_space]
+        return out
 
     def _learn(self, new: list[str]):
         self.code.update(zip(new, range(len(self.code), len(self.code) + len(new))))
-        ids_a = [e.ids for e in self.a.encode_batch([" " + p for p in new], add_special_tokens=False)]
-        ids_b = [x if p else [self.b_space] for p, x in zip(new, self.b.encode(new, num_threads=1))]
-        whole = [(" " + p).encode() for p in new]
-        bad = [b"".join(map(self.a_bytes.__getitem__, x)) != w or b"".join(map(self.b_bytes.__getitem__, y)) != w
-               for x, y, w in zip(ids_a, ids_b, whole)]
-        self.bad = np.concatenate([self.bad, np.array(bad, dtype=bool)])
+        whole = [_whole(p) for p in new]
+        ids_a = [e.ids for e in self.a.encode_batch_fast(whole, add_special_tokens=False)]
+        ids_b = self._tokenize_b(new)
+        whole = [w.encode() for w in whole]
         sizes = np.array([len(w) for w in whole], dtype=np.int64)
+        bad = np.zeros(len(new), dtype=bool)
+        for ids, known, length in ((ids_a, self.a_bytes, self.a_length), (ids_b, self.b_bytes, self.b_length)):
+            flat = np.fromiter(chain.from_iterable(ids), np.int64, sum(map(len, ids)))
+            piece = np.repeat(np.arange(len(new)), list(map(len, ids)))
+            same = np.bincount(piece, weights=length[flat], minlength=len(new)) == sizes
+            if not same.all() or b"".join(map(known.__getitem__, flat.tolist())) != b"".join(whole):
+                bad |= np.array([b"".join(map(known.__getitem__, x)) != w for x, w in zip(ids, whole)])
+        self.bad = np.concatenate([self.bad, bad])
         base = np.cumsum(sizes) - sizes  # pieces lie one after another
 
         def side(ids, length, known: _Flat):
-            n = np.array([0 if x else len(i) for i, x in zip(ids, bad)], dtype=np.int64)
-            flat = np.fromiter((k for i, x in zip(ids, bad) if not x for k in i), np.int64, int(n.sum()))
+            ids = [[] if x else i for i, x in zip(ids, bad.tolist())]
+            n = np.array(list(map(len, ids)), dtype=np.int64)
+            flat = np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum()))
             known.add(flat, n)
             piece = np.repeat(np.arange(len(new)), n)
             width = length[flat]
@@ -178,13 +206,14 @@ class Aligner:
         left = np.repeat(a, np.repeat(in_b, in_a))
         right = b[_ragged(np.repeat(last_b - in_b, in_a), np.repeat(in_b, in_a))]
         self.links.add(left * self.b_size + right, np.bincount(of, weights=in_a * in_b, minlength=len(new)).astype(np.int64))
-        text_a, text_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        spelled = [",".join(text_a[p:q]) + "|" + ",".join(text_b[r:s]) for p, q, r, s in zip(
-            (last_a - in_a).tolist(), last_a.tolist(), (last_b - in_b).tolist(), last_b.tolist())]
-        at = 0
-        for n in groups.tolist():
-            self.text.append(";".join(spelled[at:at + n]))
-            at += n
+        # the groups as text: ids and marks in turn, those of A before those of B in each group
+        at_a, at_b = np.arange(len(a)) + np.repeat(last_b - in_b, in_a), np.arange(len(b)) + np.repeat(last_a, in_b)
+        marks = np.empty(2 * (len(a) + len(b)), dtype=object)
+        for at, ids, names, last, mark in ((at_a, a, self.a_names, last_a, "|"), (at_b, b, self.b_names, last_b, ";")):
+            marks[2 * at], marks[2 * at + 1] = names[ids], ","
+            marks[2 * at[last - 1] + 1] = mark
+        marks, ends = marks.tolist(), np.cumsum(2 * (n_a + n_b)).tolist()
+        self.text += ["".join(marks[p:q - 1]) for p, q in zip([0, *ends], ends)]
 
 
 def _shown_bytes() -> dict[str, int]:
@@ -234,9 +263,8 @@ def align(docs: DataFrame, files: Tokenizers = Tokenizers(), text: str = "text",
             rows = [([], [], [], [])] * len(texts)
             texts = _decoded(texts)
             for p, q in _blocks(texts):
-                aligner.learn([t for t in texts[p:q] if t])
-                for k in range(p, q):
-                    codes = np.array(aligner.pieces(texts[k]) if texts[k] else [], dtype=np.int64)
+                for k, mine in zip(range(p, q), aligner.learn(texts[p:q])):
+                    codes = np.array(mine, dtype=np.int64)
                     if not len(codes) or aligner.bad[codes].any():
                         continue
 
@@ -274,9 +302,8 @@ def _scan(files: Tokenizers):
 
     def block(texts: list[str]):
         """The fields of ``_SCANNED`` but the last two, and for each text the pairs and how often each is linked."""
-        aligner.learn([t for t in texts if t])
-        codes = [aligner.pieces(t) if t else [] for t in texts]
-        flat = np.fromiter((c for x in codes for c in x), np.int64, sum(map(len, codes)))
+        codes = aligner.learn(texts)
+        flat = np.fromiter(chain.from_iterable(codes), np.int64, sum(map(len, codes)))
         doc = np.repeat(np.arange(len(texts)), [len(x) for x in codes])
         bad = np.zeros(len(texts), dtype=bool)
         bad[doc[aligner.bad[flat]]] = True
@@ -292,7 +319,7 @@ def _scan(files: Tokenizers):
         keys, times = np.unique(doc << 32 | flat, return_counts=True)
         doc, piece = keys >> 32, keys & 0xFFFFFFFF
         n = aligner.links.size[piece]
-        keys = np.repeat(doc, n) << 32 | aligner.links.runs(piece)
+        keys = np.repeat(doc, n) << 32 | aligner.links.runs(piece).astype(np.int64)
         times = np.repeat(times, n)
         order = np.argsort(keys)
         keys, times = keys[order], times[order]
