@@ -101,3 +101,20 @@ def test_state_of_null_values(spark, tmp_path):
     out = deliver(spark, str(tmp_path), data, data.schema)
     got = {(r["chat_id"], r["pos"]): r["average"] for r in out.collect()}
     assert got[1, 2] == 4 and got[1, 3] == 4 and got[None, 1] == 2 and (got[1, 1] is None or got[1, 1] != got[1, 1])
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_a_table_as_a_stream_be_it_a_file_or_a_folder(spark, tmp_path, files):
+    from inkprint.catalog.scoring import _stream
+    home = str(tmp_path)
+    rows(spark, 30).coalesce(files).write.parquet(f"{home}/made")
+    rows(spark, 7).write.parquet(f"{home}/d/other.parquet")
+    parts = sorted((tmp_path / "made").glob("part-*.parquet"))
+    if files == 1:
+        (tmp_path / "d" / "events.parquet").write_bytes(parts[0].read_bytes())
+    else:
+        rows(spark, 30).repartition(files).write.parquet(f"{home}/d/events.parquet")
+    _stream(spark, f"{home}/d", "events").writeStream.format("parquet").option("path", f"{home}/out") \
+        .option("checkpointLocation", f"{home}/cp").trigger(availableNow=True).start().awaitTermination()
+    got = spark.read.schema(rows(spark, 1).schema).parquet(f"{home}/out")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, rows(spark, 30).collect()))
