@@ -2,9 +2,11 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ from inkprint.config import FeatureConfig
 from inkprint.constants import POS_TAGS
 from inkprint.functions import text as tx
 from inkprint.functions import tokens as tk
-from inkprint.functions.hashing import murmur3
+from inkprint.functions.hashing import murmur3, murmur3_lists
 from inkprint.functions.rounding import round_binary
 from inkprint.operators import embed as em
 from inkprint.operators import features as ft
@@ -130,6 +132,33 @@ def test_murmur3_known_values():
     assert [int(h) & 0xFFFFFFFF for h in murmur3(texts)] == [0, 0x248BFA47, 0x149BBB7F, 0x2E4FF723]
 
 
+def _murmur3_plain(text: str) -> int:
+    data, h, m = text.encode(), 0, 0xFFFFFFFF
+    rotl = lambda x, r: ((x << r) | (x >> (32 - r))) & m
+    for i in range(0, len(data), 4):
+        k = rotl(int.from_bytes(data[i:i + 4], "little") * 0xCC9E2D51 & m, 15) * 0x1B873593 & m
+        h ^= k
+        h = (rotl(h, 13) * 5 + 0xE6546B64) & m if i + 4 <= len(data) else h
+    h ^= len(data)
+    h = (h ^ h >> 16) * 0x85EBCA6B & m
+    h = (h ^ h >> 13) * 0xC2B2AE35 & m
+    return h ^ h >> 16
+
+
+def test_murmur3_of_lists_in_bounded_memory():
+    rnd = random.Random(4)
+    lists = [["".join(rnd.choices("abcé😀", k=rnd.randint(0, 9))) for _ in range(rnd.randint(0, 5))] for _ in range(300)]
+    lists = [*lists[:100], None, [], ["x" * 20_001], *lists[100:]]
+    array = pa.array([["cut off"], *lists], pa.list_(pa.string())).slice(1)
+    assert murmur3_lists(array).to_pylist() == [w and [h - (h >> 31 << 32) for h in map(_murmur3_plain, w)] if w else w for w in lists]
+    words = pa.array([["w%d" % (k % 1000) for k in range(100)]] * 500 + [["x" * 100_000]], pa.list_(pa.string()))
+    tracemalloc.start()
+    murmur3_lists(words)  # padding each word to the longest one would take 5 GB
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
+
+
 @pytest.mark.parametrize("hasher", ["xxhash64", "md5", "murmur3"])
 def test_bag_of_words(spark, hasher):
     df = frame(spark, ["alpha beta alpha x", "", "beta", "straße perché perché"])
