@@ -36,6 +36,13 @@ def test_every_classifier(rows, name, params):
     assert run.scored.count() == 36
 
 
+def test_a_forest_keeps_the_nodes_of_its_rows(rows):
+    deep = md.fit_classifier(rows.drop("embedding"), "random_forest", numTrees=3)
+    walked = md.fit_classifier(rows.drop("embedding"), "random_forest", numTrees=3, cacheNodeIds=False)
+    assert deep.model.stages[-1].getCacheNodeIds() and not walked.model.stages[-1].getCacheNodeIds()
+    assert deep.model.stages[-1].toDebugString.split("\n")[1:] == walked.model.stages[-1].toDebugString.split("\n")[1:]
+
+
 def test_binary_boosting_and_svc(rows):
     two = rows.filter("user < 2").drop("embedding")
     for name, params in (("gradient_boosting", {"maxIter": 4}), ("svc", {"maxIter": 20})):
