@@ -20,6 +20,7 @@ a model predicts equal shares; equal falls go to the feature that comes first in
 from __future__ import annotations
 
 import json
+import pickle
 from dataclasses import dataclass
 from hashlib import md5
 
@@ -73,20 +74,27 @@ class Tree:
             self.tried.append([(f, float(low[k, f] + share(p.seed, self.number, heap, f) * (high[k, f] - low[k, f])))
                                for f in order[:p.tried(self.width)]])
 
-    def split(self, left: np.ndarray, total: np.ndarray) -> None:
-        """Class counts: left[node, tried feature, class] and total[node, class] of the open nodes."""
+    def best(self, left: np.ndarray, total: np.ndarray) -> np.ndarray:
+        """The place of the best cut of each open node, -1 for a leaf, from the class counts left[node, tried feature, class]
+        and total[node, class]."""
+        out = np.full(len(self.open), -1, dtype=np.int64)
+        for k in range(len(self.open)):
+            n = total[k].sum()
+            if self.tried[k] and n >= self.params.min_rows and total[k].max() < n:
+                out[k] = np.argmax(np.round([_fall(total[k], x) for x in left[k, :len(self.tried[k])]], 9))
+        return out
+
+    def split(self, chosen: np.ndarray, left: np.ndarray, total: np.ndarray) -> None:
+        """The chosen cuts of the open nodes, with the class counts left[node, class] and total[node, class]."""
         after = []
         for k, node in enumerate(self.open):
             self.counts[node] = total[k]
-            n = total[k].sum()
-            if not self.tried[k] or n < self.params.min_rows or total[k].max() == n:
+            if chosen[k] < 0:
                 continue
-            falls = [_impurity(total[k]) - _impurity(x) - _impurity(total[k] - x) for x in left[k, :len(self.tried[k])]]
-            best = int(np.argmax(np.round(falls, 9)))
-            feature, cut = self.tried[k][best]
+            feature, cut = self.tried[k][chosen[k]]
             self.feature[node], self.cut[node], self.left[node] = feature, cut, len(self.feature)
-            self.fall[feature] = self.fall.get(feature, 0.0) + float(falls[best])
-            for side, counts in enumerate((left[k, best], total[k] - left[k, best])):
+            self.fall[feature] = self.fall.get(feature, 0.0) + _fall(total[k], left[k])
+            for side, counts in enumerate((left[k], total[k] - left[k])):
                 after.append(len(self.feature))
                 self.feature.append(-1)
                 self.cut.append(0.0)
@@ -111,6 +119,15 @@ def _impurity(counts: np.ndarray) -> float:
     return float(n - (counts.astype(np.float64) ** 2).sum() / n) if n else 0.0
 
 
+def _fall(total: np.ndarray, left: np.ndarray) -> float:
+    return _impurity(total) - _impurity(left) - _impurity(total - left)
+
+
+def _of_chosen(left: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """left[node, class] of the chosen cuts; of leaves nothing is read."""
+    return left[np.arange(len(left)), np.maximum(chosen, 0)] if left.shape[1] else np.zeros((len(left), left.shape[2]), dtype=left.dtype)
+
+
 def _step(arrays, x: np.ndarray, node: np.ndarray) -> np.ndarray:
     feature, cut, left = arrays
     f = feature[node]
@@ -151,7 +168,9 @@ def grow_here(x: np.ndarray, label: np.ndarray, number: int, params: TreeParams,
     while tree.open and len(x):
         slot = tree.slots()[node]
         tree.choose(*ranges(x, slot, len(tree.open)))
-        tree.split(*sides(x, label, slot, tree.tried, n_classes))
+        left, total = sides(x, label, slot, tree.tried, n_classes)
+        chosen = tree.best(left, total)
+        tree.split(chosen, _of_chosen(left, chosen), total)
         node = _step(tree.arrays(), x, node)
     return tree
 
@@ -188,11 +207,11 @@ class RandomTrees:
 
 
 def _done(tree: Tree) -> dict:
+    """A tree as arrays, which is all the driver holds of it: 32 bytes and 8 a class for each node."""
     counts = np.array([np.zeros(tree.n_classes) if c is None else c for c in tree.counts], dtype=np.float64)
     total = counts.sum(1, keepdims=True)
-    return {"feature": tree.feature, "cut": tree.cut, "left": tree.left, "rows": total[:, 0].astype(int).tolist(),
-            "share": np.where(total > 0, counts / np.maximum(total, 1), 1 / tree.n_classes).tolist(),
-            "fall": {str(k): v for k, v in tree.fall.items()}}
+    return {**dict(zip(("feature", "cut", "left"), tree.arrays())), "rows": total[:, 0].astype(np.int64),
+            "share": np.where(total > 0, counts / np.maximum(total, 1), 1 / tree.n_classes), "fall": tree.fall}
 
 
 def _pack(width: int, per_block: int):
@@ -237,9 +256,9 @@ def fit_random_trees(rows: DataFrame, n_classes: int, params: TreeParams = TreeP
     found = _in_tasks(blocks, width, n_classes, params) if n_blocks == 1 else _by_passes(blocks, width, n_classes, params)
     fall: dict[int, float] = {}
     for t in found:
-        for f, v in t["fall"].items():
-            fall[int(f)] = fall.get(int(f), 0.0) + v
-    return RandomTrees.from_json(json.dumps({"n_classes": n_classes, "trees": found, "fall": {str(k): v for k, v in sorted(fall.items())}}))
+        for f, v in t.pop("fall").items():
+            fall[f] = fall.get(f, 0.0) + v
+    return RandomTrees(n_classes, found, dict(sorted(fall.items())))
 
 
 def _in_tasks(blocks: DataFrame, width: int, n_classes: int, params: TreeParams) -> list[dict]:
@@ -251,11 +270,11 @@ def _in_tasks(blocks: DataFrame, width: int, n_classes: int, params: TreeParams)
                 x, label = _block(row, width)
                 for number in range(row["task"], params.n_estimators, tasks):
                     yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array(
-                        [json.dumps(_done(grow_here(x, label, number, params, n_classes)))])], ["tree", "made"])
+                        [pickle.dumps(_done(grow_here(x, label, number, params, n_classes)))], pa.binary())], ["tree", "made"])
 
     copies = blocks.withColumn("task", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))))  # of the one block
-    made = copies.repartitionByRange(tasks, "task").mapInArrow(run, "tree int, made string").collect()
-    return [json.loads(r["made"]) for r in sorted(made, key=lambda r: r["tree"])]
+    made = copies.repartitionByRange(tasks, "task").mapInArrow(run, "tree int, made binary").collect()
+    return [pickle.loads(r["made"]) for r in sorted(made, key=lambda r: r["tree"])]
 
 
 def _by_passes(blocks: DataFrame, width: int, n_classes: int, params: TreeParams) -> list[dict]:
@@ -298,7 +317,10 @@ def _by_passes(blocks: DataFrame, width: int, n_classes: int, params: TreeParams
                     yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([json.dumps(by[number].tried).encode()], pa.binary()),
                                                       pa.array([b""], pa.binary())], ["tree", "one", "two"])
             else:
-                yield from _rows(total)
+                for number, (left, counts) in total.items():  # only the chosen cuts and their sides go on
+                    chosen = by[number].best(left, counts)
+                    one = np.column_stack([chosen, _of_chosen(left, chosen)])
+                    yield from _rows({number: (one, counts)})
 
         fields = "tree int, one binary, two binary"
         return blocks.mapInArrow(local, fields).repartition(max(1, min(len(now.value), int(
@@ -314,9 +336,10 @@ def _by_passes(blocks: DataFrame, width: int, n_classes: int, params: TreeParams
         for r in summed(now, True).collect():
             tree = trees[r["tree"]]
             total = np.frombuffer(r["two"], np.int64).reshape(len(tree.open), n_classes)
-            tree.split(np.frombuffer(r["one"], np.int64).reshape(len(tree.open), -1, n_classes), total)
+            one = np.frombuffer(r["one"], np.int64).reshape(len(tree.open), 1 + n_classes)
+            tree.split(one[:, 0], one[:, 1:], total)
         now.unpersist()
-    return [json.loads(json.dumps(_done(t))) for t in trees]
+    return [_done(t) for t in trees]
 
 
 def _rows(total: dict):

@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from inkprint.operators import models as md
+from inkprint.operators import randomtrees
 from inkprint.operators.randomtrees import RandomTrees, TreeParams, fit_random_trees, grow_here, share
 
 
@@ -85,3 +88,12 @@ def test_as_a_classifier(spark, tmp_path):
     model.save(f"{tmp_path}/m")
     again = md.load_model(spark, f"{tmp_path}/m").predict(df).orderBy("message_id").select("probability").collect()
     assert again == model.predict(df).orderBy("message_id").select("probability").collect()
+
+
+def test_a_tree_reaches_the_driver_as_arrays():
+    rng = np.random.default_rng(3)
+    x, label = rng.normal(size=(400, 6)), rng.integers(0, 10, 400)
+    made = randomtrees._done(randomtrees.grow_here(x, label, 0, TreeParams(), 10))
+    nodes = len(made["feature"])
+    assert all(isinstance(made[k], np.ndarray) for k in ("feature", "cut", "left", "rows", "share"))
+    assert nodes > 100 and len(pickle.dumps(made)) < 120 * nodes + 2000
