@@ -44,6 +44,20 @@ def test_joined_models_say_the_same(spark):
     assert classify_words(df, model, "said").orderBy("message_id").collect() == small
 
 
+def test_only_rare_words_are_joined(spark):
+    rows = [*texts(), *[(1000 + k, f"rare{k} the sun rare{k}", k % 3) for k in range(300)]]
+    df = spark.createDataFrame(rows, "message_id long, message string, c int")
+    model = fit_word_classes(df, "c", 3)
+    want = classify_words(df, model, "said").orderBy("message_id").collect()
+    assert {r["message_id"]: r["said"] for r in want} == {k: brute(rows, t) for k, t, _ in rows}
+    for limit in (0, 400, 2000):
+        model.stored_bytes = limit + 1
+        made = classify_words(df, model, "said", broadcast_bytes=limit)
+        assert made.orderBy("message_id").collect() == want
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert "_salt" not in plan and "UnionLoop" not in plan and "Union" in plan
+
+
 def test_logistic_scorer(spark):
     df = spark.createDataFrame([r for r in texts() if r[2] in (0, 1)], "message_id long, message string, c int")
     scored = score_text(df, fit_text_scorer(df, "c"), "said").collect()
