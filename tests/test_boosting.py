@@ -138,3 +138,26 @@ def test_importance_names_the_inputs(spark):
     df = spark.createDataFrame(rows, "message_id long, user int, a double, b double, c double, d double, e double, same double")
     top = md.feature_importance(md.fit_classifier(df, "gradient_boosting", n_estimators=20)).collect()
     assert {r["feature"] for r in top[:4]} == {"a", "b", "c", "d"} and sum(r["importance"] for r in top) == pytest.approx(1)
+
+
+def test_a_level_counts_only_smaller_children(monkeypatch):
+    x, y = data(600)
+    rows = block(x, y)
+    counted, slots, whole = [], [], Block.histogram
+
+    def histogram(self, slot, n_slots, *args):
+        counted.append(int((slot >= 0).sum()))
+        slots.append(n_slots)
+        return whole(self, slot, n_slots, *args)
+
+    monkeypatch.setattr(Block, "histogram", histogram)
+    _, rounds = _grow_here(rows, Spec(BoostParams(1, 5, min_child_weight=4.0)), True)
+    assert len(counted) > 3 and counted[0] == 600 and all(n <= 300 for n in counted[1:])
+    forest = rounds[0][0]
+    inner = (forest.feature >= 0).sum()
+    assert sum(slots) <= inner  # a child that is too light for two children is never counted for itself
+
+
+def test_passes_give_every_core_a_block(spark):
+    several = table(spark, block_cells=1000)
+    assert several.n_blocks >= spark.sparkContext.defaultParallelism > 1800 / 1000
