@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from hashlib import md5
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +16,7 @@ from inkprint.constants import EMBED_BATCH, EMBEDDING_STRATEGIES, TOKEN_PATTERN
 from inkprint.functions.tokens import token_texts
 
 DIMS = 32
+TOKENS_AT_ONCE = 1 << 20
 
 
 def check_strategy(strategy: str) -> None:
@@ -43,16 +47,56 @@ def _unit(total: Column) -> Column:
     return total / 127.5 - 1.0
 
 
+def _slice_sums(tokens: pa.Array, offsets: np.ndarray, dims: int) -> np.ndarray:
+    """[row, number]: sums over the tokens of each row. A word that is met again is not hashed again."""
+    coded = tokens.dictionary_encode()
+    words = [w + b":" for w in coded.dictionary.cast(pa.binary()).to_pylist()]
+    digests = b"".join(b"".join(md5(w + b"%d" % part).digest() for part in range(-(-dims // 16)))[:dims] for w in words)
+    out = np.zeros((len(offsets) - 1, dims), dtype=np.int64)
+    filled = np.flatnonzero(np.diff(offsets))
+    if len(filled):
+        met = np.frombuffer(digests, np.uint8).reshape(len(words), dims)[coded.indices.to_numpy()]
+        out[filled] = np.add.reduceat(met, offsets[filled] - offsets[0], axis=0, dtype=np.int64)
+    return out
+
+
+def _md5_sums(dims: int):
+    """Rows of (key, words) to (key, number of words, sums of their md5 bytes)."""
+    def run(batches):
+        for batch in batches:
+            lists = batch.column(1)
+            offsets, at = lists.offsets.to_numpy().astype(np.int64), 0
+            while at < len(lists):
+                end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + TOKENS_AT_ONCE, side="right")) - 1)
+                own = offsets[at:end + 1]
+                sums = _slice_sums(lists.values.slice(own[0], own[-1] - own[0]), own, dims)
+                listed = pa.ListArray.from_arrays(pa.array(np.arange(end - at + 1) * dims, pa.int32()), pa.array(sums.ravel()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, end - at), pa.array(np.diff(own)), listed], ["key", "one", "sums"])
+                at = end
+    return run
+
+
 def mean_vectors(df: DataFrame, text: str = "message", key: str = "message_id", dims: int = DIMS,
                  hasher: str = "xxhash64") -> DataFrame:
     """key, mean: mean of the token vectors, zeros for a text without tokens.
 
     Tokens are summed as whole numbers where they are read, so a message crosses the
-    network as one row and its mean does not depend on the order of the sums.
+    network as one row and its mean does not depend on the order of the sums. Words for ``md5`` are
+    hashed from Arrow batches, each once a slice; the other hash stays in the JVM.
     """
+    if hasher == "md5":
+        words = df.select(F.col(key).alias("key"), F.transform(token_texts(text), lambda t: F.lower(t)).alias("words"))
+        out = T.StructType([words.schema["key"], T.StructField("one", T.LongType()), T.StructField("sums", T.ArrayType(T.LongType()))])
+        parts = words.mapInArrow(_md5_sums(dims), out).select(F.col("key").alias(key), F.col("one").alias("_one"), *[
+            F.get("sums", F.lit(i)).alias(f"_b{i}") for i in range(dims)])
+        return _means(parts, key, dims)
     tokens = df.select(key, F.explode_outer(token_texts(text)).alias("_token"))
     parts = tokens.select(key, F.col("_token").isNotNull().cast("long").alias("_one"),
                           *[b.alias(f"_b{i}") for i, b in enumerate(_token_bytes(F.col("_token"), dims, hasher))])
+    return _means(parts, key, dims)
+
+
+def _means(parts: DataFrame, key: str, dims: int) -> DataFrame:
     sums = parts.groupBy(key).agg(F.sum("_one").alias("_n"), *[F.sum(f"_b{i}").alias(f"_b{i}") for i in range(dims)])
     values = F.array(*[_unit(F.col(f"_b{i}") / F.col("_n")) for i in range(dims)])
     zeros = F.array(*[F.lit(0.0)] * dims)
@@ -89,8 +133,6 @@ def trigram_encoder(dims: int = 64) -> Callable:
     def make():
         import zlib
 
-        import numpy as np
-
         def predict(texts: np.ndarray) -> np.ndarray:
             out = np.zeros((len(texts), dims), dtype=np.float32)
             for row, text in enumerate(texts):

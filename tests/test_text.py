@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import math
 import random
 import tracemalloc
@@ -242,3 +243,23 @@ def test_tagger_and_separate_vocabularies(spark):
     df = spark.createDataFrame([(1, "the dog runs")], "message_id long, message string")
     r = build_features(df, FeatureConfig.only("message_composition", "englishness", "italianness"), tagger=tagger).first()
     assert (r["NOUN"], r["VERB"], r["englishness"], r["italianness"]) == (0.67, 0.33, 0.33, 0.0)
+
+
+def test_md5_vectors_hash_a_word_once(spark, monkeypatch):
+    def sums(words, dims):
+        digests = [b"".join(hashlib.md5(f"{w}:{part}".encode()).digest() for part in range(2))[:dims] for w in words]
+        return [sum(d[i] for d in digests) for i in range(dims)]
+
+    texts = [["b", "a", "b"], None, [], ["ß", "b"], ["a"]]
+    batch = pa.RecordBatch.from_arrays([pa.array([3, 1, None, 3, 5]), pa.array(texts, pa.list_(pa.string()))], ["key", "words"])
+    hashed = []
+    monkeypatch.setattr(em, "md5", lambda data: hashed.append(data) or hashlib.md5(data))
+    whole = [r for b in em._md5_sums(20)([batch]) for r in b.to_pylist()]
+    assert sorted(hashed) == sorted(f"{w}:{part}".encode() for w in ("a", "b", "ß") for part in range(2))
+    assert whole == [{"key": k, "one": len(t or []), "sums": sums(t or [], 20)} for k, t in zip([3, 1, None, 3, 5], texts)]
+    monkeypatch.setattr(em, "TOKENS_AT_ONCE", 2)
+    assert [r for b in em._md5_sums(20)([batch.slice(1)]) for r in b.to_pylist()] == whole[1:]
+    df = spark.createDataFrame([(1, "One two, TWO"), (1, "two"), (2, ""), (None, "x"), (4, None)], "message_id long, message string")
+    got = sorted((r.message_id, r.embedding) for r in em.embed_hashed(df, "mean", dims=20, hasher="md5").collect())
+    both = [x / 5 / 127.5 - 1.0 for x in sums(["one", "two", ",", "two", "two"], 20)]
+    assert got == [(1, both), (1, both), (2, [0.0] * 20), (4, [0.0] * 20)]
