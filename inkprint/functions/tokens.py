@@ -8,14 +8,20 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from inkprint.constants import FUNCTION_TAGS, POS_TAGS, SENTENCE_END, TAG_LEXICON, TOKEN_PATTERN
 from inkprint.functions.rounding import let, round_binary
 from inkprint.functions.text import MAX_INLINE_WORDS, col
 from inkprint.operators.joins import lookup
 
+BLOCKS = 4  # of messages that meet a lexicon, for each shuffle partition
+
 
 def token_texts(m) -> Column:
     return F.regexp_extract_all(col(m), F.lit(TOKEN_PATTERN), F.lit(0))
@@ -74,29 +80,85 @@ def annotate(df: DataFrame, text: str = "message", lemma_table: DataFrame | None
     """Add the token array.
 
     ``lemma_table(text, lemma)`` and ``pos_table(text, pos)`` (lower-case text, unique) may
-    be of any size. Messages are partitioned by key before their tokens are spread out, so
-    that with a lexicon of checked size the tokens are looked up and put together again
-    where they are.
+    be of any size. Messages are dealt into blocks by key, and only the different words of a
+    block are joined with the lexicons; what they hold goes back to the block, whose tokens
+    find it there. So a hot word is one row of a block, and no token crosses the network.
     """
     if lemma_table is None and pos_table is None:
         return df.withColumn(out, token_structs(text, lexicon))
-    rows = df.repartition(F.col(key))
-    words = rows.select(key, F.posexplode(token_structs(text, lexicon)).alias("_i", "_t")).select(
-        key, "_i", "_t", F.lower("_t.text").alias("text"))
-    for table, name in ((lemma_table, "lemma"), (pos_table, "pos")):
-        if table is None:
-            words = words.withColumn(f"_{name}", F.lit(None).cast("string"))
-        else:
-            words = lookup(words, table.select("text", F.col(name).alias(f"_{name}")), "text")
-    token = F.struct("_i", F.col("_t.text").alias("text"), F.coalesce("_lemma", "_t.lemma").alias("lemma"),
-                     F.coalesce("_pos", "_t.pos").alias("pos"), F.col("_t.is_alpha").alias("is_alpha"),
-                     F.col("_t.is_punct").alias("is_punct"))
-    whole = words.groupBy(key).agg(F.sort_array(F.collect_list(token)).alias("_tokens"))
-    plain = F.transform("_tokens", lambda t: F.struct(
-        t["text"].alias("text"), t["lemma"].alias("lemma"), t["pos"].alias("pos"),
-        t["is_alpha"].alias("is_alpha"), t["is_punct"].alias("is_punct")))
+    if lemma_table is None or pos_table is None:
+        known = pos_table if lemma_table is None else lemma_table
+        lemma = F.lit(None).cast("string") if lemma_table is None else F.col("lemma")
+        pos = F.lit(None).cast("string") if pos_table is None else F.col("pos")
+        known = known.select("text", lemma.alias("_lemma"), pos.alias("_pos"))
+    else:
+        known = lemma_table.select("text", F.col("lemma").alias("_lemma")).join(
+            pos_table.select("text", F.col("pos").alias("_pos")), "text", "full")
+    count = BLOCKS * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    block = F.pmod(F.xxhash64(F.col(key)), F.lit(count)).cast("int").alias("_block")
+    # rows that share a key have their tokens merged; those without a key have none
+    texts = df.where(F.col(key).isNotNull()).select(block, F.col(key).alias("_key"), F.col(text).alias("_text")) \
+        .repartition("_block").groupBy("_block", "_key").agg(F.collect_list("_text").alias("_texts"))
+    lowered = F.flatten(F.transform("_texts", lambda t: F.transform(token_texts(t), lambda w: F.lower(w))))
+    asked = texts.select("_block", F.explode(lowered).alias("text")).distinct()
+    found = asked.join(known, "text").select(F.col("_block").alias("_home"), "text", "_lemma", "_pos")
+    several = T.ArrayType(T.StringType())
+    schema = T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField("_texts", several),
+                           T.StructField("_at", T.ArrayType(T.IntegerType())), T.StructField("_lemma", several),
+                           T.StructField("_pos", several)])
+    hits = texts.withColumn("_words", lowered).groupBy("_block").cogroup(found.groupBy("_home")).applyInArrow(
+        _find(schema.names), schema)
+    fields = ("text", "lemma", "pos", "is_alpha", "is_punct")
+
+    def looked_up(t: Column, i: Column) -> dict[str, Column]:
+        other = {"lemma": F.coalesce(F.get("_lemma", i), t["lemma"]), "pos": F.coalesce(F.get("_pos", i), t["pos"])}
+        return {c: other.get(c, t[c]) for c in fields}
+
+    def struct(token: dict[str, Column]) -> Column:
+        return F.struct(*[c.alias(name) for name, c in token.items()])
+
+    def merged(tokens: Column) -> Column:
+        places = F.coalesce("_at", F.transform(tokens, lambda t, i: i))
+        whole = F.sort_array(F.transform(places, lambda at, i: let(F.get(tokens, at), lambda e: struct(
+            {"_i": e["_i"], **looked_up(e["t"], i)}))))
+        return F.transform(whole, lambda t: struct({c: t[c] for c in fields}))
+
+    each = F.flatten(F.transform("_texts", lambda m: F.transform(token_structs(m, lexicon), lambda t, i: F.struct(
+        i.alias("_i"), t.alias("t")))))
+    single = F.transform(token_structs(F.get("_texts", F.lit(0)), lexicon), lambda t, i: struct(looked_up(t, i)))
+    whole = F.when((F.size("_texts") > 1) | F.col("_at").isNotNull(), let(each, merged)).otherwise(single)
     empty = F.array().cast("array<struct<text:string,lemma:string,pos:string,is_alpha:boolean,is_punct:boolean>>")
-    return rows.join(whole, key, "left").withColumn(out, F.coalesce(plain, empty)).drop("_tokens")
+    return df.join(hits, key, "left").withColumn(out, F.coalesce(whole, empty)).drop("_texts", "_at", "_lemma", "_pos")
+
+
+def _find(names: list[str]):
+    """For the messages of one block and what the lexicons hold of its words: lemma and tag of each token, null where no
+    lexicon holds it. Where a lexicon holds a word several times its tokens are repeated, and ``_at`` tells their places."""
+    def run(messages: pa.Table, found: pa.Table) -> pa.Table:
+        words = messages.column("_words").combine_chunks()
+        flat, ends = words.flatten(), np.cumsum(pc.list_value_length(words).to_numpy())
+        found = found.sort_by("text")
+        entries = pc.value_counts(found.column("text"))  # in the order of the rows
+        times = entries.field("counts").to_numpy()
+        entry = pc.fill_null(pc.index_in(flat, value_set=entries.field("values")), -1).to_numpy()
+        n = np.append(times, 1)[entry]
+        token = np.repeat(np.arange(len(flat)), n)
+        entry = entry[token]
+        nth = np.arange(len(token)) - (np.cumsum(n) - n)[token]
+        take = pa.array(np.append(np.cumsum(times) - times, 0)[entry] + nth, mask=entry < 0)
+        begin = np.concatenate([[0], ends[:-1]])
+        offsets = pa.array(np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], ends])], pa.int32())
+
+        def lists(values: pa.Array, kind: pa.DataType) -> pa.Array:
+            values = pa.concat_arrays(values.chunks) if isinstance(values, pa.ChunkedArray) else values
+            return pa.ListArray.from_arrays(offsets, values.cast(kind)) if values.null_count < len(values) \
+                else pa.nulls(len(words), pa.list_(kind))
+
+        at = pa.array(token - np.repeat(begin, ends - begin)[token]) if len(token) > len(flat) else pa.nulls(len(token))
+        return pa.Table.from_arrays([
+            messages.column("_key"), messages.column("_texts").cast(pa.list_(pa.string())), lists(at, pa.int32()),
+            *(lists(found.column(c).combine_chunks().take(take), pa.string()) for c in ("_lemma", "_pos"))], names)
+    return run
 
 
 def annotate_with(df: DataFrame, tagger, text: str = "message", out: str = "tokens") -> DataFrame:
@@ -105,7 +167,6 @@ def annotate_with(df: DataFrame, tagger, text: str = "message", out: str = "toke
     ``tagger(list of texts)`` yields, per text, a list of dicts with the five token fields.
     It runs on Arrow batches in the Python workers.
     """
-    from pyspark.sql import types as T
     token = T.StructType([
         T.StructField("text", T.StringType()), T.StructField("lemma", T.StringType()),
         T.StructField("pos", T.StringType()), T.StructField("is_alpha", T.BooleanType()),

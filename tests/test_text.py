@@ -19,6 +19,7 @@ from inkprint.functions.hashing import murmur3, murmur3_lists
 from inkprint.functions.rounding import round_binary
 from inkprint.operators import embed as em
 from inkprint.operators import features as ft
+from inkprint.operators.joins import lookup
 from inkprint.sources.wordlists import build_vocabulary, load_wordlist
 
 TEXTS = ["", "   ", "Hello World", "ÀÉ Ⅷ straße", "Ciao  ciao,\nCIAO! Come va? 3.14 € ok...", "one", "!!!",
@@ -117,6 +118,39 @@ def test_lexicon_tables_equal_inline_lexicon(spark):
     assert {t["pos"] for t in got[6]} == {"SYM"} and got[7][1]["pos"] == "NOUN"
 
 
+def test_lexicon_meets_words_of_blocks(spark, monkeypatch):
+    # beyond a broadcast too no token crosses the network, and the lexicon is not copied by salts
+    monkeypatch.setattr(tk, "lookup", lambda *args: lookup(*args, size=0))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        texts = ["dog dog cat " * 50, "Cat! the dog"]
+        tags = spark.createDataFrame([("cat", "NOUN"), ("!", "SYM"), ("dog", None)], "text string, pos string")
+        out = tk.annotate(frame(spark, texts), pos_table=tags)
+        got = values(out, "tokens")
+        assert [[t["pos"] for t in x] for x in got] == [["X", "X", "NOUN"] * 50, ["NOUN", "SYM", "DET", "X"]]
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "_salt" not in plan and "posexplode" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_lexicon_tables_with_odd_keys(spark):
+    rows = [(1, "Cat dog!"), (1, "dog runs"), (None, "cat"), (None, "cat"), (2, None), (3, ""), (4, "the cat"), (2, "CAT")]
+    df = spark.createDataFrame([(k, n, t) for n, (k, t) in enumerate(rows)], "message_id long, row int, message string")
+    lemmas = spark.createDataFrame([("cat", "felis"), ("cat", "gatto"), (None, "n")], "text string, lemma string")
+    tags = spark.createDataFrame([("cat", "NOUN"), ("dog", None)], "text string, pos string")
+    out = tk.annotate(df, lemma_table=lemmas, pos_table=tags)
+    assert out.columns == ["message_id", "row", "message", "tokens"]
+    got = [[(t["text"], t["lemma"], t["pos"]) for t in r["tokens"]] for r in out.orderBy("row").collect()]
+    merged = [("Cat", "felis", "NOUN"), ("Cat", "gatto", "NOUN"), ("dog", "dog", "X"), ("dog", "dog", "X"),
+              ("runs", "runs", "X"), ("!", "!", "PUNCT")]
+    two = [("CAT", "felis", "NOUN"), ("CAT", "gatto", "NOUN")]
+    four = [("the", "the", "DET"), ("cat", "felis", "NOUN"), ("cat", "gatto", "NOUN")]
+    assert got == [merged, merged, [], [], two, [], four, two]
+    nothing = [[t["pos"] for t in x] for x in values(tk.annotate(frame(spark), pos_table=tags.limit(0)), "tokens")]
+    assert nothing == [[t["pos"] for t in x] for x in values(tk.annotate(frame(spark)), "tokens")]
+
+
 def test_vocabulary_share_both_ways(spark):
     df = tk.annotate(frame(spark))
     words = ["ciao", "the", "cat", "one"]
