@@ -92,12 +92,13 @@ def running_stream(stream: DataFrame, keys: tuple[str, ...] = ("chat_id",), pos:
                    delay: str = "1 hour") -> DataFrame:
     """The stream with ``average``, the running mean of its conversation and class, from sums and counts in the state store.
 
-    The state of a conversation and class is one sum and one count; a micro-batch writes those it touches and no others. Without ``ts`` the
+    The state of a conversation is one sum and one count for each of its classes, and one call of Python handles all of them; a
+    micro-batch writes the conversations it touches and no others. Without ``ts`` the
     rows of a batch count in the order of ``pos``, after those of earlier batches. With ``ts`` rows wait in the state until the
     watermark has passed them (a timer wakes a conversation that gets no more rows), so rows that are late by less than ``delay`` take
     their place in the order of ``ts`` and ``pos``; later ones are dropped. A row with a null ``p`` adds nothing and shows the mean so far.
 
-    The rows of one conversation and class in one batch meet in one task; the trigger bounds them. For a chat that fills the batches,
+    The rows of one conversation in one batch meet in one task; the trigger bounds them. For a chat that fills the batches,
     ``running_batches`` spreads it over tasks.
     """
     if ts:
@@ -111,8 +112,12 @@ def running_stream(stream: DataFrame, keys: tuple[str, ...] = ("chat_id",), pos:
             writer.write_table(table)
         return sink.getvalue().to_pybytes()
 
+    label = "user" if dict(stream.dtypes)["user"] == "string" else "_class"  # the state names classes by text
+    labelled = stream if label == "user" else stream.withColumn(label, F.col("user").cast("string"))
+
     def update(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        total, count, waiting = state.get if state.exists else (0.0, 0, None)
+        classes, totals, counts, waiting = state.get if state.exists else ((), (), (), None)
+        known = dict(zip(classes, zip(totals, counts)))
         held = [] if waiting is None else [pa.ipc.open_stream(bytes(waiting)).read_pandas()]
         rows = [b for b in ([] if state.hasTimedOut else batches) if len(b)]
         every = pd.concat([*held, *rows], ignore_index=True) if held or rows else None
@@ -122,15 +127,25 @@ def running_stream(stream: DataFrame, keys: tuple[str, ...] = ("chat_id",), pos:
             passed = every[ts].isna() | (every[ts] <= now)
             rest, every = every[~passed], every[passed]
         if every is not None and len(every):
-            every = every.sort_values([ts, pos] if ts else [pos], kind="stable")
+            if ts or not every[pos].is_monotonic_increasing:
+                every = every.sort_values([ts, pos] if ts else [pos], kind="stable")
             values = every[p].astype("float64").to_numpy()
-            sums, counts = total + np.cumsum(np.nan_to_num(values)), count + np.cumsum(~np.isnan(values))
-            total, count = float(sums[-1]), int(counts[-1])
-            yield every[names].assign(average=np.where(counts > 0, sums / np.maximum(counts, 1), np.nan))
-        state.update((total, count, packed(rest) if rest is not None and len(rest) else None))
+            there, values, average = ~np.isnan(values), np.nan_to_num(values), np.full(len(values), np.nan)
+            codes, found = pd.factorize(every[label], use_na_sentinel=False)
+            by_class = np.argsort(codes, kind="stable")
+            ends = np.cumsum(np.bincount(codes, minlength=len(found)))
+            for name, at in zip(found, np.split(by_class, ends[:-1])):
+                name = name if isinstance(name, str) else None
+                total, count = known.get(name, (0.0, 0))
+                sums, counts = total + np.cumsum(values[at]), count + np.cumsum(there[at])
+                known[name] = float(sums[-1]), int(counts[-1])
+                average[at] = np.where(counts > 0, sums / np.maximum(counts, 1), np.nan)
+            yield every[names].assign(average=average)
+        state.update((list(known), [t for t, _ in known.values()], [n for _, n in known.values()],
+                      packed(rest) if rest is not None and len(rest) else None))
         if rest is not None and len(rest):
             first = rest[ts].min().tz_localize(zone, ambiguous=True, nonexistent="shift_forward")
             state.setTimeoutTimestamp(max(int(first.value // 1_000_000), state.getCurrentWatermarkMs() + 1))
 
-    return stream.groupBy(*keys, "user").applyInPandasWithState(
-        update, out, "total double, n long, waiting binary", "append", "EventTimeTimeout" if ts else "NoTimeout")
+    return labelled.groupBy(*keys).applyInPandasWithState(
+        update, out, "classes array<string>, totals array<double>, counts array<long>, waiting binary", "append", "EventTimeTimeout" if ts else "NoTimeout")

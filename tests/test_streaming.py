@@ -96,6 +96,24 @@ def test_late_rows_take_their_place(spark, tmp_path):
     assert got == [(m, sum(seen[:k + 1]) / (k + 1)) for k, m in enumerate(seen)]
 
 
+def test_state_is_kept_by_conversation(spark, tmp_path):
+    """One state, and so one call, holds all classes of a conversation, be they numbers, texts or null."""
+    for kind, name in (("int", lambda k: None if k == 3 else k), ("string", lambda k: None if k == 3 else f"c{k}")):
+        data = [(k % 4, name(k // 4 % 6), -k, float(k % 7)) for k in range(240)]
+        frame = spark.createDataFrame(data, f"chat_id int, user {kind}, pos int, p double")
+        home = f"{tmp_path}/{kind}"
+        # positions fall, so the second delivery (of higher ones) follows all of the first
+        deliver(spark, home, frame.where("pos < -100"), frame.schema)
+        out = deliver(spark, home, frame.where("pos >= -100"), frame.schema)
+        expected, sums = {}, {}
+        for chat, user, pos, p in sorted(data, key=lambda r: r[2]):
+            total, n = sums.get((chat, user), (0.0, 0))
+            sums[chat, user] = total + p, n + 1
+            expected[chat, pos] = user, (total + p) / (n + 1)
+        assert {(r["chat_id"], r["pos"]): (r["user"], r["average"]) for r in out.collect()} == expected
+        assert spark.read.format("statestore").load(f"{home}/cp").count() == 4  # not 24
+
+
 def test_state_of_null_values(spark, tmp_path):
     data = spark.createDataFrame([(1, 0, 1, None), (1, 0, 2, 4.0), (None, None, 1, 2.0), (1, 0, 3, None)], "chat_id int, user int, pos int, p double")
     out = deliver(spark, str(tmp_path), data, data.schema)
