@@ -82,7 +82,8 @@ def annotate(df: DataFrame, text: str = "message", lemma_table: DataFrame | None
     ``lemma_table(text, lemma)`` and ``pos_table(text, pos)`` (lower-case text, unique) may
     be of any size. Messages are dealt into blocks by key, and only the different words of a
     block are joined with the lexicons; what they hold goes back to the block, whose tokens
-    find it there. So a hot word is one row of a block, and no token crosses the network.
+    find it there. So a hot word is one row of a block. What crosses the network of all tokens
+    is the text, twice, and the arrays of what was found. A block is held by one Python call.
     """
     if lemma_table is None and pos_table is None:
         return df.withColumn(out, token_structs(text, lexicon))
