@@ -23,9 +23,10 @@ from inkprint.functions import probs as pr
 from inkprint.operators import evaluate as ev
 from inkprint.operators.boosting import Booster, BoostParams, Spec, Table, boosted_probability
 from inkprint.operators.features import input_columns, select_features
+from inkprint.operators.forest import forest_probability, importances
 from inkprint.operators.neighbors import knn_join, knn_votes
 from inkprint.operators.network import STEP, TRAIN, VALIDATE, Loss, Network, fit_network, network_probability
-from inkprint.operators.randomtrees import RandomTrees, TreeParams, fit_random_trees, trees_probability
+from inkprint.operators.randomtrees import RandomTrees, TreeParams, trees_probability, write_random_trees
 from inkprint.operators.sampling import assign_folds, split
 from inkprint.session import materialize, path_exists
 
@@ -124,9 +125,10 @@ class Fitted:
         spark.createDataFrame([(meta,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str) -> Fitted | FittedTrees:
-        if path_exists(spark, f"{path}/trees"):
-            return FittedTrees.load(spark, path)
+    def load(cls, spark: SparkSession, path: str) -> Fitted | FittedTrees | FittedForest:
+        for kind, part in ((FittedTrees, "trees"), (FittedForest, "forest")):
+            if path_exists(spark, f"{path}/{part}"):
+                return kind.load(spark, path)
         meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
         return cls(PipelineModel.load(f"{path}/pipeline"), meta["n_classes"], meta["inputs"])
 
@@ -199,7 +201,42 @@ class FittedTrees:
         return cls(PipelineModel.load(f"{path}/prepare"), trees, meta["n_classes"], meta["inputs"])
 
 
-def load_model(spark: SparkSession, path: str) -> Fitted | FittedNeighbors | FittedTrees:
+class FittedForest:
+    """A forest whose trees are a table, behind the scaler it was fitted with. ``nan``: what NaN counts as."""
+
+    def __init__(self, prepare: PipelineModel, parts: DataFrame, n_trees: int, n_classes: int, inputs: list[str] | None = None,
+                 nan: float | None = None, each: bool = False):
+        self.prepare, self.parts, self.n_trees, self.n_classes, self.inputs = prepare, parts, n_trees, n_classes, inputs or []
+        self.nan, self.each = nan, each
+
+    def predict(self, df: DataFrame) -> DataFrame:
+        ready = self.prepare.transform(df).select(*df.columns, vector_to_array(_ASSEMBLED).alias("_vector"))
+        rows = materialize(ready.withColumn("_row", F.monotonically_increasing_id()), "forest-rows")
+        found = forest_probability(self.parts, self.n_trees, rows.select(F.col("_row").alias("id"), F.col("_vector").alias("x")), self.n_classes, self.nan)
+        scored = rows.join(found.withColumnRenamed("id", "_row"), "_row").select(*df.columns, "probability")
+        return scored.withColumn("prediction", pr.argmax("probability").cast("int"))
+
+    def importances(self) -> list[tuple[int, float]]:
+        """(input, share of all falls of the impurity), of the inputs that split any node; ``each``: every tree counts the same."""
+        return importances(self.parts, self.each)
+
+    def save(self, path: str, overwrite: bool = False) -> None:
+        spark = SparkSession.getActiveSession()
+        if path_exists(spark, path) and not overwrite:
+            raise ValueError(f"model {path} already exists; allow retraining to overwrite it")
+        writer = self.prepare.write()
+        (writer.overwrite() if overwrite else writer).save(f"{path}/prepare")
+        self.parts.write.mode("overwrite").parquet(f"{path}/forest")
+        meta = json.dumps({k: getattr(self, k) for k in ("n_trees", "n_classes", "inputs", "nan", "each")})
+        spark.createDataFrame([(meta,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> FittedForest:
+        meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
+        return cls(PipelineModel.load(f"{path}/prepare"), spark.read.parquet(f"{path}/forest"), **meta)
+
+
+def load_model(spark: SparkSession, path: str) -> Fitted | FittedNeighbors | FittedTrees | FittedForest:
     """A saved classifier of any kind."""
     kind = FittedNeighbors if path_exists(spark, f"{path}/base") else Fitted
     return kind.load(spark, path)
@@ -228,6 +265,10 @@ def assembler(df: DataFrame, inputs: list[str], scale: bool = True) -> list:
     return stages
 
 
+def _count_trees(parts: DataFrame) -> int:
+    return parts.filter("part = 0").count()
+
+
 def _width(model: PipelineModel, df: DataFrame) -> int:
     return model.transform(df.limit(1)).select(vector_to_array(_ASSEMBLED).alias("v")).select(
         F.size("v")).first()[0]
@@ -255,8 +296,8 @@ def fit_classifier(df: DataFrame, name: str = "random_forest", label: str = "use
         return FittedTrees(prepare, boosters[0], n_classes, inputs)
     if name == RANDOM_TREES:
         ready = prepare.transform(df).select(vector_to_array(_ASSEMBLED).alias("vector"), F.col(label).alias("label"))
-        named = {TREE_ALIASES.get(k, k): v for k, v in params.items()}
-        return FittedTrees(prepare, fit_random_trees(ready, n_classes, TreeParams(**named)), n_classes, inputs)
+        trees = write_random_trees(ready, n_classes, TreeParams(**{TREE_ALIASES.get(k, k): v for k, v in params.items()}))
+        return FittedForest(prepare, trees, _count_trees(trees), n_classes, inputs, nan=0.0)
     width = _width(prepare, df) if name == "neural_network" else 0
     stages = CLASSIFIERS[name](width, n_classes, label, **params)
     ready = prepare.transform(df.withColumn(label, F.col(label).cast("double")))
@@ -300,7 +341,7 @@ def validate_folds(folded: DataFrame, name: str, k: int, label: str, n_classes:
 def feature_importance(model, inputs: Iterable[str] | None = None, n: int = 20) -> DataFrame | None:
     """rank, feature, importance of the n most predictive inputs; None if the model has none."""
     stage = model.model.stages[-1] if isinstance(model, Fitted) else None
-    if isinstance(model, FittedTrees):
+    if isinstance(model, FittedTrees | FittedForest):
         weights = model.importances()
     elif hasattr(stage, "featureImportances"):
         found = stage.featureImportances

@@ -4,14 +4,14 @@ All rows are used. In a node the features are gone through in the order of a has
 a cut between their smallest and largest value there, again by a hash, and the largest fall of the Gini impurity wins. No bins are
 made. Hashes are of text, ``seed:tree:node:feature`` (nodes numbered as in a heap), so other programs can repeat them.
 
-A level takes two passes over the rows, for all trees at once: smallest and largest values, then counts.
+A level takes two passes over the rows: smallest and largest values, then counts.
 
-* Several blocks of rows: a pass is one job; tasks sum their blocks, sums are added by tree, and only the chosen cuts and the
-  counts of their sides reach the driver.
-* One block (at most ``BLOCK_CELLS`` numbers): the passes of a tree run in one task and the trees are dealt over the tasks, by the
-  same code.
+* Several blocks of rows: a pass is one job for all trees; tasks sum their blocks, sums are added by tree, and only the chosen cuts and the
+  counts of their sides reach the driver. Nodes whose rows fit a block are left to the tasks (``operators/forest.py``).
+* One block (at most ``BLOCK_CELLS`` numbers): the trees are dealt over the tasks, each grown by the same code.
 
-Minima, maxima and counts do not depend on an order, so the trees are the same for any partitioning and number of blocks.
+Minima, maxima and counts do not depend on an order, so the trees are the same for any partitioning and number of blocks. They stay in a table
+(``write_random_trees``); ``fit_random_trees`` brings them to the driver, for small models.
 
 Defined cases: null and NaN values count as 0; a node that is pure, has less than ``min_rows`` rows or no varying feature is a leaf; without rows
 a model predicts equal shares; equal falls go to the feature that comes first in the node's order.
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import json
 import pickle
+from collections import defaultdict
 from dataclasses import dataclass
 from hashlib import md5
 
@@ -30,10 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkprint.session import materialize
-
-BLOCK_CELLS = 1 << 22
-_BLOCK = "x binary, label binary"
+from inkprint.operators.forest import BLOCK_CELLS, DOOR, LEAF, Door, grow_forest, leaf_counts, packed, read_block, to_blocks
 
 
 @dataclass(frozen=True)
@@ -54,14 +52,16 @@ def share(seed: int, tree: int, node: int, feature: int, salt: str = "cut") -> f
 
 
 class Tree:
-    """A tree that grows by levels. feature -1 is a leaf; left and left + 1 are the children."""
+    """A tree, or what lies below its node ``heap``, that grows by levels. feature -1 is a leaf; left and left + 1 are the children.
+    Children of at most ``limit`` rows are not grown here: they are leaves, or doors if they could be split."""
 
-    def __init__(self, number: int, params: TreeParams, width: int, n_classes: int):
-        self.number, self.params, self.width, self.n_classes = number, params, width, n_classes
-        self.feature, self.cut, self.left, self.heap = [-1], [0.0], [-1], [0]
+    def __init__(self, number: int, params: TreeParams, width: int, n_classes: int, heap: int = 0, depth: int = 0, limit: int = 0):
+        self.number, self.params, self.width, self.n_classes, self.limit = number, params, width, n_classes, limit
+        self.feature, self.cut, self.left, self.heap = [-1], [0.0], [-1], [heap]
         self.counts: list = [None]
         self.fall: dict[int, float] = {}
-        self.open, self.depth = [0], 0
+        self.open, self.depth = [0] if depth < params.max_depth else [], depth
+        self.doors: list[Door] = []
         self.tried: list[list[tuple[int, float]]] = []
 
     def choose(self, low: np.ndarray, high: np.ndarray) -> None:
@@ -77,33 +77,46 @@ class Tree:
     def best(self, left: np.ndarray, total: np.ndarray) -> np.ndarray:
         """The place of the best cut of each open node, -1 for a leaf, from the class counts left[node, tried feature, class]
         and total[node, class]."""
-        out = np.full(len(self.open), -1, dtype=np.int64)
-        for k in range(len(self.open)):
-            n = total[k].sum()
-            if self.tried[k] and n >= self.params.min_rows and total[k].max() < n:
-                out[k] = np.argmax(np.round([_fall(total[k], x) for x in left[k, :len(self.tried[k])]], 9))
-        return out
+        tried, n = np.array([len(t) for t in self.tried]), total.sum(1)
+        grows = (tried > 0) & (n >= self.params.min_rows) & (total.max(1, initial=0) < n)
+        if not left.shape[1]:
+            return np.full(len(self.open), -1, dtype=np.int64)
+        fall = np.round(_impurity(total)[:, None] - _impurity(left) - _impurity(total[:, None] - left), 9)
+        fall[np.arange(left.shape[1]) >= tried[:, None]] = -np.inf
+        return np.where(grows, fall.argmax(1), -1)
 
     def split(self, chosen: np.ndarray, left: np.ndarray, total: np.ndarray) -> None:
         """The chosen cuts of the open nodes, with the class counts left[node, class] and total[node, class]."""
-        after = []
+        after, falls = [], _fall(total, left).tolist()
+        self.depth += 1
         for k, node in enumerate(self.open):
             self.counts[node] = total[k]
             if chosen[k] < 0:
                 continue
             feature, cut = self.tried[k][chosen[k]]
             self.feature[node], self.cut[node], self.left[node] = feature, cut, len(self.feature)
-            self.fall[feature] = self.fall.get(feature, 0.0) + _fall(total[k], left[k])
+            self.fall[feature] = self.fall.get(feature, 0.0) + falls[k]
             for side, counts in enumerate((left[k], total[k] - left[k])):
-                after.append(len(self.feature))
+                child, heap, n = len(self.feature), 2 * self.heap[node] + 1 + side, int(counts.sum()) if self.limit else 1
+                if n > self.limit:
+                    after.append(child)
+                elif self.depth < self.params.max_depth and n >= self.params.min_rows and counts.max() < n:
+                    self.doors.append(Door(child, heap, self.depth, n))
                 self.feature.append(-1)
                 self.cut.append(0.0)
                 self.left.append(-1)
-                self.heap.append(2 * self.heap[node] + 1 + side)
+                self.heap.append(heap)
                 self.counts.append(counts)
-        self.depth += 1
         self.open = after if self.depth < self.params.max_depth else []
 
+    def nodes(self) -> dict:
+        """The nodes as a part of a forest."""
+        counts = np.array([np.zeros(self.n_classes) if c is None else c for c in self.counts], dtype=np.int64).reshape(-1, self.n_classes)
+        feature, left = np.array(self.feature), np.array(self.left)
+        at = [d.node for d in self.doors]
+        feature[at], left[at] = DOOR, np.arange(len(at)) + 1
+        return packed(feature, self.cut, left, counts)
+
     def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return np.array(self.feature), np.array(self.cut), np.array(self.left)
 
@@ -113,13 +126,13 @@ class Tree:
         return slot
 
 
-def _impurity(counts: np.ndarray) -> float:
-    """Rows times the Gini impurity."""
-    n = counts.sum()
-    return float(n - (counts.astype(np.float64) ** 2).sum() / n) if n else 0.0
+def _impurity(counts: np.ndarray) -> np.ndarray:
+    """Rows times the Gini impurity, of counts[..., class]."""
+    n = counts.sum(-1)
+    return np.where(n > 0, n - (counts.astype(np.float64) ** 2).sum(-1) / np.maximum(n, 1), 0.0)
 
 
-def _fall(total: np.ndarray, left: np.ndarray) -> float:
+def _fall(total: np.ndarray, left: np.ndarray) -> np.ndarray:
     return _impurity(total) - _impurity(left) - _impurity(total - left)
 
 
@@ -162,9 +175,9 @@ def sides(x: np.ndarray, label: np.ndarray, slot: np.ndarray, tried: list, n_cla
     return left, np.bincount(s * n_classes + label[rows], minlength=n * n_classes).reshape(n, n_classes)
 
 
-def grow_here(x: np.ndarray, label: np.ndarray, number: int, params: TreeParams, n_classes: int) -> Tree:
-    """One tree on one block."""
-    tree, node = Tree(number, params, x.shape[1], n_classes), np.zeros(len(x), dtype=np.int64)
+def grow_here(x: np.ndarray, label: np.ndarray, number: int, params: TreeParams, n_classes: int, heap: int = 0, depth: int = 0) -> Tree:
+    """One tree on one block, or what lies below its node ``heap``."""
+    tree, node = Tree(number, params, x.shape[1], n_classes, heap, depth), np.zeros(len(x), dtype=np.int64)
     while tree.open and len(x):
         slot = tree.slots()[node]
         tree.choose(*ranges(x, slot, len(tree.open)))
@@ -214,71 +227,82 @@ def _done(tree: Tree) -> dict:
             "share": np.where(total > 0, counts / np.maximum(total, 1), 1 / tree.n_classes), "fall": tree.fall}
 
 
-def _pack(width: int, per_block: int):
-    def run(batches):
-        held, size = [], 0
-        for batch in batches:
-            held.append(batch)
-            size += batch.num_rows
-            if size >= per_block:
-                yield pack(held)
-                held, size = [], 0
-        if size:
-            yield pack(held)
+def _zeros_for_nan(x: np.ndarray) -> np.ndarray:
+    x[np.isnan(x)] = 0.0
+    return x
 
-    def pack(batches):
-        rows = pa.Table.from_batches(batches)
-        x = np.array([[0.0 if v is None else v for v in r] for r in rows.column("x").to_pylist()], dtype=np.float64).reshape(rows.num_rows, width)
-        x[np.isnan(x)] = 0.0
-        return pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()), pa.array(
-            [rows.column("label").to_numpy().astype(np.int32).tobytes()], pa.binary())], ["x", "label"])
-    return run
 
+@dataclass(frozen=True)
+class _Kind:
+    """These trees for ``operators/forest.py``. Blocks hold values, every tree sees every row once."""
 
-def _block(row: dict, width: int) -> tuple[np.ndarray, np.ndarray]:
-    label = np.frombuffer(row["label"], np.int32).astype(np.int64)
-    return np.frombuffer(row["x"], np.float64).reshape(len(label), width), label
+    params: TreeParams
+    width: int
+    n_classes: int
+    cell = np.float64
 
+    @property
+    def number_of_trees(self) -> int:
+        return self.params.n_estimators
 
-def fit_random_trees(rows: DataFrame, n_classes: int, params: TreeParams = TreeParams(), vector: str = "vector", label: str = "label",
-                     block_cells: int = BLOCK_CELLS) -> RandomTrees:
-    spark = rows.sparkSession
-    first = rows.select(F.size(vector)).first()
-    width = first[0] if first else 0
-    per_block = max(1, block_cells // max(1, width))
-    wanted = max(1, -(-rows.count() // per_block))
-    chosen = rows.select(F.col(vector).cast("array<double>").alias("x"), F.col(label).cast("int").alias("label"))
-    dealt = chosen.repartition(wanted) if wanted > 1 else chosen.coalesce(1)
-    blocks = materialize(dealt.mapInArrow(_pack(width, 2 * per_block), _BLOCK), "rows")
-    n_blocks = blocks.count()
-    if not n_blocks:
-        return RandomTrees(n_classes, [], {})
-    found = _in_tasks(blocks, width, n_classes, params) if n_blocks == 1 else _by_passes(blocks, width, n_classes, params)
-    fall: dict[int, float] = {}
-    for t in found:
-        for f, v in t.pop("fall").items():
-            fall[f] = fall.get(f, 0.0) + v
-    return RandomTrees(n_classes, found, dict(sorted(fall.items())))
+    def weights(self, draw: np.ndarray, number: int) -> np.ndarray:
+        return np.ones(len(draw), dtype=np.uint8)
 
+    def grow(self, x, label, weight, number, heap, depth) -> tuple[dict, dict]:
+        tree = grow_here(x, label, number, self.params, self.n_classes, heap, depth)
+        return tree.nodes(), tree.fall
 
-def _in_tasks(blocks: DataFrame, width: int, n_classes: int, params: TreeParams) -> list[dict]:
-    tasks = min(params.n_estimators, max(1, blocks.sparkSession.sparkContext.defaultParallelism))
+    def tops(self, blocks: DataFrame, limit: int) -> list[tuple[dict, dict, list[Door]]]:
+        return [(t.nodes(), t.fall, t.doors) for t in _by_passes(blocks, self, limit)]
 
-    def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                x, label = _block(row, width)
-                for number in range(row["task"], params.n_estimators, tasks):
-                    yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array(
-                        [pickle.dumps(_done(grow_here(x, label, number, params, n_classes)))], pa.binary())], ["tree", "made"])
+    def values(self, nodes: dict) -> dict:
+        return nodes
 
-    copies = blocks.withColumn("task", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))))  # of the one block
-    made = copies.repartitionByRange(tasks, "task").mapInArrow(run, "tree int, made binary").collect()
-    return [pickle.loads(r["made"]) for r in sorted(made, key=lambda r: r["tree"])]
+
+def write_random_trees(rows: DataFrame, n_classes: int, params: TreeParams = TreeParams(), vector: str = "vector", label: str = "label",
+                       block_cells: int = BLOCK_CELLS) -> DataFrame:
+    """The trees as a table of parts in the shared folder (``operators/forest.py``)."""
+    first = rows.select(F.size(vector)).first()
+    width = first[0] if first else 0
+    chosen = rows.select(F.col(vector).cast("array<double>").alias("x"), F.col(label).cast("int").alias("label"), F.lit(0).cast("long").alias("draw"))
+    blocks, n_blocks, per_block = to_blocks(chosen, width, _zeros_for_nan, block_cells)
+    return grow_forest(blocks, n_blocks, _Kind(params, width, n_classes), per_block)
 
 
-def _by_passes(blocks: DataFrame, width: int, n_classes: int, params: TreeParams) -> list[dict]:
-    trees = [Tree(k, params, width, n_classes) for k in range(params.n_estimators)]
+def fit_random_trees(rows: DataFrame, n_classes: int, params: TreeParams = TreeParams(), vector: str = "vector", label: str = "label",
+                     block_cells: int = BLOCK_CELLS) -> RandomTrees:
+    """The trees in the driver's memory."""
+    parts: dict[int, dict[int, dict]] = defaultdict(dict)
+    fall: dict[int, float] = {}
+    for r in write_random_trees(rows, n_classes, params, vector, label, block_cells).orderBy("tree", "part").collect():
+        parts[r["tree"]][r["part"]] = pickle.loads(r["nodes"])
+        for f, v in json.loads(r["fall"]).items():
+            fall[int(f)] = fall.get(int(f), 0.0) + v
+    return RandomTrees(n_classes, [_whole(parts[k], n_classes) for k in sorted(parts)], dict(sorted(fall.items())))
+
+
+def _whole(parts: dict[int, dict], n_classes: int) -> dict:
+    """A tree out of its parts: each door becomes the first node of its part."""
+    at = np.cumsum([0] + [len(parts[k]["feature"]) for k in sorted(parts)])
+    feature, cut, left = (np.concatenate([parts[k][name] for k in sorted(parts)]) for name in ("feature", "cut", "left"))
+    counts = np.concatenate([leaf_counts(parts[k], n_classes) for k in sorted(parts)])
+    for k in sorted(parts):
+        mine = slice(at[k], at[k + 1])
+        left[mine] += np.where(feature[mine] >= 0, at[k], 0).astype(np.int32)
+    for door in np.flatnonzero(feature == DOOR).tolist():
+        root = at[left[door]]
+        feature[door], cut[door], left[door], counts[door] = feature[root], cut[root], left[root], counts[root]
+    for node in np.flatnonzero(feature >= 0)[::-1].tolist():  # children come after their node
+        counts[node] = counts[left[node]] + counts[left[node] + 1]
+    leaf, total = feature == LEAF, counts.sum(1, keepdims=True)
+    return {"feature": feature.astype(np.int64), "cut": np.where(leaf, 0.0, cut), "left": np.where(leaf, -1, left).astype(np.int64), "rows": total[:, 0],
+            "share": np.where(total > 0, counts / np.maximum(total, 1), 1 / n_classes)}
+
+
+def _by_passes(blocks: DataFrame, kind: _Kind, limit: int) -> list[Tree]:
+    """The trees down to nodes of ``limit`` rows."""
+    width, n_classes = kind.width, kind.n_classes
+    trees = [Tree(k, kind.params, width, n_classes, limit=limit) for k in range(kind.params.n_estimators)]
     context = blocks.sparkSession.sparkContext
 
     def summed(now, second: bool):
@@ -293,7 +317,7 @@ def _by_passes(blocks: DataFrame, width: int, n_classes: int, params: TreeParams
             total: dict[int, list] = {}
             for batch in batches:
                 for row in batch.to_pylist():
-                    x, label = _block(row, width)
+                    x, label, _ = read_block(row, kind)
                     for tree in now.value:
                         node, arrays = np.zeros(len(x), dtype=np.int64), tree.arrays()
                         for _ in range(tree.depth):
@@ -339,7 +363,7 @@ def _by_passes(blocks: DataFrame, width: int, n_classes: int, params: TreeParams
             one = np.frombuffer(r["one"], np.int64).reshape(len(tree.open), 1 + n_classes)
             tree.split(one[:, 0], one[:, 1:], total)
         now.unpersist()
-    return [_done(t) for t in trees]
+    return trees
 
 
 def _rows(total: dict):

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from inkprint.operators import models as md
 from inkprint.operators import randomtrees
-from inkprint.operators.randomtrees import RandomTrees, TreeParams, fit_random_trees, grow_here, share
+from inkprint.operators.forest import forest_probability
+from inkprint.operators.randomtrees import RandomTrees, TreeParams, fit_random_trees, grow_here, share, write_random_trees
 
 
 def data(n=200, seed=3):
@@ -97,3 +98,16 @@ def test_a_tree_reaches_the_driver_as_arrays():
     nodes = len(made["feature"])
     assert all(isinstance(made[k], np.ndarray) for k in ("feature", "cut", "left", "rows", "share"))
     assert nodes > 100 and len(pickle.dumps(made)) < 120 * nodes + 2000
+
+
+def test_extra_trees_stay_in_their_table(spark):
+    """Only nodes that do not fit a block are grown by passes; all the rest is never held by the driver."""
+    rows, params = frame(spark).withColumn("id", F.monotonically_increasing_id()), TreeParams(n_estimators=5)
+    held = fit_random_trees(rows, 3, params)
+    parts = write_random_trees(rows, 3, params, block_cells=300)
+    tops = [pickle.loads(r["nodes"]) for r in parts.filter("part = 0").collect()]
+    assert len(tops) == 5 and parts.filter("part > 0").count() >= 10
+    assert sum(len(t["feature"]) for t in tops) < sum(len(t["feature"]) for t in held.trees) / 2
+    scored = forest_probability(parts, 5, rows.select("id", F.col("vector").alias("x")), 3, nan=0.0).join(rows, "id").collect()
+    assert len(scored) == 200
+    assert np.allclose([r["probability"] for r in scored], held.probabilities(np.array([r["vector"] for r in scored])), atol=1e-9)
