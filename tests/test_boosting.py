@@ -161,3 +161,22 @@ def test_a_level_counts_only_smaller_children(monkeypatch):
 def test_passes_give_every_core_a_block(spark):
     several = table(spark, block_cells=1000)
     assert several.n_blocks >= spark.sparkContext.defaultParallelism > 1800 / 1000
+
+
+def test_folds_of_larger_tables_are_dealt_one_by_one(spark, monkeypatch):
+    """With the hits alone asked for, a model's folds are fits of their own, so the largest model of a crowd holds nobody up."""
+    whole = [hits for _, hits in table(spark).fit(CROWD, keep=False)]
+
+    monkeypatch.setattr(bo, "FOLD_ROWS", 1)
+    fits, dealt = [], bo.Table._fit_in_tasks
+
+    def seen(self, specs, keep):
+        shared, real_broadcast = [], self.spark.sparkContext.broadcast
+        monkeypatch.setattr(self.spark.sparkContext, "broadcast", lambda x: shared.append(x) or real_broadcast(x))
+        out = dealt(self, specs, keep)
+        fits.extend(shared[0])
+        return out
+
+    monkeypatch.setattr(bo.Table, "_fit_in_tasks", seen)
+    assert [hits for _, hits in table(spark).fit(CROWD, keep=False)] == whole
+    assert len(fits) == sum(len(s.folds) for s in CROWD) and all(len(s.folds) == 1 for _, s in fits)
