@@ -118,6 +118,8 @@ def to_blocks(rows: DataFrame, width: int, encode, block_cells: int = BLOCK_CELL
 
     def pack(batches):
         table = pa.Table.from_batches(batches)
+        if table.column("label").null_count:
+            raise ValueError("labels must not be null")
         made = [encode(matrix(table.column("x"), table.num_rows, width)), table.column("label").to_numpy().astype(np.int32),
                 table.column("draw").to_numpy().astype(np.int64)]
         return pa.RecordBatch.from_arrays([pa.array([m.tobytes()], pa.binary()) for m in made], ["x", "label", "draw"])

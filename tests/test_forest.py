@@ -108,6 +108,8 @@ def test_odd_tables(spark):
     assert empty.count() == 0
     rows = same.select(F.lit(1).alias("id"), F.col("vector").alias("x")).limit(1)
     assert forest_probability(empty, 0, rows, 2).first()["probability"] == [0.5, 0.5]
+    with pytest.raises(Exception, match="must not be null"):
+        write_forest(same.withColumn("label", F.nullif("label", F.lit(1))), 2, ForestParams(n_estimators=3))
     with pytest.raises(Exception, match="takes no NaN"):
         write_forest(same.withColumn("vector", F.array(F.lit(float("nan")), F.lit(1.0), F.lit(1.0))), 2, ForestParams(n_estimators=3))
 
